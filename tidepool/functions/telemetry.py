@@ -30,4 +30,4 @@ def speed_centi(speed: Column) -> Column:
 def centi_kmh_seconds_to_metres(total_centi: Column) -> Column:
     """Σ(speed·1 s) in 1/100 km/h·s → metres, with one final division so the
     value is reproducible bit for bit by any engine."""
-    return total_centi.cast("double") / F.lit(100.0 * KMH_TO_MPS_DIVISOR)
+    return total_centi.cast("double") / F.lit(round(100 * KMH_TO_MPS_DIVISOR, 9))

@@ -26,7 +26,7 @@ ORDINAL = "seq_in_key"
 
 
 def count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, slide: int,
-                 value: Column | None = None, name: str = "n", block_on: str | None = None,
+                 value: Column | None = None, name: str = "n", block_on: str | Column | None = None,
                  n_blocks: int | None = None, block_source: DataFrame | None = None) -> DataFrame:
     """Rows ``(keys..., order..., seq_in_key, name)``, one per fire; ``order``
     columns and ``seq_in_key`` identify the firing record."""

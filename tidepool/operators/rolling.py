@@ -20,19 +20,22 @@ def keyed_totals(df: DataFrame, keys: Sequence[str], value: Column | None = None
 
 
 def rolling_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column | None = None,
-                name: str = "n", block_on: str | None = None, n_blocks: int | None = None,
+                name: str = "n", block_on: str | Column | None = None, n_blocks: int | None = None,
                 block_source: DataFrame | None = None) -> DataFrame:
     """One output per input record: the running sum (count when ``value`` is
     None) of its key up to and including itself, in ``order``.
 
-    ``block_on`` (default: the first order column) is cut into monotone
+    ``block_on`` (default: the first order column; a numeric column or
+    expression, e.g. ``unix_micros(ts)``) is cut into monotone
     blocks to spread hot keys; its range is read from ``block_source``
     (default ``df``) -- pass the un-exploded input when ``df`` is derived by
     a flat-map, so the range scan stays cheap.
     """
-    block_on = block_on or order[0]
+    if block_on is None:
+        block_on = order[0]
     n_blocks = n_blocks or default_blocks(df)
-    blk = range_block(block_source if block_source is not None else df, F.col(block_on), n_blocks)
+    block_val = F.col(block_on) if isinstance(block_on, str) else block_on
+    blk = range_block(block_source if block_source is not None else df, block_val, n_blocks)
     measure = F.lit(1).cast("long") if value is None else value
     out = blocked_running_totals(df, keys, [F.col(c) for c in order], blk, {name: measure})
     return out.drop(BLOCK)

@@ -60,3 +60,91 @@ SELECT doc_id, pos, word,
        count(*) OVER (PARTITION BY word ORDER BY doc_id, pos ROWS UNBOUNDED PRECEDING) AS n
 FROM tweet_words""",
 }
+
+
+# events -------------------------------------------------------------------
+
+def _windows(size_us: int, slide_us: int) -> str:
+    k = size_us // slide_us
+    return f"""WITH e AS (SELECT user_id, epoch_us(ts) AS t, value FROM events),
+w AS (SELECT user_id, (t // {slide_us} - k) * {slide_us} AS s, value FROM e, range(0, {k}) r(k))
+SELECT user_id, make_timestamp(s) AS window_start, make_timestamp(s + {size_us}) AS window_end,
+       count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_sum
+FROM w GROUP BY user_id, s"""
+
+
+_ODO = """o AS (
+  SELECT event_id AS seq, CAST(user_id % 8 AS INTEGER) AS car_id, value AS speed, ts, epoch_us(ts) AS t,
+         CAST(dc AS BIGINT) AS dist_c, CAST(dc AS DOUBLE) / 360.0 AS distance,
+         row_number() OVER (PARTITION BY user_id % 8 ORDER BY ts, event_id) AS rn
+  FROM (SELECT *, sum(CAST(round(value * 100) AS BIGINT))
+                    OVER (PARTITION BY user_id % 8 ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS dc
+        FROM events))"""
+
+_FIRES = """nx AS (
+  SELECT a.car_id, a.rn, min(b.rn) AS nxt FROM o a JOIN o b
+    ON a.car_id = b.car_id AND b.dist_c > a.dist_c + 18000
+  GROUP BY a.car_id, a.rn),
+chain(car_id, rn) AS (
+  SELECT car_id, nxt FROM nx WHERE rn = 1
+  UNION ALL
+  SELECT n.car_id, n.nxt FROM chain c JOIN nx n ON n.car_id = c.car_id AND n.rn = c.rn),
+fires AS (SELECT o.* FROM o JOIN chain c ON o.car_id = c.car_id AND o.rn = c.rn)"""
+
+_TRAILING = """tr AS (
+  SELECT o.seq, o.car_id, o.speed, o.ts, o.dist_c, o.distance,
+         x.top_seq, x.top_speed, x.top_distance, x.top_ts
+  FROM o, LATERAL (
+    SELECT o2.seq AS top_seq, o2.speed AS top_speed, o2.distance AS top_distance, o2.ts AS top_ts
+    FROM o o2
+    WHERE o2.car_id = o.car_id AND o2.t > o.t - 3600000000 AND o2.t <= o.t
+    ORDER BY o2.speed DESC, o2.t, o2.seq LIMIT 1) x)"""
+
+ORACLE.update({
+    "sliding_time_sum": _windows(2500 * 10**6, 500 * 10**6),
+    "sliding_time_sum_panes": _windows(3600 * 10**6, 60 * 10**6),
+    "tumbling_time_sum": _windows(3600 * 10**6, 3600 * 10**6),
+    "src_keyed_range": """SELECT event_id AS seq, event_id % 10000 + 1 AS key, CAST(1 AS BIGINT) AS value,
+       make_timestamp(event_id * 1000) AS arrival FROM events""",
+    "keyed_range_sliding_sum": """WITH w AS (
+  SELECT event_id % 10000 + 1 AS key, (event_id * 1000 // 500000 - k) * 500000 AS s
+  FROM events, range(0, 5) r(k))
+SELECT key, make_timestamp(s) AS window_start, make_timestamp(s + 2500000) AS window_end,
+       CAST(count(*) AS BIGINT) AS value
+FROM w GROUP BY key, s""",
+    "session_window_sum": """WITH e AS (SELECT user_id, epoch_us(ts) AS t, event_id, event_type, value FROM events),
+f AS (SELECT *, lag(t) OVER (PARTITION BY user_id ORDER BY t, event_id) AS pt FROM e),
+g AS (SELECT *, sum(CASE WHEN pt IS NULL OR t - pt > 3600000000 THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY user_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM f)
+SELECT user_id, make_timestamp(min(t)) AS session_start, make_timestamp(max(t) + 3600000000) AS session_end,
+       arg_min(event_id, t) AS first_event_id, arg_min(event_type, t) AS first_event_type,
+       count(*) AS n_events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_sum
+FROM g GROUP BY user_id, sid""",
+    "keyed_running_sum": """SELECT event_id, ts, user_id, value,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id ORDER BY ts, event_id
+            ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_value
+FROM events""",
+    "reduce_generic": """SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_sum
+FROM events GROUP BY user_id""",
+    "count_window_sum_events": """WITH r AS (
+  SELECT user_id, ts, event_id,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq_in_key,
+         sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id ORDER BY ts, event_id
+             ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS vs
+  FROM events)
+SELECT user_id, ts, event_id, seq_in_key, CAST(vs AS DOUBLE) AS value_sum FROM r WHERE seq_in_key % 5 = 0""",
+    "max_by_record": """SELECT user_id, event_id, ts, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, ts, event_id) AS rn FROM events)
+WHERE rn = 1""",
+    "parse_telemetry": """SELECT event_id AS seq, CAST(user_id % 8 AS INTEGER) AS car_id,
+       CAST(floor(value) AS INTEGER) AS speed, value AS distance, epoch_us(ts) // 1000 AS ts_ms,
+       make_timestamp(epoch_us(ts) // 1000 * 1000) AS ts
+FROM events""",
+    "odometer": f"WITH {_ODO} SELECT seq, car_id, speed, ts, dist_c, distance FROM o",
+    "delta_trigger_fires": f"""WITH RECURSIVE {_ODO}, {_FIRES}
+SELECT seq, car_id, speed, ts, dist_c, distance FROM fires""",
+    "trailing_time_max": f"WITH {_ODO}, {_TRAILING} SELECT * FROM tr",
+    "top_speed": f"""WITH RECURSIVE {_ODO}, {_FIRES}, {_TRAILING}
+SELECT tr.car_id, tr.seq AS fire_seq, tr.top_seq, tr.top_speed, tr.top_distance, tr.top_ts
+FROM tr JOIN fires f ON tr.car_id = f.car_id AND tr.seq = f.seq""",
+})

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import event_jobs as E
 from . import text_jobs as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,23 @@ def queries() -> dict[str, Query]:
         "tokenize_tweets": T.tokenize_tweets_q,
         "json_english_word_count": T.json_english_word_count,
         "json_english_word_count_rolling": T.json_english_word_count_rolling,
+        # keyed values over events
+        "sliding_time_sum": E.sliding_time_sum,
+        "sliding_time_sum_panes": E.sliding_time_sum_panes,
+        "tumbling_time_sum": E.tumbling_time_sum,
+        "src_keyed_range": E.src_keyed_range,
+        "keyed_range_sliding_sum": E.keyed_range_sliding_sum,
+        "session_window_sum": E.session_window_sum,
+        "keyed_running_sum": E.keyed_running_sum,
+        "reduce_generic": E.reduce_generic,
+        "count_window_sum_events": E.count_window_sum_events,
+        "max_by_record": E.max_by_record_q,
+        # cars
+        "parse_telemetry": E.parse_telemetry_q,
+        "odometer": E.odometer,
+        "delta_trigger_fires": E.delta_trigger_fires_q,
+        "trailing_time_max": E.trailing_time_max_q,
+        "top_speed": E.top_speed,
     }
     return q
 
@@ -35,4 +53,4 @@ def oracle_sql() -> dict[str, str]:
 
     return dict(ORACLE)
 
-FLAGSHIP = "word_count"
+FLAGSHIP = "session_window_sum"
