@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import event_jobs as E
+from . import stream_jobs as S
 from . import text_jobs as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +45,13 @@ def queries() -> dict[str, Query]:
         "delta_trigger_fires": E.delta_trigger_fires_q,
         "trailing_time_max": E.trailing_time_max_q,
         "top_speed": E.top_speed,
+        # streaming forms (replayed slice by slice)
+        "stream_session_sum": S.stream_session_sum,
+        "stream_sliding_sum": S.stream_sliding_sum,
+        "stream_count_window": S.stream_count_window,
+        "stream_word_count": S.stream_word_count,
+        "stream_top_speed": S.stream_top_speed,
+        "stream_late_drop": S.stream_late_drop,
     }
     return q
 
@@ -51,6 +59,19 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     from .oracle import ORACLE
 
-    return dict(ORACLE)
+    sql = dict(ORACLE)
+    # streaming forms must equal their batch forms
+    for stream_key, batch_key in STREAM_EQUIVALENTS.items():
+        sql[stream_key] = ORACLE[batch_key]
+    return sql
+
+
+STREAM_EQUIVALENTS = {
+    "stream_session_sum": "session_window_sum",
+    "stream_sliding_sum": "sliding_time_sum",
+    "stream_count_window": "count_window_sum_6_1",
+    "stream_word_count": "word_count",
+    "stream_top_speed": "top_speed",
+}
 
 FLAGSHIP = "session_window_sum"
