@@ -48,6 +48,7 @@ ORACLE: dict[str, str] = {
 SELECT doc_id, pos, word,
        count(*) OVER (PARTITION BY word ORDER BY doc_id, pos ROWS UNBOUNDED PRECEDING) AS n
 FROM words""",
+    "src_text_lines": f"WITH {_WORDS} SELECT '(' || word || ',' || count(*) || ')' AS line FROM words GROUP BY word",
     "word_lengths_total": f"WITH {_WORDS} SELECT word, sum(length(word)) AS chars FROM words GROUP BY word",
     "count_window_sum_10_5": _count_window(10, 5),
     "count_window_sum_6_1": _count_window(6, 1),

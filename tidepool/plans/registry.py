@@ -28,6 +28,9 @@ def queries() -> dict[str, Query]:
         "tokenize_tweets": T.tokenize_tweets_q,
         "json_english_word_count": T.json_english_word_count,
         "json_english_word_count_rolling": T.json_english_word_count_rolling,
+        # text sink and text-line source
+        "src_text_lines": T.src_text_lines,
+        "sink_tuple_text": T.sink_tuple_text,
         # keyed values over events
         "sliding_time_sum": E.sliding_time_sum,
         "sliding_time_sum_panes": E.sliding_time_sum_panes,
@@ -71,6 +74,7 @@ STREAM_EQUIVALENTS = {
     "stream_sliding_sum": "sliding_time_sum",
     "stream_count_window": "count_window_sum_6_1",
     "stream_word_count": "word_count",
+    "sink_tuple_text": "word_count",
     "stream_top_speed": "top_speed",
 }
 

@@ -92,3 +92,30 @@ def word_lengths_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     non-constant measure."""
     return keyed_totals(words(spark, sf_dir).withColumn("len", F.length("word")), ["word"],
                         F.col("len").cast("long"), name="chars")
+
+
+# text sink / text source round trip ----------------------------------------
+
+def _written_word_counts(spark: SparkSession, sf_dir: str) -> str:
+    from ..session import scratch_path
+    from ..sinks.tuple_text import write_tuple_text
+
+    path = scratch_path(spark, "word-count-text")
+    write_tuple_text(word_count(spark, sf_dir), path, ["word", "n"])
+    return path
+
+
+def src_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts written as tuple text, read back line by line."""
+    from ..sources.records import text_lines
+
+    return text_lines(spark, _written_word_counts(spark, sf_dir)).select("line")
+
+
+def sink_tuple_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts through the tuple text sink and back: ``(word, n)``."""
+    from ..sinks.tuple_text import parse_tuple_line
+    from ..sources.records import text_lines
+
+    lines = text_lines(spark, _written_word_counts(spark, sf_dir))
+    return lines.select(*parse_tuple_line("line"))
