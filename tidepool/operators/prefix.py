@@ -9,8 +9,9 @@ Here the order axis is cut into ``n_blocks`` monotone blocks:
 
 1. local running totals per ``(key, block)`` -- one hash exchange on
    ``(key, block)``, so a hot key is spread over many tasks;
-2. per ``(key, block)`` totals, aggregated from the same partitioning (no
-   second exchange of the rows);
+2. per ``(key, block)`` totals = the running total at the block's last
+   row, aggregated from the same partitioning (the exchange is reused, the
+   input is read once);
 3. exclusive prefix of the block totals per key -- a window over at most
    ``n_blocks`` rows per key;
 4. the offset is joined back on ``(key, block)``; the row side is already
@@ -49,9 +50,23 @@ def range_block(df: DataFrame, value: Column, n_blocks: int) -> Column:
     return F.least(F.floor((value - F.lit(lo)) / F.lit(span)), F.lit(n_blocks - 1)).cast("long")
 
 
+KEY = "_key"
+
+
+def key_struct(keys: Sequence[str]) -> Column:
+    """All key columns as one struct.  Struct equality treats NULL fields as
+    equal, so a plain equi-join on it is NULL-safe *and* keeps the
+    ``hashpartitioning(_key, ...)`` of an earlier exchange (a ``<=>`` join
+    would be planned on ``coalesce``/``isnull`` expressions and re-shuffle)."""
+    return F.struct(*[F.col(k) for k in keys])
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``cols`` treating NULL keys as equal values; the right
-    copies of ``cols`` are dropped."""
+    copies of ``cols`` are dropped.  Non-nullable keys use a plain join."""
+    if not any(left.schema[c].nullable or right.schema[c].nullable for c in cols):
+        return left.join(right, list(cols), how).select(*left.columns,
+                                                        *[c for c in right.columns if c not in cols])
     l, r = left.alias("_l"), right.alias("_r")
     cond = None
     for c in cols:
@@ -74,22 +89,30 @@ def blocked_running_totals(
     :func:`range_block` of the leading order column).  Keeps the ``_blk``
     column (callers may reuse the partitioning) ."""
     keys = list(keys)
-    base = df.withColumn(BLOCK, block)
+    base = df.withColumn(BLOCK, block).withColumn(KEY, key_struct(keys))
     for name, m in measures.items():
         base = base.withColumn(f"_m_{name}", m)
-    w_local = (Window.partitionBy(*keys, BLOCK).orderBy(*order)
+    w_local = (Window.partitionBy(KEY, BLOCK).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.select("*", *[F.sum(f"_m_{n}").over(w_local).alias(f"_loc_{n}") for n in measures])
 
-    totals = local.groupBy(*keys, BLOCK).agg(*[F.sum(f"_m_{n}").alias(f"_tot_{n}") for n in measures])
-    w_blocks = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    # The block total is the running total at the block's last row.  Taking
+    # it from the window output (rather than re-aggregating the input) keeps
+    # both branches on the same (key, block) exchange, which Spark reuses:
+    # the input is scanned and shuffled once.
+    last_row = F.struct(*[o if not isinstance(o, str) else F.col(o) for o in order])
+    totals = local.groupBy(KEY, BLOCK).agg(
+        *[F.max_by(f"_loc_{n}", last_row).alias(f"_tot_{n}") for n in measures])
+    w_blocks = Window.partitionBy(KEY).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, BLOCK,
+        KEY, BLOCK,
         *[F.coalesce(F.sum(f"_tot_{n}").over(w_blocks), F.lit(0).cast(totals.schema[f"_tot_{n}"].dataType))
           .alias(f"_off_{n}") for n in measures],
     )
-    joined = null_safe_join(local, offsets, [*keys, BLOCK])
-    out_cols = [c for c in df.columns] + [BLOCK]
+    joined = local.join(offsets, [KEY, BLOCK])
+    # keys are read back from the struct so both branches need the same
+    # columns from the shared exchange (otherwise pruning splits them)
+    out_cols = [F.col(f"{KEY}.{c}").alias(c) if c in keys else F.col(c) for c in df.columns] + [F.col(BLOCK)]
     return joined.select(
         *out_cols,
         *[(F.col(f"_loc_{n}") + F.col(f"_off_{n}")).alias(n) for n in measures],

@@ -27,7 +27,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import BLOCK, default_blocks, null_safe_join, range_block
+from .prefix import BLOCK, KEY, default_blocks, key_struct, range_block
 
 
 def session_windows(df: DataFrame, keys: Sequence[str], ts: str, gap_us: int,
@@ -38,15 +38,15 @@ def session_windows(df: DataFrame, keys: Sequence[str], ts: str, gap_us: int,
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     base = df.where(F.col(ts).isNotNull()).withColumn("_t", t)
     n_blocks = n_blocks or default_blocks(df)
-    base = base.withColumn(BLOCK, range_block(base, F.col("_t"), n_blocks))
+    base = base.withColumn(BLOCK, range_block(base, F.col("_t"), n_blocks)).withColumn(KEY, key_struct(keys))
 
-    blocks = base.groupBy(*keys, BLOCK).agg(F.max("_t").alias("_bmax"))
-    w_b = Window.partitionBy(*keys).orderBy(BLOCK)
-    prev = blocks.select(*keys, BLOCK, F.lag("_bmax").over(w_b).alias("_prev_max"))
+    blocks = base.groupBy(KEY, BLOCK).agg(F.max("_t").alias("_bmax"))
+    w_b = Window.partitionBy(KEY).orderBy(BLOCK)
+    prev = blocks.select(KEY, BLOCK, F.lag("_bmax").over(w_b).alias("_prev_max"))
 
-    rows = null_safe_join(base, prev, [*keys, BLOCK])
+    rows = base.join(prev, [KEY, BLOCK])
     order = [F.col("_t"), *[F.col(c) for c in tiebreak]]
-    w_in = Window.partitionBy(*keys, BLOCK).orderBy(*order)
+    w_in = Window.partitionBy(KEY, BLOCK).orderBy(*order)
     before = F.coalesce(F.lag("_t").over(w_in), F.col("_prev_max"))
     rows = rows.withColumn("_starts", before.isNull() | ((F.col("_t") - before) > F.lit(gap_us)))
     start_t = F.when(F.col("_starts"), F.col("_t"))
@@ -54,12 +54,12 @@ def session_windows(df: DataFrame, keys: Sequence[str], ts: str, gap_us: int,
         "_local_start",
         F.max(start_t).over(w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
-    last_starts = rows.groupBy(*keys, BLOCK).agg(F.max(start_t).alias("_last_start"))
+    last_starts = rows.groupBy(KEY, BLOCK).agg(F.max(start_t).alias("_last_start"))
     carry = last_starts.select(
-        *keys, BLOCK,
+        KEY, BLOCK,
         F.last("_last_start", ignorenulls=True).over(w_b.rowsBetween(Window.unboundedPreceding, -1))
         .alias("_carry"))
-    rows = null_safe_join(rows, carry, [*keys, BLOCK]).withColumn(
+    rows = rows.join(carry, [KEY, BLOCK]).withColumn(
         "_sess", F.coalesce(F.col("_local_start"), F.col("_carry")))
 
     first_key = F.struct(F.col("_t"), *[F.col(c) for c in tiebreak])
