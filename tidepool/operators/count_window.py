@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .prefix import MIN_ROWS_PER_BLOCK
 from .rolling import rolling_sum
 
 ORDINAL = "seq_in_key"
@@ -27,14 +28,15 @@ ORDINAL = "seq_in_key"
 
 def count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, slide: int,
                  value: Column | None = None, name: str = "n", block_on: str | Column | None = None,
-                 n_blocks: int | None = None, block_source: DataFrame | None = None) -> DataFrame:
+                 n_blocks: int | None = None, block_source: DataFrame | None = None,
+                 min_rows_per_block: int = MIN_ROWS_PER_BLOCK) -> DataFrame:
     """Rows ``(keys..., order..., seq_in_key, name)``, one per fire; ``order``
     columns and ``seq_in_key`` identify the firing record."""
     if size < 1 or slide < 1:
         raise ValueError("count window size and slide must be positive")
     keys, order = list(keys), list(order)
     src = df if value is None else df.withColumn("_val", value)
-    ranked = rolling_sum(src, keys, order, None, ORDINAL, block_on, n_blocks, block_source)
+    ranked = rolling_sum(src, keys, order, None, ORDINAL, block_on, n_blocks, block_source, min_rows_per_block)
     rn = F.col(ORDINAL)
     if value is None:
         return (ranked.where(rn % slide == 0)

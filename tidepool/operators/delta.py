@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .prefix import BLOCK, default_blocks, null_safe_join, range_block
+from .prefix import BLOCK, MIN_ROWS_PER_BLOCK, default_blocks, null_safe_join, range_block
 
 
 def _sorted_measure(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -137,7 +137,8 @@ def _fires_fn(threshold):
 
 
 def delta_trigger_fires(df: DataFrame, keys: Sequence[str], ts: str, seq: str, measure: str,
-                        threshold: float, n_blocks: int | None = None) -> DataFrame:
+                        threshold: float, n_blocks: int | None = None,
+                        min_rows_per_block: int = 4 * MIN_ROWS_PER_BLOCK) -> DataFrame:
     """The records at which the delta trigger fires (all input columns).
 
     ``measure`` must be non-decreasing per key in ``(ts, seq)`` order (checked).
@@ -145,10 +146,12 @@ def delta_trigger_fires(df: DataFrame, keys: Sequence[str], ts: str, seq: str, m
     ``d_new > d_ref + threshold``.
     """
     keys = list(keys)
+    if n_blocks is not None:          # an explicit block count is used as given
+        min_rows_per_block = 1
     n_blocks = n_blocks or default_blocks(df)
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     slim = df.select(*keys, t.alias("_t"), F.col(seq).alias("_seq"), F.col(measure).alias("_d"))
-    slim = slim.withColumn(BLOCK, range_block(slim, F.col("_t"), n_blocks))
+    slim = slim.withColumn(BLOCK, range_block(slim, F.col("_t"), n_blocks, min_rows_per_block))
     schema = slim.schema
     d_type = schema["_d"].dataType
     key_fields = [schema[k] for k in keys]

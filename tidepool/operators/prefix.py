@@ -35,13 +35,19 @@ def default_blocks(df: DataFrame) -> int:
     return max(16, 4 * parts)
 
 
-def range_block(df: DataFrame, value: Column, n_blocks: int) -> Column:
+MIN_ROWS_PER_BLOCK = 10_000
+
+
+def range_block(df: DataFrame, value: Column, n_blocks: int,
+                min_rows_per_block: int = MIN_ROWS_PER_BLOCK) -> Column:
     """A block index that is monotone in ``value`` (numeric), splitting its
-    observed range into ``n_blocks`` equal spans.  Runs one scalar
-    min/max aggregate (a single row reaches the driver)."""
-    lo, hi = df.select(F.min(value), F.max(value)).first()
+    observed range into equal spans: ``n_blocks`` of them, or fewer so that a
+    block averages at least ``min_rows_per_block`` rows of ``df``.  Runs one
+    scalar min/max/count aggregate (a single row reaches the driver)."""
+    lo, hi, n = df.select(F.min(value), F.max(value), F.count(value)).first()
     if lo is None:
         return F.lit(0).cast("long")
+    n_blocks = max(1, min(n_blocks, n // max(1, min_rows_per_block)))
     span = (float(hi) - float(lo)) / n_blocks
     if span <= 0:
         return F.lit(0).cast("long")
@@ -61,6 +67,15 @@ def key_struct(keys: Sequence[str]) -> Column:
     return F.struct(*[F.col(k) for k in keys])
 
 
+def partition_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str], bool]:
+    """Columns to partition, group and join on for ``keys``: the keys
+    themselves when none is nullable (fast sorts and hashes), otherwise one
+    :func:`key_struct` column.  Returns ``(df, columns, wrapped)``."""
+    if not any(df.schema[k].nullable for k in keys):
+        return df, list(keys), False
+    return df.withColumn(KEY, key_struct(keys)), [KEY], True
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``cols`` treating NULL keys as equal values; the right
     copies of ``cols`` are dropped.  Non-nullable keys use a plain join."""
@@ -89,10 +104,10 @@ def blocked_running_totals(
     :func:`range_block` of the leading order column).  Keeps the ``_blk``
     column (callers may reuse the partitioning) ."""
     keys = list(keys)
-    base = df.withColumn(BLOCK, block).withColumn(KEY, key_struct(keys))
+    base, pk, wrapped = partition_keys(df.withColumn(BLOCK, block), keys)
     for name, m in measures.items():
         base = base.withColumn(f"_m_{name}", m)
-    w_local = (Window.partitionBy(KEY, BLOCK).orderBy(*order)
+    w_local = (Window.partitionBy(*pk, BLOCK).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.select("*", *[F.sum(f"_m_{n}").over(w_local).alias(f"_loc_{n}") for n in measures])
 
@@ -101,18 +116,19 @@ def blocked_running_totals(
     # both branches on the same (key, block) exchange, which Spark reuses:
     # the input is scanned and shuffled once.
     last_row = F.struct(*[o if not isinstance(o, str) else F.col(o) for o in order])
-    totals = local.groupBy(KEY, BLOCK).agg(
+    totals = local.groupBy(*pk, BLOCK).agg(
         *[F.max_by(f"_loc_{n}", last_row).alias(f"_tot_{n}") for n in measures])
-    w_blocks = Window.partitionBy(KEY).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    w_blocks = Window.partitionBy(*pk).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        KEY, BLOCK,
+        *pk, BLOCK,
         *[F.coalesce(F.sum(f"_tot_{n}").over(w_blocks), F.lit(0).cast(totals.schema[f"_tot_{n}"].dataType))
           .alias(f"_off_{n}") for n in measures],
     )
-    joined = local.join(offsets, [KEY, BLOCK])
-    # keys are read back from the struct so both branches need the same
-    # columns from the shared exchange (otherwise pruning splits them)
-    out_cols = [F.col(f"{KEY}.{c}").alias(c) if c in keys else F.col(c) for c in df.columns] + [F.col(BLOCK)]
+    joined = local.join(offsets, [*pk, BLOCK])
+    # wrapped keys are read back from the struct so both branches need the
+    # same columns from the shared exchange (otherwise pruning splits them)
+    out_cols = [F.col(f"{KEY}.{c}").alias(c) if wrapped and c in keys else F.col(c) for c in df.columns]
+    out_cols.append(F.col(BLOCK))
     return joined.select(
         *out_cols,
         *[(F.col(f"_loc_{n}") + F.col(f"_off_{n}")).alias(n) for n in measures],

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .prefix import BLOCK, blocked_running_totals, default_blocks, range_block
+from .prefix import BLOCK, MIN_ROWS_PER_BLOCK, blocked_running_totals, default_blocks, range_block
 
 
 def keyed_totals(df: DataFrame, keys: Sequence[str], value: Column | None = None, name: str = "n") -> DataFrame:
@@ -21,7 +21,8 @@ def keyed_totals(df: DataFrame, keys: Sequence[str], value: Column | None = None
 
 def rolling_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column | None = None,
                 name: str = "n", block_on: str | Column | None = None, n_blocks: int | None = None,
-                block_source: DataFrame | None = None) -> DataFrame:
+                block_source: DataFrame | None = None,
+                min_rows_per_block: int = MIN_ROWS_PER_BLOCK) -> DataFrame:
     """One output per input record: the running sum (count when ``value`` is
     None) of its key up to and including itself, in ``order``.
 
@@ -33,9 +34,12 @@ def rolling_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     """
     if block_on is None:
         block_on = order[0]
+    if n_blocks is not None:          # an explicit block count is used as given
+        min_rows_per_block = 1
     n_blocks = n_blocks or default_blocks(df)
     block_val = F.col(block_on) if isinstance(block_on, str) else block_on
-    blk = range_block(block_source if block_source is not None else df, block_val, n_blocks)
+    blk = range_block(block_source if block_source is not None else df, block_val, n_blocks,
+                      min_rows_per_block)
     measure = F.lit(1).cast("long") if value is None else value
     out = blocked_running_totals(df, keys, [F.col(c) for c in order], blk, {name: measure})
     return out.drop(BLOCK)

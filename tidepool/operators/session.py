@@ -27,26 +27,30 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import BLOCK, KEY, default_blocks, key_struct, range_block
+from .prefix import BLOCK, MIN_ROWS_PER_BLOCK, default_blocks, partition_keys, range_block
 
 
 def session_windows(df: DataFrame, keys: Sequence[str], ts: str, gap_us: int,
                     aggs: Mapping[str, Column], first_fields: Sequence[str] = (),
-                    tiebreak: Sequence[str] = (), n_blocks: int | None = None) -> DataFrame:
+                    tiebreak: Sequence[str] = (), n_blocks: int | None = None,
+                    min_rows_per_block: int = MIN_ROWS_PER_BLOCK) -> DataFrame:
     """``(keys..., session_start, session_end, first_<field>..., <aggs>)``."""
     keys = list(keys)
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     base = df.where(F.col(ts).isNotNull()).withColumn("_t", t)
+    if n_blocks is not None:          # an explicit block count is used as given
+        min_rows_per_block = 1
     n_blocks = n_blocks or default_blocks(df)
-    base = base.withColumn(BLOCK, range_block(base, F.col("_t"), n_blocks)).withColumn(KEY, key_struct(keys))
+    base = base.withColumn(BLOCK, range_block(base, F.col("_t"), n_blocks, min_rows_per_block))
+    base, pk, _ = partition_keys(base, keys)
 
-    blocks = base.groupBy(KEY, BLOCK).agg(F.max("_t").alias("_bmax"))
-    w_b = Window.partitionBy(KEY).orderBy(BLOCK)
-    prev = blocks.select(KEY, BLOCK, F.lag("_bmax").over(w_b).alias("_prev_max"))
+    blocks = base.groupBy(*pk, BLOCK).agg(F.max("_t").alias("_bmax"))
+    w_b = Window.partitionBy(*pk).orderBy(BLOCK)
+    prev = blocks.select(*pk, BLOCK, F.lag("_bmax").over(w_b).alias("_prev_max"))
 
-    rows = base.join(prev, [KEY, BLOCK])
+    rows = base.join(prev, [*pk, BLOCK])
     order = [F.col("_t"), *[F.col(c) for c in tiebreak]]
-    w_in = Window.partitionBy(KEY, BLOCK).orderBy(*order)
+    w_in = Window.partitionBy(*pk, BLOCK).orderBy(*order)
     before = F.coalesce(F.lag("_t").over(w_in), F.col("_prev_max"))
     rows = rows.withColumn("_starts", before.isNull() | ((F.col("_t") - before) > F.lit(gap_us)))
     start_t = F.when(F.col("_starts"), F.col("_t"))
@@ -54,12 +58,12 @@ def session_windows(df: DataFrame, keys: Sequence[str], ts: str, gap_us: int,
         "_local_start",
         F.max(start_t).over(w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
-    last_starts = rows.groupBy(KEY, BLOCK).agg(F.max(start_t).alias("_last_start"))
+    last_starts = rows.groupBy(*pk, BLOCK).agg(F.max(start_t).alias("_last_start"))
     carry = last_starts.select(
-        KEY, BLOCK,
+        *pk, BLOCK,
         F.last("_last_start", ignorenulls=True).over(w_b.rowsBetween(Window.unboundedPreceding, -1))
         .alias("_carry"))
-    rows = rows.join(carry, [KEY, BLOCK]).withColumn(
+    rows = rows.join(carry, [*pk, BLOCK]).withColumn(
         "_sess", F.coalesce(F.col("_local_start"), F.col("_carry")))
 
     first_key = F.struct(F.col("_t"), *[F.col(c) for c in tiebreak])

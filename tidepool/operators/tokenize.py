@@ -17,8 +17,11 @@ def tokenize_words(df: DataFrame, text_col: str = "text", keep: Sequence[str] =
     split on runs of non-word characters; ``pos`` is the piece index within
     the record, so ``(keep, pos)`` is the emission order."""
     return (
-        df.select(*keep, F.posexplode(word_pieces(F.col(text_col))).alias("pos", "word"))
-        .where(non_empty(F.col("word")))
+        df.select(*keep, F.posexplode(word_pieces(F.col(text_col))).alias("pos", "piece"))
+        .where(non_empty(F.col("piece")))
+        # never NULL after the filter; declaring it lets key-partitioned
+        # operators use the plain column
+        .select(*keep, "pos", F.coalesce(F.col("piece"), F.lit("")).alias("word"))
     )
 
 
@@ -27,7 +30,7 @@ def tokenize_whitespace(df: DataFrame, text_col: str = "text", keep: Sequence[st
     whitespace removed and lower-cased; punctuation is kept."""
     return (
         df.select(*keep, F.posexplode(tweet_pieces(F.col(text_col))).alias("pos", "piece"))
-        .select(*keep, "pos", clean_tweet_piece(F.col("piece")).alias("word"))
+        .select(*keep, "pos", F.coalesce(clean_tweet_piece(F.col("piece")), F.lit("")).alias("word"))
         .where(non_empty(F.col("word")))
     )
 

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import BLOCK, default_blocks
+from .prefix import BLOCK, MIN_ROWS_PER_BLOCK, default_blocks
 
 
 def record_order(value: str, ts: str, tiebreak: Sequence[str]) -> Column:
@@ -38,7 +38,7 @@ def max_by_record(df: DataFrame, keys: Sequence[str], value: str, fields: Sequen
 
 def trailing_time_max(df: DataFrame, keys: Sequence[str], ts: str, span_us: int, value: str,
                       fields: Sequence[str], tiebreak: Sequence[str] = (), prefix: str = "top_",
-                      n_blocks: int | None = None) -> DataFrame:
+                      n_blocks: int | None = None, min_rows_per_block: int = MIN_ROWS_PER_BLOCK) -> DataFrame:
     """Every record plus ``prefix + field`` columns of the max-``value``
     record in its trailing span (earliest on ties).
 
@@ -48,8 +48,9 @@ def trailing_time_max(df: DataFrame, keys: Sequence[str], ts: str, span_us: int,
     keys = list(keys)
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     base = df.withColumn("_t", t)
-    lo, hi = base.select(F.min("_t"), F.max("_t")).first()
-    n_blocks = n_blocks or default_blocks(df)
+    lo, hi, n = base.select(F.min("_t"), F.max("_t"), F.count("_t")).first()
+    if n_blocks is None:              # an explicit block count is used as given
+        n_blocks = max(1, min(default_blocks(df), n // max(1, min_rows_per_block)))
     width = max(span_us, ((hi - lo) // n_blocks + 1) if lo is not None else span_us)
     blk = F.floor(F.col("_t") / F.lit(width)).cast("long")
     own = base.withColumn(BLOCK, blk).withColumn("_halo", F.lit(False))

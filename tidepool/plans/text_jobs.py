@@ -18,6 +18,7 @@ from ..sources.records import json_records
 from ..sources.tables import read_table, spread
 
 ORDER = ["doc_id", "pos"]
+DOCS_PER_BLOCK = 500   # blocks are cut on doc_id; a document holds hundreds of tokens
 
 
 def documents(spark: SparkSession, sf_dir: str, columns=("doc_id", "text")) -> DataFrame:
@@ -37,12 +38,14 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def word_count_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-token running count of its word in (doc_id, pos) order."""
     docs = documents(spark, sf_dir)
-    return rolling_sum(tokenize_words(docs), ["word"], ORDER, name="n", block_source=docs)
+    return rolling_sum(tokenize_words(docs), ["word"], ORDER, name="n", block_source=docs,
+                       min_rows_per_block=DOCS_PER_BLOCK)
 
 
 def _count_window_words(spark: SparkSession, sf_dir: str, size: int, slide: int) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return count_window(tokenize_words(docs), ["word"], ORDER, size, slide, name="n", block_source=docs)
+    return count_window(tokenize_words(docs), ["word"], ORDER, size, slide, name="n", block_source=docs,
+                        min_rows_per_block=DOCS_PER_BLOCK)
 
 
 def count_window_sum_10_5(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +83,7 @@ def json_english_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_english_word_count_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, ("doc_id", "text", "lang"))
     toks = tokenize_tweets(json_records(docs))
-    return rolling_sum(toks, ["word"], ORDER, name="n", block_source=docs)
+    return rolling_sum(toks, ["word"], ORDER, name="n", block_source=docs, min_rows_per_block=DOCS_PER_BLOCK)
 
 
 def tokenize_words_q(spark: SparkSession, sf_dir: str) -> DataFrame:
