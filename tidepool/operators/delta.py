@@ -138,12 +138,15 @@ def _fires_fn(threshold):
 
 def delta_trigger_fires(df: DataFrame, keys: Sequence[str], ts: str, seq: str, measure: str,
                         threshold: float, n_blocks: int | None = None,
-                        min_rows_per_block: int = 4 * MIN_ROWS_PER_BLOCK) -> DataFrame:
+                        min_rows_per_block: int = 4 * MIN_ROWS_PER_BLOCK,
+                        block_source: DataFrame | None = None) -> DataFrame:
     """The records at which the delta trigger fires (all input columns).
 
     ``measure`` must be non-decreasing per key in ``(ts, seq)`` order (checked).
     Integral measures compare exactly; for floating ones the test is
-    ``d_new > d_ref + threshold``.
+    ``d_new > d_ref + threshold``.  ``block_source`` (default ``df``) supplies
+    the time range for the blocks -- pass the raw input when ``df`` is
+    derived, so the range scan does not recompute the derivation.
     """
     keys = list(keys)
     if n_blocks is not None:          # an explicit block count is used as given
@@ -151,7 +154,8 @@ def delta_trigger_fires(df: DataFrame, keys: Sequence[str], ts: str, seq: str, m
     n_blocks = n_blocks or default_blocks(df)
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     slim = df.select(*keys, t.alias("_t"), F.col(seq).alias("_seq"), F.col(measure).alias("_d"))
-    slim = slim.withColumn(BLOCK, range_block(slim, F.col("_t"), n_blocks, min_rows_per_block))
+    src = slim if block_source is None else block_source.select(t.alias("_t"))
+    slim = slim.withColumn(BLOCK, range_block(src, F.col("_t"), n_blocks, min_rows_per_block))
     schema = slim.schema
     d_type = schema["_d"].dataType
     key_fields = [schema[k] for k in keys]

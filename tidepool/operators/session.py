@@ -6,18 +6,20 @@ later; a difference equal to ``gap`` stays in the session.  A session spans
 from the session's first record (lowest ``(ts, tiebreak)``).
 
 Plan (gaps-and-islands, cut into time blocks so no task ever holds a whole
-key):
+key; one pass over the rows):
 
-1. block summary per ``(key, block)``: max time (partial aggregate), and the
-   previous non-empty block's max time per key (window over ≤ n_blocks rows
-   per key);
-2. per ``(key, block)`` window: a record starts a session iff its gap to the
-   previous record (the previous block's max for the block's first record)
-   exceeds ``gap``; the running max of start times is the session start,
-   unknown (NULL) until the block's first start;
-3. the last start of each earlier block is carried forward per key (again a
-   window over block rows) and fills those NULLs;
-4. group by ``(key, session_start)`` with partial aggregation.
+1. per ``(key, block)`` window: a record *inside* the block starts a session
+   iff its gap to the previous record exceeds ``gap``; the running max of
+   those start times is the record's session start, unknown (NULL) until
+   the block's first inner start;
+2. per ``(key, block)`` summary from the same partitioning (the exchange
+   is reused): first and last time, last inner start;
+3. per key over block summaries (≤ n_blocks rows per key): does the block's
+   first record start a session (gap to the previous block's last time),
+   and which session is open when the block begins (carried forward);
+4. the summary is joined back on ``(key, block)`` -- the rows keep their
+   partitioning, only the small side moves -- and the rows are grouped by
+   ``(key, session_start)`` with partial aggregation.
 """
 
 from __future__ import annotations
@@ -33,38 +35,43 @@ from .prefix import BLOCK, MIN_ROWS_PER_BLOCK, default_blocks, partition_keys, r
 def session_windows(df: DataFrame, keys: Sequence[str], ts: str, gap_us: int,
                     aggs: Mapping[str, Column], first_fields: Sequence[str] = (),
                     tiebreak: Sequence[str] = (), n_blocks: int | None = None,
-                    min_rows_per_block: int = MIN_ROWS_PER_BLOCK) -> DataFrame:
-    """``(keys..., session_start, session_end, first_<field>..., <aggs>)``."""
+                    min_rows_per_block: int = MIN_ROWS_PER_BLOCK,
+                    block_source: DataFrame | None = None) -> DataFrame:
+    """``(keys..., session_start, session_end, first_<field>..., <aggs>)``.
+
+    ``block_source`` (default ``df``) supplies the time range for the blocks.
+    """
     keys = list(keys)
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     base = df.where(F.col(ts).isNotNull()).withColumn("_t", t)
     if n_blocks is not None:          # an explicit block count is used as given
         min_rows_per_block = 1
     n_blocks = n_blocks or default_blocks(df)
-    base = base.withColumn(BLOCK, range_block(base, F.col("_t"), n_blocks, min_rows_per_block))
+    src = base if block_source is None else block_source.select(
+        F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"))
+    base = base.withColumn(BLOCK, range_block(src, F.col("_t"), n_blocks, min_rows_per_block))
     base, pk, _ = partition_keys(base, keys)
 
-    blocks = base.groupBy(*pk, BLOCK).agg(F.max("_t").alias("_bmax"))
-    w_b = Window.partitionBy(*pk).orderBy(BLOCK)
-    prev = blocks.select(*pk, BLOCK, F.lag("_bmax").over(w_b).alias("_prev_max"))
-
-    rows = base.join(prev, [*pk, BLOCK])
     order = [F.col("_t"), *[F.col(c) for c in tiebreak]]
     w_in = Window.partitionBy(*pk, BLOCK).orderBy(*order)
-    before = F.coalesce(F.lag("_t").over(w_in), F.col("_prev_max"))
-    rows = rows.withColumn("_starts", before.isNull() | ((F.col("_t") - before) > F.lit(gap_us)))
-    start_t = F.when(F.col("_starts"), F.col("_t"))
-    rows = rows.withColumn(
-        "_local_start",
-        F.max(start_t).over(w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    prev_t = F.lag("_t").over(w_in)
+    rows = base.withColumn("_inner", F.when(prev_t.isNotNull() & ((F.col("_t") - prev_t) > F.lit(gap_us)),
+                                            F.col("_t")))
+    rows = rows.withColumn("_run", F.max("_inner").over(w_in.rowsBetween(Window.unboundedPreceding,
+                                                                           Window.currentRow)))
+
+    blocks = rows.groupBy(*pk, BLOCK).agg(F.min("_t").alias("_bmin"), F.max("_t").alias("_bmax"),
+                                         F.max("_inner").alias("_last_inner"))
+    w_b = Window.partitionBy(*pk).orderBy(BLOCK)
+    prev_max = F.lag("_bmax").over(w_b)
+    blocks = blocks.withColumn("_first_starts", prev_max.isNull() | ((F.col("_bmin") - prev_max) > F.lit(gap_us)))
+    blocks = blocks.withColumn(
+        "_block_last", F.coalesce(F.col("_last_inner"), F.when(F.col("_first_starts"), F.col("_bmin"))))
+    carried = F.last("_block_last", ignorenulls=True).over(w_b.rowsBetween(Window.unboundedPreceding, -1))
+    entry = blocks.select(*pk, BLOCK, F.when(F.col("_first_starts"), F.col("_bmin")).otherwise(carried)
+                          .alias("_entry"))
 
-    last_starts = rows.groupBy(*pk, BLOCK).agg(F.max(start_t).alias("_last_start"))
-    carry = last_starts.select(
-        *pk, BLOCK,
-        F.last("_last_start", ignorenulls=True).over(w_b.rowsBetween(Window.unboundedPreceding, -1))
-        .alias("_carry"))
-    rows = rows.join(carry, [*pk, BLOCK]).withColumn(
-        "_sess", F.coalesce(F.col("_local_start"), F.col("_carry")))
+    rows = rows.join(entry, [*pk, BLOCK]).withColumn("_sess", F.coalesce(F.col("_run"), F.col("_entry")))
 
     first_key = F.struct(F.col("_t"), *[F.col(c) for c in tiebreak])
     out = rows.groupBy(*keys, "_sess").agg(

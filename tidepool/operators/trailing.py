@@ -38,17 +38,20 @@ def max_by_record(df: DataFrame, keys: Sequence[str], value: str, fields: Sequen
 
 def trailing_time_max(df: DataFrame, keys: Sequence[str], ts: str, span_us: int, value: str,
                       fields: Sequence[str], tiebreak: Sequence[str] = (), prefix: str = "top_",
-                      n_blocks: int | None = None, min_rows_per_block: int = MIN_ROWS_PER_BLOCK) -> DataFrame:
+                      n_blocks: int | None = None, min_rows_per_block: int = MIN_ROWS_PER_BLOCK,
+                      block_source: DataFrame | None = None) -> DataFrame:
     """Every record plus ``prefix + field`` columns of the max-``value``
     record in its trailing span (earliest on ties).
 
     Records of one key with equal ``ts`` are peers of each other's frame;
-    keep ``(key, ts)`` unique for exact arrival semantics.
+    keep ``(key, ts)`` unique for exact arrival semantics.  ``block_source``
+    (default ``df``) supplies the time range for the blocks.
     """
     keys = list(keys)
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     base = df.withColumn("_t", t)
-    lo, hi, n = base.select(F.min("_t"), F.max("_t"), F.count("_t")).first()
+    stats = base if block_source is None else block_source.select(t.alias("_t"))
+    lo, hi, n = stats.select(F.min("_t"), F.max("_t"), F.count("_t")).first()
     if n_blocks is None:              # an explicit block count is used as given
         n_blocks = max(1, min(default_blocks(df), n // max(1, min_rows_per_block)))
     width = max(span_us, ((hi - lo) // n_blocks + 1) if lo is not None else span_us)

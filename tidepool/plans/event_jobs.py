@@ -155,30 +155,34 @@ def odometer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(with_odometer(telemetry(spark, sf_dir)))
 
 
-def _fires(odo: DataFrame) -> DataFrame:
-    return delta_trigger_fires(odo, ["car_id"], "ts", "seq", "dist_c", TRIGGER_CENTI)
+def _fires(odo: DataFrame, tel: DataFrame) -> DataFrame:
+    return delta_trigger_fires(odo, ["car_id"], "ts", "seq", "dist_c", TRIGGER_CENTI, block_source=tel)
 
 
 def delta_trigger_fires_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_ntz(_fires(with_odometer(telemetry(spark, sf_dir))))
+    tel = telemetry(spark, sf_dir)
+    return as_ntz(_fires(with_odometer(tel), tel))
 
 
 TOP_FIELDS = ["seq", "speed", "distance", "ts"]
 
 
-def _trailing(odo: DataFrame) -> DataFrame:
-    return trailing_time_max(odo, ["car_id"], "ts", CAR_EVICT_SEC * SECOND_US, "speed", TOP_FIELDS, ["seq"])
+def _trailing(odo: DataFrame, tel: DataFrame) -> DataFrame:
+    return trailing_time_max(odo, ["car_id"], "ts", CAR_EVICT_SEC * SECOND_US, "speed", TOP_FIELDS, ["seq"],
+                             block_source=tel)
 
 
 def trailing_time_max_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_ntz(_trailing(with_odometer(telemetry(spark, sf_dir))))
+    tel = telemetry(spark, sf_dir)
+    return as_ntz(_trailing(with_odometer(tel), tel))
 
 
 def top_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per car, every time it has moved more than 50 m since the last report,
     the fastest record of the trailing span (earliest on ties)."""
-    odo = with_odometer(telemetry(spark, sf_dir))
-    fires = _fires(odo).select("car_id", "seq")
-    tops = _trailing(odo).join(fires, ["car_id", "seq"], "left_semi")
+    tel = telemetry(spark, sf_dir)
+    odo = with_odometer(tel)
+    fires = _fires(odo, tel).select("car_id", "seq")
+    tops = _trailing(odo, tel).join(fires, ["car_id", "seq"], "left_semi")
     return as_ntz(tops.select("car_id", F.col("seq").alias("fire_seq"),
                               *[F.col("top_" + c) for c in TOP_FIELDS]))
