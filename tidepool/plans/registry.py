@@ -53,6 +53,7 @@ def queries() -> dict[str, Query]:
         "stream_sliding_sum": S.stream_sliding_sum,
         "stream_count_window": S.stream_count_window,
         "stream_word_count": S.stream_word_count,
+        "stream_word_count_rolling": S.stream_word_count_rolling,
         "stream_top_speed": S.stream_top_speed,
         "stream_late_drop": S.stream_late_drop,
     }
@@ -74,6 +75,7 @@ STREAM_EQUIVALENTS = {
     "stream_sliding_sum": "sliding_time_sum",
     "stream_count_window": "count_window_sum_6_1",
     "stream_word_count": "word_count",
+    "stream_word_count_rolling": "word_count_rolling",
     "sink_tuple_text": "word_count",
     "stream_top_speed": "top_speed",
 }

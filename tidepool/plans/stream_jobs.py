@@ -93,6 +93,20 @@ def stream_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+def stream_word_count_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-token running count of its word, exact per record, on a replayed
+    document stream (stateful: one count per word)."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    sink = scratch_path(spark, "rolling-out")
+
+    def build(stream):
+        return _parquet_sink(stateful.stream_rolling_count(_doc_stream_tokens(stream), "word", ["doc_id", "pos"]),
+                             sink)
+
+    replay(docs, F.col("doc_id"), N_SLICES, build, "rolling")
+    return spark.read.parquet(sink)
+
+
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running word counts in update mode: each micro-batch upserts the
     changed words (``foreachBatch``, idempotent per batch id); the latest

@@ -44,26 +44,53 @@ def stream_count_window(stream: DataFrame, key: str, order: Sequence[str], size:
     state_schema = T.StructType([T.StructField("count", T.LongType()),
                                  T.StructField("tail", T.ArrayType(v_type))])
 
+    def sorted_columns(chunks: Iterator[pd.DataFrame]) -> dict[str, np.ndarray]:
+        # plain numpy: the per-key call is the hot path of this operator
+        parts = list(chunks)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        cols = {c: pdf[c].to_numpy() for c in (key, *order, vcol)}
+        o = np.lexsort([cols[c] for c in reversed(order)])
+        return {c: v[o] for c, v in cols.items()}
+
+    def emit(cols: dict[str, np.ndarray], seq: np.ndarray, fires: np.ndarray, sums) -> pd.DataFrame:
+        out = {c: cols[c][fires] for c in (key, *order)}
+        out["seq_in_key"] = seq[fires]
+        out[name] = sums
+        return pd.DataFrame(out)
+
     def fold(k, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = _concat(chunks, order)
+        cols = sorted_columns(chunks)
         count, tail = (state.get if state.exists else (0, []))
         tail = list(tail or [])
-        vals = pdf[vcol].tolist()
-        seq = count + np.arange(1, len(pdf) + 1)
-        allv = tail + vals
+        allv = tail + cols[vcol].tolist()
+        seq = np.arange(count + 1, count + len(cols[key]) + 1, dtype=np.int64)
         fires = np.nonzero(seq % slide == 0)[0]
         # window sums as prefix-sum differences (exact for integral values)
         csum = np.concatenate([[0], np.cumsum(np.asarray(allv, dtype=object))])
         ends = len(tail) + fires + 1
         sums = list(csum[ends] - csum[np.maximum(0, ends - size)])
-        out = pdf.iloc[fires][[key, *order]].copy()
-        out["seq_in_key"] = seq[fires]
-        out[name] = sums
-        state.update((int(count + len(pdf)), allv[-(size - 1):] if size > 1 else []))
-        yield out
+        state.update((int(seq[-1]), allv[-(size - 1):] if size > 1 else []))
+        yield emit(cols, seq, fires, sums)
+
+    def fold_count(k, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        # counting: the window count is least(ordinal, size); only the
+        # key's record count is state
+        cols = sorted_columns(chunks)
+        count = state.get[0] if state.exists else 0
+        seq = np.arange(count + 1, count + len(cols[key]) + 1, dtype=np.int64)
+        fires = np.nonzero(seq % slide == 0)[0]
+        state.update((int(seq[-1]), None))
+        yield emit(cols, seq, fires, np.minimum(seq[fires], size))
 
     return src.select(key, *order, vcol).groupBy(key).applyInPandasWithState(
-        fold, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+        fold if value else fold_count, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+
+
+def stream_rolling_count(stream: DataFrame, key: str, order: Sequence[str], name: str = "n") -> DataFrame:
+    """Per-record running count of each key on a stream (one output row per
+    input record): the count window with slide 1 and no size limit."""
+    out = stream_count_window(stream, key, order, 2**62, 1, None, name)
+    return out.drop("seq_in_key")
 
 
 def stream_top_speed(stream: DataFrame, key: str, ts_us: str, seq: str, speed_centi: str, speed: str,
