@@ -82,3 +82,27 @@ def test_token_edges(spark):
 def test_whitespace_tokens_strip_vertical_tab(spark):
     df = lines(spark, ["a\x0bb  C\td"])
     assert [r.word for r in tokenize_whitespace(df).orderBy("pos").collect()] == ["ab", "c", "d"]
+
+
+@pytest.mark.parametrize("size,slide", [(7, 3), (40, 2), (3, 5)])
+def test_count_window_prefix_plan_matches_expand_plan(spark, size, slide):
+    import random
+
+    from tidepool.sources.records import from_tuples
+
+    rnd = random.Random(size * 100 + slide)
+    rows = [("hot" if rnd.random() < 0.5 else f"k{rnd.randrange(5)}", i, rnd.randrange(-50, 100))
+            for i in range(1500)]
+    df = from_tuples(spark, rows, "key string, o long, v long")
+    a = count_window(df, ["key"], ["o"], size, slide, F.col("v"), n_blocks=9, strategy="expand")
+    b = count_window(df, ["key"], ["o"], size, slide, F.col("v"), n_blocks=9, strategy="prefix")
+    c = count_window(df, ["key"], ["o"], size, slide, F.col("v").cast("decimal(10,2)"), n_blocks=4,
+                     strategy="prefix")
+    ea = sorted(tuple(r) for r in a.collect())
+    assert ea == sorted(tuple(r) for r in b.collect())
+    assert [(k, o, s, float(n)) for k, o, s, n in ea] == \
+        sorted((r[0], r[1], r[2], float(r[3])) for r in c.collect())
+    # brute force for the hot key
+    hot = [v for k, _, v in rows if k == "hot"]
+    exp = [(i + 1, sum(hot[max(0, i + 1 - size):i + 1])) for i in range(len(hot)) if (i + 1) % slide == 0]
+    assert [(s, n) for k, _, s, n in ea if k == "hot"] == sorted(exp)

@@ -8,9 +8,17 @@ ordinal comes from the skew-safe blocked prefix count; then
 
 * counting (no value column): the firing record's window count is
   ``least(ordinal, size)`` -- no further shuffle;
-* summing a value: every record is copied to the ≤ ceil(size/slide) fires
-  whose window holds it, and ``(key, fire)`` groups are aggregated (partial
-  aggregation before the exchange, each group holds at most ``size`` rows).
+* summing a value, ``expand`` plan: every record is copied to the
+  ≤ ceil(size/slide) fires whose window holds it, and ``(key, fire)``
+  groups are aggregated (partial aggregation before the exchange, each
+  group holds at most ``size`` rows);
+* summing a value, ``prefix`` plan: the window sum is ``S(fire) -
+  S(fire - size)`` of the running sum ``S`` (same blocked pass as the
+  ordinal), looked up with one equi-join on ``(key, ordinal)`` between the
+  firing rows and the rows ``size`` earlier.  Exact for integral and
+  decimal values; its cost does not grow with ``size / slide``.  ``auto``
+  picks it for exact types when ``size / slide`` exceeds
+  :data:`EXPAND_MAX_RATIO`.
 """
 
 from __future__ import annotations
@@ -19,25 +27,45 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .prefix import MIN_ROWS_PER_BLOCK
-from .rolling import rolling_sum
+from .prefix import MIN_ROWS_PER_BLOCK, null_safe_join
+from .rolling import rolling_sum, rolling_sums
 
 ORDINAL = "seq_in_key"
+EXPAND_MAX_RATIO = 8
 
 
 def count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, slide: int,
                  value: Column | None = None, name: str = "n", block_on: str | Column | None = None,
                  n_blocks: int | None = None, block_source: DataFrame | None = None,
-                 min_rows_per_block: int = MIN_ROWS_PER_BLOCK) -> DataFrame:
+                 min_rows_per_block: int = MIN_ROWS_PER_BLOCK, strategy: str = "auto") -> DataFrame:
     """Rows ``(keys..., order..., seq_in_key, name)``, one per fire; ``order``
     columns and ``seq_in_key`` identify the firing record."""
     if size < 1 or slide < 1:
         raise ValueError("count window size and slide must be positive")
     keys, order = list(keys), list(order)
     src = df if value is None else df.withColumn("_val", value)
-    ranked = rolling_sum(src, keys, order, None, ORDINAL, block_on, n_blocks, block_source, min_rows_per_block)
     rn = F.col(ORDINAL)
+    if value is not None:
+        exact = isinstance(src.schema["_val"].dataType, (T.IntegralType, T.DecimalType))
+        if strategy == "auto":
+            strategy = "prefix" if exact and size // slide > EXPAND_MAX_RATIO else "expand"
+        if strategy == "prefix":
+            if not exact:
+                raise ValueError("the prefix count-window plan needs integral or decimal values")
+            ranked = rolling_sums(src, keys, order, {ORDINAL: F.lit(1).cast("long"), "_run": F.col("_val")},
+                                  block_on, n_blocks, block_source, min_rows_per_block)
+            fired = ranked.where(rn % slide == 0).select(*keys, *order, rn, "_run")
+            before = ranked.where((rn + size) % slide == 0).select(
+                *keys, (rn + size).alias(ORDINAL), F.col("_run").alias("_run_before"))
+            joined = null_safe_join(fired, before, [*keys, ORDINAL], "left")
+            run_type = ranked.schema["_run"].dataType
+            return joined.select(*keys, *order, rn, (F.col("_run") - F.coalesce(
+                F.col("_run_before"), F.lit(0).cast(run_type))).cast(run_type).alias(name))
+        if strategy != "expand":
+            raise ValueError(f"unknown strategy {strategy!r}")
+    ranked = rolling_sum(src, keys, order, None, ORDINAL, block_on, n_blocks, block_source, min_rows_per_block)
     if value is None:
         return (ranked.where(rn % slide == 0)
                 .select(*keys, *order, rn, F.least(rn, F.lit(size)).cast("long").alias(name)))

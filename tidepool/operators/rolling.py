@@ -3,7 +3,7 @@ and the final totals."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +32,15 @@ def rolling_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     (default ``df``) -- pass the un-exploded input when ``df`` is derived by
     a flat-map, so the range scan stays cheap.
     """
+    measure = F.lit(1).cast("long") if value is None else value
+    return rolling_sums(df, keys, order, {name: measure}, block_on, n_blocks, block_source, min_rows_per_block)
+
+
+def rolling_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: Mapping[str, Column],
+                 block_on: str | Column | None = None, n_blocks: int | None = None,
+                 block_source: DataFrame | None = None,
+                 min_rows_per_block: int = MIN_ROWS_PER_BLOCK) -> DataFrame:
+    """:func:`rolling_sum` for several measures at once (one pass)."""
     if block_on is None:
         block_on = order[0]
     if n_blocks is not None:          # an explicit block count is used as given
@@ -40,6 +49,5 @@ def rolling_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     block_val = F.col(block_on) if isinstance(block_on, str) else block_on
     blk = range_block(block_source if block_source is not None else df, block_val, n_blocks,
                       min_rows_per_block)
-    measure = F.lit(1).cast("long") if value is None else value
-    out = blocked_running_totals(df, keys, [F.col(c) for c in order], blk, {name: measure})
+    out = blocked_running_totals(df, keys, [F.col(c) for c in order], blk, measures)
     return out.drop(BLOCK)

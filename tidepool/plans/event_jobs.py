@@ -127,6 +127,15 @@ def count_window_sum_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(out.withColumn("value_sum", F.col("value_sum").cast("double")))
 
 
+def count_window_sum_events_100_2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count window 100 / 2 per user summing a value: large size/slide, so
+    the prefix-difference plan is chosen."""
+    ev = events(spark, sf_dir, ("event_id", "ts", "user_id", "value"))
+    out = count_window(ev, ["user_id"], ["ts", "event_id"], 100, 2, F.col("value").cast("decimal(18,2)"),
+                       name="value_sum", block_on=F.unix_micros("ts"))
+    return as_ntz(out.withColumn("value_sum", F.col("value_sum").cast("double")))
+
+
 def max_by_record_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per user, the whole event with the largest value (earliest on ties)."""
     ev = events(spark, sf_dir, ("event_id", "ts", "user_id", "event_type", "value"))

@@ -74,6 +74,17 @@ SELECT user_id, make_timestamp(s) AS window_start, make_timestamp(s + {size_us})
 FROM w GROUP BY user_id, s"""
 
 
+def _events_count_window(size: int, slide: int) -> str:
+    return f"""WITH r AS (
+  SELECT user_id, ts, event_id,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq_in_key,
+         sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id ORDER BY ts, event_id
+             ROWS BETWEEN {size - 1} PRECEDING AND CURRENT ROW) AS vs
+  FROM events)
+SELECT user_id, ts, event_id, seq_in_key, CAST(vs AS DOUBLE) AS value_sum FROM r
+WHERE seq_in_key % {slide} = 0"""
+
+
 _ODO = """o AS (
   SELECT event_id AS seq, CAST(user_id % 8 AS INTEGER) AS car_id, value AS speed, ts, epoch_us(ts) AS t,
          CAST(dc AS BIGINT) AS dist_c, CAST(dc AS DOUBLE) / 360.0 AS distance,
@@ -127,13 +138,8 @@ FROM g GROUP BY user_id, sid""",
 FROM events""",
     "reduce_generic": """SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_sum
 FROM events GROUP BY user_id""",
-    "count_window_sum_events": """WITH r AS (
-  SELECT user_id, ts, event_id,
-         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq_in_key,
-         sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id ORDER BY ts, event_id
-             ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS vs
-  FROM events)
-SELECT user_id, ts, event_id, seq_in_key, CAST(vs AS DOUBLE) AS value_sum FROM r WHERE seq_in_key % 5 = 0""",
+    "count_window_sum_events": _events_count_window(10, 5),
+    "count_window_sum_events_100_2": _events_count_window(100, 2),
     "max_by_record": """SELECT user_id, event_id, ts, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, ts, event_id) AS rn FROM events)
 WHERE rn = 1""",

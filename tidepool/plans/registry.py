@@ -41,6 +41,7 @@ def queries() -> dict[str, Query]:
         "keyed_running_sum": E.keyed_running_sum,
         "reduce_generic": E.reduce_generic,
         "count_window_sum_events": E.count_window_sum_events,
+        "count_window_sum_events_100_2": E.count_window_sum_events_100_2,
         "max_by_record": E.max_by_record_q,
         # cars
         "parse_telemetry": E.parse_telemetry_q,
