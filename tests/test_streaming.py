@@ -79,3 +79,26 @@ def test_late_rows_are_dropped(spark):
     got = sorted((r.window_start.second, r.n) for r in spark.read.parquet(out).collect())
     assert got == [(0, 1), (10, 1), (20, 1)]
     assert sum(s.get("numRowsDroppedByWatermark", 0) for p in progress for s in p["stateOperators"]) >= 1
+
+
+def test_processing_time_windows_close_on_later_batches(spark):
+    import time
+
+    from tidepool.streaming.windows import processing_time_sliding
+
+    src, out, ckpt = (scratch_path(spark, n) for n in ("t-pt-src", "t-pt-out", "t-pt-ckpt"))
+    schema = "key int, v int"
+
+    def run(rows):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
+        agg = processing_time_sliding(spark.readStream.schema(schema).parquet(src), ["key"], "2 seconds",
+                                      "1 second", {"v": F.sum("v")})
+        q = sink(agg, out).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+        q.awaitTermination()
+
+    run([(i % 3, 1) for i in range(30)])
+    time.sleep(2.5)                      # the wall clock passes every window of the first batch
+    run([(9, 1)])
+    rows = spark.read.parquet(out).where("key < 9").collect()
+    # every record lands in size / slide = 2 windows
+    assert sum(r.v for r in rows) == 60
