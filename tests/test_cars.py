@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import TELEMETRY
+from tidepool.functions.fixed import TOP_SPEED_EVICTION_SEC, TOP_SPEED_TRIGGER_METERS
 from tidepool.operators.delta import delta_trigger_fires
 from tidepool.operators.trailing import max_by_record, trailing_time_max
 from tidepool.sources.records import from_elements, from_tuples, parse_telemetry
@@ -22,8 +23,10 @@ def test_delta_trigger_golden(spark, n_blocks):
 
 def test_top_speed_golden(spark):
     df = car_df(spark)
-    tops = trailing_time_max(df, ["car_id"], "ts", 10_000_000, "speed", ["speed", "ts_ms", "seq"], ["seq"])
-    fires = delta_trigger_fires(df, ["car_id"], "ts", "seq", "distance", 50.0).select("car_id", "seq")
+    tops = trailing_time_max(df, ["car_id"], "ts", TOP_SPEED_EVICTION_SEC * 1_000_000, "speed",
+                             ["speed", "ts_ms", "seq"], ["seq"])
+    fires = delta_trigger_fires(df, ["car_id"], "ts", "seq", "distance", TOP_SPEED_TRIGGER_METERS) \
+        .select("car_id", "seq")
     got = sorted((r.seq, r.top_speed, r.top_ts_ms) for r in tops.join(fires, ["car_id", "seq"], "left_semi").collect())
     assert got == [(2, 90, 1000), (3, 90, 12000), (5, 90, 12000)]
 

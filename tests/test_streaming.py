@@ -1,7 +1,8 @@
-import pytest
 from pyspark.sql import functions as F
 
 from fixtures import SESSION_ROWS, TELEMETRY, WINDOW_WORDS
+from tidepool.functions.fixed import (SESSION_GAP_MS, SESSION_WATERMARK_LAG_MS, TOP_SPEED_EVICTION_SEC,
+                                      TOP_SPEED_TRIGGER_METERS)
 from tidepool.operators.tokenize import tokenize_words
 from tidepool.session import scratch_path
 from tidepool.sources.records import from_elements, from_tuples
@@ -17,11 +18,11 @@ def sink(df, path):
 def test_stream_sessions_one_record_per_batch(spark):
     df = from_tuples(spark, SESSION_ROWS, "key string, t_ms long, value int").withColumn("ts", F.timestamp_millis("t_ms"))
     out = scratch_path(spark, "t-sess")
-    delay = watermark_delay_for_lag(16)
+    delay = watermark_delay_for_lag(SESSION_WATERMARK_LAG_MS)
     assert delay == "15 milliseconds"
 
     def build(stream):
-        agg = stream_session_agg(stream, ["key"], "ts", "3 milliseconds", delay,
+        agg = stream_session_agg(stream, ["key"], "ts", f"{SESSION_GAP_MS} milliseconds", delay,
                                  {"first_t": F.min_by("t_ms", "seq"), "sum": F.sum("value")})
         return sink(agg, out)
 
@@ -57,7 +58,8 @@ def test_stream_top_speed_golden(spark):
 
     def build(stream):
         return sink(stateful.stream_top_speed(stream, "car_id", "ts_us", "seq", "speed_c", "speed",
-                                              50 * 360, 10_000_000), out)
+                                              int(TOP_SPEED_TRIGGER_METERS * 360),
+                                              TOP_SPEED_EVICTION_SEC * 1_000_000), out)
 
     replay(df, F.col("seq"), 3, build, "t-top")
     got = sorted((r.fire_seq, r.top_speed, r.top_ts_us // 1000) for r in spark.read.parquet(out).collect())

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import SESSION_ROWS
+from tidepool.functions.fixed import SESSION_GAP_MS
 from tidepool.operators.prefix import blocked_running_totals, range_block
 from tidepool.operators.session import session_windows
 from tidepool.operators.time_window import sliding_window_agg
@@ -17,7 +18,7 @@ def session_df(spark):
 
 @pytest.mark.parametrize("n_blocks", [1, 4, 16])
 def test_session_golden(spark, n_blocks):
-    out = session_windows(session_df(spark), ["key"], "ts", 3000, {"sum": F.sum("value")},
+    out = session_windows(session_df(spark), ["key"], "ts", SESSION_GAP_MS * 1000, {"sum": F.sum("value")},
                           first_fields=["t_ms"], tiebreak=["seq"], n_blocks=n_blocks)
     got = sorted((r.key, r.first_t_ms, r.sum) for r in out.collect())
     assert got == [("a", 1, 1), ("a", 10, 1), ("b", 1, 6), ("b", 16, 1), ("c", 6, 1), ("c", 11, 1), ("d", 11, 1)]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.fixed import KEYED_RANGE_KEYS
+from ..functions.fixed import KEYED_RANGE_KEYS, TELEMETRY_FIELDS
 from ..functions.telemetry import cast_field, line_fields
 from .tables import as_utc_timestamp
 
@@ -111,14 +111,10 @@ def parse_telemetry(lines: DataFrame, line_col: str = "line", strict: bool = Tru
     ignored.  Strict mode fails the job on a malformed line; permissive mode
     keeps the row with NULL fields and ``parse_ok = false``."""
     fields = line_fields(F.col(line_col))
-    car = cast_field(fields, 0, "int", strict)
-    speed = cast_field(fields, 1, "int", strict)
-    dist = cast_field(fields, 2, "double", strict)
-    ts_ms = cast_field(fields, 3, "bigint", strict)
+    types = ("int", "int", "double", "bigint")
     out = lines.select(
         *[c for c in lines.columns if c != line_col],
-        car.alias("car_id"), speed.alias("speed"), dist.alias("distance"),
-        ts_ms.alias("ts_ms"),
+        *[cast_field(fields, i, t, strict).alias(n) for i, (n, t) in enumerate(zip(TELEMETRY_FIELDS, types))],
     ).withColumn("ts", F.timestamp_millis("ts_ms"))
     if not strict:
         ok = F.col("car_id").isNotNull() & F.col("speed").isNotNull() & F.col("distance").isNotNull() \
