@@ -89,3 +89,31 @@ def test_parse_telemetry_strict_and_permissive(spark):
     with pytest.raises(Exception):
         parse_telemetry(bad).collect()
     assert parse_telemetry(bad, strict=False).first().parse_ok is False
+
+
+def test_trailing_max_at_fires_golden(spark):
+    from tidepool.operators.trailing import trailing_max_at
+
+    df = car_df(spark)
+    fires = delta_trigger_fires(df, ["car_id"], "ts", "seq", "distance", TOP_SPEED_TRIGGER_METERS)
+    out = trailing_max_at(fires, df, ["car_id"], "ts", "seq", TOP_SPEED_EVICTION_SEC * 1_000_000, "speed",
+                          ["speed", "ts_ms", "seq"])
+    assert sorted((r.seq, r.top_speed, r.top_ts_ms) for r in out.collect()) == \
+        [(2, 90, 1000), (3, 90, 12000), (5, 90, 12000)]
+
+
+def test_trailing_max_at_orders_equal_timestamps_by_arrival(spark):
+    from tidepool.operators.trailing import trailing_max_at
+
+    rnd = random.Random(9)
+    rows = [(rnd.randrange(2), rnd.randrange(0, 60) * 10, rnd.randrange(6)) for _ in range(400)]  # many equal ts
+    df = from_tuples(spark, rows, "car_id int, t long, speed int").withColumn("ts", F.timestamp_micros("t"))
+    points = df.where(F.col("seq") % 7 == 0)
+    out = trailing_max_at(points, df, ["car_id"], "ts", "seq", 50, "speed", ["seq"]).collect()
+    assert len(out) == len([i for i in range(len(rows)) if i % 7 == 0])
+    for r in out:
+        c, t, _ = rows[r.seq]
+        frame = [(s, tt, i) for i, (cc, tt, s) in enumerate(rows)
+                 if cc == c and t - 50 < tt <= t and (tt < t or i <= r.seq)]
+        best = max(s for s, _, _ in frame)
+        assert r.top_seq == min((tt, i) for s, tt, i in frame if s == best)[1]

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import BLOCK, MIN_ROWS_PER_BLOCK, default_blocks
+from .prefix import BLOCK, MIN_ROWS_PER_BLOCK, default_blocks, null_safe_join
 
 
 def record_order(value: str, ts: str, tiebreak: Sequence[str]) -> Column:
@@ -67,3 +67,39 @@ def trailing_time_max(df: DataFrame, keys: Sequence[str], ts: str, span_us: int,
     top = F.max_by(F.struct(*[F.col(c) for c in fields]), record_order(value, ts, tiebreak)).over(w)
     out = both.withColumn("_top", top).where(~F.col("_halo"))
     return out.select(*df.columns, *[F.col(f"_top.{c}").alias(prefix + c) for c in fields])
+
+
+def trailing_max_at(points: DataFrame, records: DataFrame, keys: Sequence[str], ts: str, seq: str, span_us: int,
+                    value: str, fields: Sequence[str], prefix: str = "top_") -> DataFrame:
+    """For each row of ``points`` (records at which a report is due, e.g.
+    trigger fires), ``prefix + field`` columns of the max-``value`` record
+    among ``records`` of the same key that arrived no later (``(ts, seq)``
+    order) within ``(ts - span, ts]`` (earliest on ties).
+
+    A range join bucketed by ``span``: each point looks into its own and the
+    previous bucket, so a point meets only the records of one span, and the
+    join key ``(key, bucket)`` spreads a hot key over its time range.  The
+    work is ``points × records per span`` -- for delta-trigger fires at most
+    (distance per span / threshold + 1) points share a span, whatever the
+    sampling rate, where a per-record RANGE frame costs ``records ×
+    records per span``.  Equal timestamps are ordered by ``seq`` exactly.
+    """
+    keys = list(keys)
+    t_us = F.unix_micros(F.col(ts).cast("timestamp"))
+
+    def bucket(c: str) -> Column:
+        return F.floor(F.col(c) / F.lit(span_us)).cast("long")
+
+    pts = points.select(*keys, F.col(seq).alias("_pseq"), t_us.alias("_pt")).withColumn(
+        "_b", F.explode(F.array(bucket("_pt"), bucket("_pt") - 1)))
+    rec_cols = list(dict.fromkeys([*fields, value, ts, seq]))
+    recs = records.select(*keys, *[F.col(c).alias(f"_r_{c}") for c in rec_cols], t_us.alias("_rt")) \
+        .withColumn("_b", bucket("_rt"))
+    pairs = null_safe_join(pts, recs, [*keys, "_b"]).where(
+        (F.col("_rt") > F.col("_pt") - F.lit(span_us)) & (F.col("_rt") <= F.col("_pt"))
+        & ((F.col("_rt") < F.col("_pt")) | (F.col(f"_r_{seq}") <= F.col("_pseq"))))
+    order = F.struct(F.col(f"_r_{value}"), F.negative(F.col("_rt")), F.negative(F.col(f"_r_{seq}")))
+    best = pairs.groupBy(*keys, "_pseq").agg(
+        F.max_by(F.struct(*[F.col(f"_r_{c}").alias(c) for c in fields]), order).alias("_top"))
+    tops = best.select(*keys, F.col("_pseq").alias(seq), *[F.col(f"_top.{c}").alias(prefix + c) for c in fields])
+    return null_safe_join(points, tops, [*keys, seq])

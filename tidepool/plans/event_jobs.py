@@ -28,7 +28,7 @@ from ..operators.delta import delta_trigger_fires
 from ..operators.rolling import keyed_totals, rolling_sum
 from ..operators.session import session_windows
 from ..operators.time_window import sliding_window_agg
-from ..operators.trailing import max_by_record, trailing_time_max
+from ..operators.trailing import max_by_record, trailing_max_at, trailing_time_max
 from ..sources.records import keyed_range, parse_telemetry, telemetry_from_events, telemetry_lines
 from ..sources.tables import as_utc_timestamp, read_table
 
@@ -191,7 +191,7 @@ def top_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     the fastest record of the trailing span (earliest on ties)."""
     tel = telemetry(spark, sf_dir)
     odo = with_odometer(tel)
-    fires = _fires(odo, tel).select("car_id", "seq")
-    tops = _trailing(odo, tel).join(fires, ["car_id", "seq"], "left_semi")
+    fires = _fires(odo, tel).select("car_id", "seq", "ts")
+    tops = trailing_max_at(fires, odo, ["car_id"], "ts", "seq", CAR_EVICT_SEC * SECOND_US, "speed", TOP_FIELDS)
     return as_ntz(tops.select("car_id", F.col("seq").alias("fire_seq"),
                               *[F.col("top_" + c) for c in TOP_FIELDS]))
