@@ -155,3 +155,14 @@ SELECT seq, car_id, speed, ts, dist_c, distance FROM fires""",
 SELECT tr.car_id, tr.seq AS fire_seq, tr.top_seq, tr.top_speed, tr.top_distance, tr.top_ts
 FROM tr JOIN fires f ON tr.car_id = f.car_id AND tr.seq = f.seq""",
 })
+
+
+# Late rows: quartile slices of the event time range replayed in the order
+# 0, 2, 3, 1 with a 1 h watermark delay -- the whole second quartile arrives
+# behind the watermark and is dropped; the rest is counted per 1 h window.
+ORACLE["stream_late_drop"] = """WITH e AS (SELECT event_type, epoch_us(ts) AS t FROM events),
+b AS (SELECT min(t) AS lo, (CAST(max(t) AS DOUBLE) - CAST(min(t) AS DOUBLE)) / 4 AS span FROM e),
+s AS (SELECT e.event_type, e.t, least(floor((e.t - b.lo) / b.span), 3) AS slice FROM e, b)
+SELECT event_type, make_timestamp(t // 3600000000 * 3600000000) AS window_start,
+       make_timestamp(t // 3600000000 * 3600000000 + 3600000000) AS window_end, count(*) AS n
+FROM s WHERE slice <> 1 GROUP BY event_type, t // 3600000000"""
