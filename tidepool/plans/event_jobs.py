@@ -25,7 +25,8 @@ from ..functions.fixed import SLIDING_SIZE_MS, SLIDING_SLIDE_MS, TOP_SPEED_TRIGG
 from ..functions.telemetry import centi_kmh_seconds_to_metres, speed_centi
 from ..operators.count_window import count_window
 from ..operators.delta import delta_trigger_fires
-from ..operators.rolling import keyed_totals, rolling_sum
+from ..operators.reduce import keyed_reduce
+from ..operators.rolling import rolling_sum
 from ..operators.session import session_windows
 from ..operators.time_window import sliding_window_agg
 from ..operators.trailing import max_by_record, trailing_max_at, trailing_time_max
@@ -113,10 +114,11 @@ def keyed_running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reduce_generic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyed reduce with an associative combine (sum) -- final values."""
-    ev = events(spark, sf_dir, ("user_id", "value"))
-    return keyed_totals(ev, ["user_id"], F.col("value").cast("decimal(18,2)"), "value_sum") \
-        .withColumn("value_sum", F.col("value_sum").cast("double"))
+    """Keyed reduce with a user-supplied associative combine (here ``+``),
+    folded as a tree of bounded groups -- final values."""
+    ev = events(spark, sf_dir, ("event_id", "user_id", "value"))
+    out = keyed_reduce(ev, ["user_id"], F.col("value").cast("decimal(38,2)"), lambda a, b: a + b, "value_sum")
+    return out.withColumn("value_sum", F.col("value_sum").cast("double"))
 
 
 def count_window_sum_events(spark: SparkSession, sf_dir: str) -> DataFrame:
