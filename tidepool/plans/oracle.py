@@ -10,7 +10,7 @@ from __future__ import annotations
 
 _WORDS = r"""
 words AS (
-  SELECT doc_id, pos, word FROM (
+  SELECT doc_id, CAST(pos AS INTEGER) AS pos, word FROM (
     SELECT doc_id,
            unnest(range(len(regexp_split_to_array(lower(text), '\W+')))) AS pos,
            unnest(regexp_split_to_array(lower(text), '\W+')) AS word
@@ -20,7 +20,7 @@ words AS (
 
 _TWEET_WORDS = """
 tweet_words AS (
-  SELECT doc_id, pos, word FROM (
+  SELECT doc_id, CAST(pos AS INTEGER) AS pos, word FROM (
     SELECT doc_id, pos, lower(regexp_replace(piece, '[ \t\n\x0B\f\r]', '', 'g')) AS word FROM (
       SELECT doc_id,
              unnest(range(len(regexp_split_to_array(text, '[ \t\n\r\f]+')))) AS pos,
@@ -49,7 +49,7 @@ SELECT doc_id, pos, word,
        count(*) OVER (PARTITION BY word ORDER BY doc_id, pos ROWS UNBOUNDED PRECEDING) AS n
 FROM words""",
     "src_text_lines": f"WITH {_WORDS} SELECT '(' || word || ',' || count(*) || ')' AS line FROM words GROUP BY word",
-    "word_lengths_total": f"WITH {_WORDS} SELECT word, sum(length(word)) AS chars FROM words GROUP BY word",
+    "word_lengths_total": f"WITH {_WORDS} SELECT word, CAST(sum(length(word)) AS BIGINT) AS chars FROM words GROUP BY word",
     "count_window_sum_10_5": _count_window(10, 5),
     "count_window_sum_6_1": _count_window(6, 1),
     "count_window_tumbling_5": _count_window(5, 5),
