@@ -32,17 +32,18 @@ def text_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataF
 
     Batch: the order key ``(file, line_start, line_no)`` is the line order
     inside each file (``line_no`` increases within a split; splits of a file
-    are ordered by their start offset).  Streaming: each new file is a
-    micro-batch, ``line_no`` orders lines inside it.
+    are ordered by their start offset).  Streaming: new files arrive in
+    micro-batches; Spark offers no per-line id on streams, so only
+    ``(file, line_start)`` is given (``line_no`` is NULL).
     """
     reader = spark.readStream if streaming else spark.read
-    df = reader.text(path).select(
+    line_no = F.lit(None).cast("long") if streaming else F.monotonically_increasing_id()
+    return reader.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("line_start"),
-        F.monotonically_increasing_id().alias("line_no"),
+        line_no.alias("line_no"),
         F.col("value").alias("line"),
     )
-    return df
 
 
 def json_records(documents: DataFrame) -> DataFrame:
