@@ -9,9 +9,9 @@ Here the order axis is cut into ``n_blocks`` monotone blocks:
 
 1. local running totals per ``(key, block)`` -- one hash exchange on
    ``(key, block)``, so a hot key is spread over many tasks;
-2. per ``(key, block)`` totals = the running total at the block's last
-   row, aggregated from the same partitioning (the exchange is reused, the
-   input is read once);
+2. per ``(key, block)`` totals by partial aggregation of the input (a
+   second, narrow scan and a small exchange -- cheaper than re-reading the
+   rows' shuffle, which a flat-map makes much larger than the input);
 3. exclusive prefix of the block totals per key -- a window over at most
    ``n_blocks`` rows per key;
 4. the offset is joined back on ``(key, block)``; the row side is already
@@ -111,13 +111,11 @@ def blocked_running_totals(
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.select("*", *[F.sum(f"_m_{n}").over(w_local).alias(f"_loc_{n}") for n in measures])
 
-    # The block total is the running total at the block's last row.  Taking
-    # it from the window output (rather than re-aggregating the input) keeps
-    # both branches on the same (key, block) exchange, which Spark reuses:
-    # the input is scanned and shuffled once.
-    last_row = F.struct(*[o if not isinstance(o, str) else F.col(o) for o in order])
-    totals = local.groupBy(*pk, BLOCK).agg(
-        *[F.max_by(f"_loc_{n}", last_row).alias(f"_tot_{n}") for n in measures])
+    # Block totals are re-derived from the input: Catalyst drops the unused
+    # window and aggregates partially before a tiny (key, block) exchange.
+    # Re-reading the rows' shuffle instead would cost more at scale -- after
+    # a flat-map (tokenising) the rows' exchange is far larger than the scan.
+    totals = local.groupBy(*pk, BLOCK).agg(*[F.sum(f"_m_{n}").alias(f"_tot_{n}") for n in measures])
     w_blocks = Window.partitionBy(*pk).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *pk, BLOCK,
@@ -125,8 +123,7 @@ def blocked_running_totals(
           .alias(f"_off_{n}") for n in measures],
     )
     joined = local.join(offsets, [*pk, BLOCK])
-    # wrapped keys are read back from the struct so both branches need the
-    # same columns from the shared exchange (otherwise pruning splits them)
+    # wrapped keys are read back from the struct (one copy travels)
     out_cols = [F.col(f"{KEY}.{c}").alias(c) if wrapped and c in keys else F.col(c) for c in df.columns]
     out_cols.append(F.col(BLOCK))
     return joined.select(
