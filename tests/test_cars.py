@@ -117,3 +117,27 @@ def test_trailing_max_at_orders_equal_timestamps_by_arrival(spark):
                  if cc == c and t - 50 < tt <= t and (tt < t or i <= r.seq)]
         best = max(s for s, _, _ in frame)
         assert r.top_seq == min((tt, i) for s, tt, i in frame if s == best)[1]
+
+
+def test_trailing_max_pane_plan_exact_with_equal_timestamps(spark):
+    rnd = random.Random(12)
+    rows = [(rnd.randrange(2), rnd.randrange(0, 80) * 5, rnd.randrange(6)) for _ in range(700)]
+    df = from_tuples(spark, rows, "car_id int, t long, speed int").withColumn("ts", F.timestamp_micros("t"))
+    out = trailing_time_max(df, ["car_id"], "ts", 60, "speed", ["seq", "speed"], ["seq"], strategy="panes")
+    got = out.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        c, t, _ = rows[r.seq]
+        frame = [(s, tt, i) for i, (cc, tt, s) in enumerate(rows)
+                 if cc == c and t - 60 < tt <= t and (tt < t or i <= r.seq)]
+        best = max(s for s, _, _ in frame)
+        assert r.top_seq == min((tt, i) for s, tt, i in frame if s == best)[1]
+
+
+def test_trailing_max_plans_agree_on_unique_timestamps(spark):
+    rnd = random.Random(13)
+    rows = [(rnd.randrange(3), i * 3 + rnd.randrange(3), rnd.randrange(9)) for i in range(900)]
+    df = from_tuples(spark, rows, "car_id int, t long, speed int").withColumn("ts", F.timestamp_micros("t"))
+    a = trailing_time_max(df, ["car_id"], "ts", 40, "speed", ["seq"], ["seq"], strategy="frame", n_blocks=7)
+    b = trailing_time_max(df, ["car_id"], "ts", 40, "speed", ["seq"], ["seq"], strategy="panes")
+    assert sorted((r.seq, r.top_seq) for r in a.collect()) == sorted((r.seq, r.top_seq) for r in b.collect())

@@ -36,22 +36,40 @@ def max_by_record(df: DataFrame, keys: Sequence[str], value: str, fields: Sequen
     return df.groupBy(*keys).agg(rec.alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in fields])
 
 
+FRAME_MAX_ROWS_PER_SPAN = 32
+
+
 def trailing_time_max(df: DataFrame, keys: Sequence[str], ts: str, span_us: int, value: str,
                       fields: Sequence[str], tiebreak: Sequence[str] = (), prefix: str = "top_",
                       n_blocks: int | None = None, min_rows_per_block: int = MIN_ROWS_PER_BLOCK,
-                      block_source: DataFrame | None = None) -> DataFrame:
+                      block_source: DataFrame | None = None, strategy: str = "auto") -> DataFrame:
     """Every record plus ``prefix + field`` columns of the max-``value``
     record in its trailing span (earliest on ties).
 
-    Records of one key with equal ``ts`` are peers of each other's frame;
-    keep ``(key, ts)`` unique for exact arrival semantics.  ``block_source``
-    (default ``df``) supplies the time range for the blocks.
+    Two plans:
+
+    * ``frame`` -- a RANGE-frame ``max_by`` per ``(key, time block)`` with a
+      halo; Spark re-evaluates the frame per row (cost records × records
+      per span), and records of one key with equal ``ts`` are peers;
+    * ``panes`` -- :func:`_trailing_max_panes`, linear in the records and
+      exact for equal timestamps (arrival order by ``tiebreak``).
+
+    ``auto`` takes ``frame`` when the table averages at most
+    :data:`FRAME_MAX_ROWS_PER_SPAN` records per span.  ``block_source``
+    (default ``df``) supplies the time range.
     """
     keys = list(keys)
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     base = df.withColumn("_t", t)
     stats = base if block_source is None else block_source.select(t.alias("_t"))
     lo, hi, n = stats.select(F.min("_t"), F.max("_t"), F.count("_t")).first()
+    if strategy == "auto":
+        per_span = n * span_us / max(1, (hi - lo + 1) if lo is not None else 1)
+        strategy = "frame" if per_span <= FRAME_MAX_ROWS_PER_SPAN else "panes"
+    if strategy == "panes":
+        return _trailing_max_panes(df, keys, ts, span_us, value, fields, tiebreak, prefix)
+    if strategy != "frame":
+        raise ValueError(f"unknown strategy {strategy!r}")
     if n_blocks is None:              # an explicit block count is used as given
         n_blocks = max(1, min(default_blocks(df), n // max(1, min_rows_per_block)))
     width = max(span_us, ((hi - lo) // n_blocks + 1) if lo is not None else span_us)
@@ -69,6 +87,53 @@ def trailing_time_max(df: DataFrame, keys: Sequence[str], ts: str, span_us: int,
     return out.select(*df.columns, *[F.col(f"_top.{c}").alias(prefix + c) for c in fields])
 
 
+def _trailing_max_panes(df: DataFrame, keys: Sequence[str], ts: str, span_us: int, value: str,
+                        fields: Sequence[str], tiebreak: Sequence[str], prefix: str) -> DataFrame:
+    """Trailing-span max in linear time.
+
+    With panes of width ``span``, the span ``(t - span, t]`` of a record in
+    pane ``P`` is a *prefix* of pane ``P`` (up to the record, in arrival
+    order) plus a *suffix* of pane ``P - 1`` (records later than
+    ``t - span``).  Per ``(key, pane)`` a running ``max_by`` gives every
+    prefix and a reversed running ``max_by`` every suffix (both incremental
+    window frames).  The suffix that starts right after ``t - span`` is found
+    by an as-of lookup: each record is sent, as a query at time
+    ``t - span``, into pane ``P - 1`` and sorted together with that pane's
+    records by descending time; the last suffix seen before the query is
+    the one wanted.  Two exchanges, sorts, no per-row frame re-evaluation.
+    """
+    keys = list(keys)
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    ordv = record_order(value, ts, tiebreak)
+    item = F.struct(ordv.alias("o"), F.struct(*[F.col(c) for c in fields]).alias("r"))
+    base = df.withColumn("_t", t).withColumn("_p", F.floor(F.col("_t") / F.lit(span_us)).cast("long"))
+    arrival = [F.col("_t"), *[F.col(c) for c in tiebreak]]
+    w_pre = Window.partitionBy(*keys, "_p").orderBy(*arrival).rowsBetween(Window.unboundedPreceding, 0)
+    w_suf = Window.partitionBy(*keys, "_p").orderBy(*[c.desc() for c in arrival]) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    runs = base.withColumn("_pre", F.max_by(item, ordv).over(w_pre)).withColumn(
+        "_suf", F.max_by(item, ordv).over(w_suf))
+    tb = [F.col(c) for c in tiebreak]
+    data = runs.select(*keys, "_p", F.col("_t").alias("_at"), F.lit(0).alias("_q"),
+                       *[c.alias(f"_tb{i}") for i, c in enumerate(tb)], "_suf")
+    queries = runs.select(*keys, (F.col("_p") - 1).alias("_p"), (F.col("_t") - F.lit(span_us)).alias("_at"),
+                          F.lit(1).alias("_q"), *[F.lit(None).cast(runs.schema[c].dataType).alias(f"_tb{i}")
+                                                  for i, c in enumerate(tiebreak)],
+                          F.lit(None).cast(runs.schema["_suf"].dataType).alias("_suf"),
+                          F.struct(*[F.col(c) for c in df.columns]).alias("_row"), "_pre")
+    both = data.unionByName(queries, allowMissingColumns=True)
+    # descending time; a query precedes records at its own time (they are
+    # exactly `span` old and out of its frame)
+    w_asof = Window.partitionBy(*keys, "_p").orderBy(
+        F.col("_at").desc(), F.col("_q").desc(), *[F.col(f"_tb{i}").desc() for i in range(len(tiebreak))]) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_old", F.last("_suf", ignorenulls=True).over(w_asof)).where(F.col("_q") == 1)
+    best = F.when(F.col("_old").isNull() | (F.col("_pre.o") >= F.col("_old.o")), F.col("_pre")) \
+        .otherwise(F.col("_old"))
+    return found.select(*[F.col(f"_row.{c}").alias(c) for c in df.columns],
+                        *[best.getField("r").getField(c).alias(prefix + c) for c in fields])
+
+
 def trailing_max_at(points: DataFrame, records: DataFrame, keys: Sequence[str], ts: str, seq: str, span_us: int,
                     value: str, fields: Sequence[str], prefix: str = "top_") -> DataFrame:
     """For each row of ``points`` (records at which a report is due, e.g.

@@ -178,16 +178,24 @@ def delta_trigger_fires_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOP_FIELDS = ["seq", "speed", "distance", "ts"]
 
 
-def _trailing(odo: DataFrame, tel: DataFrame) -> DataFrame:
+def _trailing(odo: DataFrame, tel: DataFrame, strategy: str = "auto") -> DataFrame:
     return trailing_time_max(odo, ["car_id"], "ts", CAR_EVICT_SEC * SECOND_US, "speed", TOP_FIELDS, ["seq"],
-                             block_source=tel)
+                             block_source=tel, strategy=strategy)
 
 
 def trailing_time_max_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every car record with the fastest record of its trailing hour."""
     tel = telemetry(spark, sf_dir)
     return as_ntz(_trailing(with_odometer(tel), tel))
 
 
+def trailing_time_max_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through the linear pane plan (chosen automatically for dense
+    spans)."""
+    tel = telemetry(spark, sf_dir)
+    return as_ntz(_trailing(with_odometer(tel), tel, "panes"))
+
+
 def top_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per car, every time it has moved more than 50 m since the last report,
     the fastest record of the trailing span (earliest on ties)."""

@@ -48,6 +48,7 @@ def queries() -> dict[str, Query]:
         "odometer": E.odometer,
         "delta_trigger_fires": E.delta_trigger_fires_q,
         "trailing_time_max": E.trailing_time_max_q,
+        "trailing_time_max_panes": E.trailing_time_max_panes,
         "top_speed": E.top_speed,
         # streaming forms (replayed slice by slice)
         "stream_session_sum": S.stream_session_sum,
@@ -65,19 +66,20 @@ def oracle_sql() -> dict[str, str]:
     from .oracle import ORACLE
 
     sql = dict(ORACLE)
-    # streaming forms must equal their batch forms
-    for stream_key, batch_key in STREAM_EQUIVALENTS.items():
-        sql[stream_key] = ORACLE[batch_key]
+    # alternative plans and streaming forms must equal their batch forms
+    for alt_key, batch_key in EQUIVALENTS.items():
+        sql[alt_key] = ORACLE[batch_key]
     return sql
 
 
-STREAM_EQUIVALENTS = {
+EQUIVALENTS = {
     "stream_session_sum": "session_window_sum",
     "stream_sliding_sum": "sliding_time_sum",
     "stream_count_window": "count_window_sum_6_1",
     "stream_word_count": "word_count",
     "stream_word_count_rolling": "word_count_rolling",
     "sink_tuple_text": "word_count",
+    "trailing_time_max_panes": "trailing_time_max",
     "stream_top_speed": "top_speed",
 }
 
