@@ -3,8 +3,8 @@
 Mappings (fixed by this library, mirrored in the oracle SQL):
 
 * keyed values: key ``user_id``, event time ``ts``, value ``value``; value
-  sums are exact (``DECIMAL(18,2)``, the data carries two decimals) and cast
-  to ``DOUBLE`` once at the end;
+  sums are exact (integer hundredths, the data carries two decimals) and
+  turned into ``DOUBLE`` once at the end;
 * cyclic keyed range: ``key = event_id mod 10000 + 1``, ``value = 1``,
   arrival time = ``event_id`` ms (one record per ms);
 * cars: ``car_id = user_id mod 8``, ``speed = value`` km/h sampled once per
@@ -39,9 +39,23 @@ CAR_EVICT_SEC = 3600          # trailing span for the events mapping (sparse per
 TRIGGER_CENTI = int(round(TOP_SPEED_TRIGGER_METERS * 360))   # 50 m in 1/100 km/h·s
 
 
+def cents(c: Column) -> Column:
+    """A two-decimal value as exact integer hundredths (the decimal cast
+    rounds the binary double to two places first)."""
+    return (c.cast("decimal(18,2)") * 100).cast("bigint")
+
+
+def from_cents(c: Column) -> Column:
+    """Integer hundredths as DOUBLE: one correctly rounded division, the
+    same double as casting the exact decimal sum."""
+    return c.cast("double") / F.lit(100.0)
+
+
 def exact_sum(c: Column) -> Column:
-    """Exact sum of a two-decimal value column."""
-    return F.sum(c.cast("decimal(18,2)"))
+    """Exact sum of a two-decimal value column, as DOUBLE.  Summed in
+    ``bigint`` hundredths: long arithmetic in generated code, where a
+    ``DECIMAL(28,2)`` buffer would run on BigDecimal."""
+    return from_cents(F.sum(cents(c)))
 
 
 def as_ntz(df: DataFrame) -> DataFrame:
@@ -58,9 +72,8 @@ def events(spark: SparkSession, sf_dir: str, columns=("event_id", "ts", "user_id
 def _value_windows(spark, sf_dir, size_us, slide_us, strategy="auto") -> DataFrame:
     ev = events(spark, sf_dir, ("ts", "user_id", "value"))
     out = sliding_window_agg(ev, ["user_id"], "ts", size_us, slide_us,
-                             {"n": ("count", F.lit(1)), "value_sum": ("sum", F.col("value").cast("decimal(18,2)"))},
-                             strategy)
-    return as_ntz(out.withColumn("value_sum", F.col("value_sum").cast("double")))
+                             {"n": ("count", F.lit(1)), "value_sum": ("sum", cents(F.col("value")))}, strategy)
+    return as_ntz(out.withColumn("value_sum", from_cents(F.col("value_sum"))))
 
 
 def sliding_time_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +113,7 @@ def session_window_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     record's id and type are carried (first = lowest (ts, event_id))."""
     ev = events(spark, sf_dir, ("event_id", "ts", "user_id", "event_type", "value"))
     out = session_windows(ev, ["user_id"], "ts", 3600 * SECOND_US,
-                          {"n_events": F.count(F.lit(1)), "value_sum": exact_sum(F.col("value")).cast("double")},
+                          {"n_events": F.count(F.lit(1)), "value_sum": exact_sum(F.col("value"))},
                           first_fields=["event_id", "event_type"], tiebreak=["event_id"])
     return as_ntz(out)
 
@@ -108,9 +121,9 @@ def session_window_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyed_running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rolling keyed sum per user in (ts, event_id) order: one row per event."""
     ev = events(spark, sf_dir, ("event_id", "ts", "user_id", "value"))
-    out = rolling_sum(ev, ["user_id"], ["ts", "event_id"], F.col("value").cast("decimal(18,2)"),
+    out = rolling_sum(ev, ["user_id"], ["ts", "event_id"], cents(F.col("value")),
                       name="running_value", block_on=F.unix_micros("ts"))
-    return as_ntz(out.withColumn("running_value", F.col("running_value").cast("double")))
+    return as_ntz(out.withColumn("running_value", from_cents(F.col("running_value"))))
 
 
 def reduce_generic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,18 +137,18 @@ def reduce_generic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def count_window_sum_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count window 10 / 5 per user summing a value (the general path)."""
     ev = events(spark, sf_dir, ("event_id", "ts", "user_id", "value"))
-    out = count_window(ev, ["user_id"], ["ts", "event_id"], 10, 5, F.col("value").cast("decimal(18,2)"),
+    out = count_window(ev, ["user_id"], ["ts", "event_id"], 10, 5, cents(F.col("value")),
                        name="value_sum", block_on=F.unix_micros("ts"))
-    return as_ntz(out.withColumn("value_sum", F.col("value_sum").cast("double")))
+    return as_ntz(out.withColumn("value_sum", from_cents(F.col("value_sum"))))
 
 
 def count_window_sum_events_100_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count window 100 / 2 per user summing a value: large size/slide, so
     the prefix-difference plan is chosen."""
     ev = events(spark, sf_dir, ("event_id", "ts", "user_id", "value"))
-    out = count_window(ev, ["user_id"], ["ts", "event_id"], 100, 2, F.col("value").cast("decimal(18,2)"),
+    out = count_window(ev, ["user_id"], ["ts", "event_id"], 100, 2, cents(F.col("value")),
                        name="value_sum", block_on=F.unix_micros("ts"))
-    return as_ntz(out.withColumn("value_sum", F.col("value_sum").cast("double")))
+    return as_ntz(out.withColumn("value_sum", from_cents(F.col("value_sum"))))
 
 
 def max_by_record_q(spark: SparkSession, sf_dir: str) -> DataFrame:

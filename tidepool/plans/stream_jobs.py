@@ -16,7 +16,7 @@ from ..streaming import stateful
 from ..streaming.windows import stream_session_agg, stream_sliding_agg
 from ..sources.records import telemetry_from_events
 from ..sources.tables import read_table
-from .event_jobs import CAR_EVICT_SEC, SECOND_US, TRIGGER_CENTI, as_ntz, events
+from .event_jobs import CAR_EVICT_SEC, SECOND_US, TRIGGER_CENTI, as_ntz, cents, events, from_cents
 
 N_SLICES = 5
 
@@ -35,14 +35,14 @@ def stream_session_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
             stream, ["user_id"], "ts", "1 hour", "1 hour",
             {"_first": F.min_by(F.struct("event_id", "event_type"), F.struct("ts", "event_id")),
              "n_events": F.count(F.lit(1)),
-             "value_sum": F.sum(F.col("value").cast("decimal(18,2)"))}), sink)
+             "value_sum": F.sum(cents(F.col("value")))}), sink)
 
     replay(ev, F.unix_micros("ts"), N_SLICES, build, "session", sentinel_row(ev, "ts", "30 days"))
     out = spark.read.parquet(sink)
     return as_ntz(out.select("user_id", "session_start", "session_end",
                              F.col("_first.event_id").alias("first_event_id"),
                              F.col("_first.event_type").alias("first_event_type"),
-                             "n_events", F.col("value_sum").cast("double").alias("value_sum")))
+                             "n_events", from_cents(F.col("value_sum")).alias("value_sum")))
 
 
 def stream_sliding_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,11 +53,11 @@ def stream_sliding_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(stream):
         return _parquet_sink(stream_sliding_agg(
             stream, ["user_id"], "ts", "2500 seconds", "500 seconds", "10 minutes",
-            {"n": F.count(F.lit(1)), "value_sum": F.sum(F.col("value").cast("decimal(18,2)"))}), sink)
+            {"n": F.count(F.lit(1)), "value_sum": F.sum(cents(F.col("value")))}), sink)
 
     replay(ev, F.unix_micros("ts"), N_SLICES, build, "sliding", sentinel_row(ev, "ts", "30 days"))
     out = spark.read.parquet(sink)
-    return as_ntz(out.withColumn("value_sum", F.col("value_sum").cast("double")))
+    return as_ntz(out.withColumn("value_sum", from_cents(F.col("value_sum"))))
 
 
 def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
