@@ -36,3 +36,16 @@ def test_malformed_json_strict_fails_permissive_skips(spark):
     with pytest.raises(Exception):
         english_records(df).collect()
     assert [r.text for r in english_records(df, strict=False).collect()] == ["ok"]
+
+
+def test_json_fast_path_edges(spark):
+    docs = [
+        "5", "[1, 2]", "null", '"x"',                                   # valid JSON, not objects: skipped
+        '{"text": "a", "text": "b", "user": {"lang": "en"}}',         # duplicate keys: last wins
+        '{"text": "{not an object}", "user": {"lang": "en"}}',        # a string that looks like one
+        '{"text": ["a"], "user": {"lang": "en"}}',                    # array text: empty text
+        '  {"text": "Hi There", "user": {"lang": "en", "x": [1]}}  ', # padding, extra fields
+        '{"text": "z", "user": {"lang": ["en"]}}',                    # lang not a string
+    ]
+    out = english_records(recs(spark, docs)).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.text) for r in out] == [(4, "b"), (5, "{not an object}"), (6, ""), (7, "Hi There")]

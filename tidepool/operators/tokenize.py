@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import json as J
-from ..functions.fixed import ENGLISH, JSON_LANG_PATH, JSON_TEXT_PATH
+from ..functions.fixed import ENGLISH, JSON_TEXT_PATH
 from ..functions.text import clean_tweet_piece, non_empty, tweet_pieces, word_pieces
 
 
@@ -35,17 +35,42 @@ def tokenize_whitespace(df: DataFrame, text_col: str = "text", keep: Sequence[st
     )
 
 
+# the two fields the English filter reads, plus the corrupt-record slot
+_FAST_SCHEMA = "text STRING, user STRUCT<lang STRING>, _corrupt STRING"
+
+
 def english_records(df: DataFrame, json_col: str = "json", strict: bool = True,
                     keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Records whose ``user.lang`` is exactly ``"en"`` and that have a
     ``text`` field (present JSON ``null`` counts; its text is ``"null"``).
-    Returns ``(keep..., text)``."""
-    v = J.parse(F.col(json_col), strict)
-    parsed = df.select(*keep, v.alias("_v"))
-    return (
-        parsed.where(J.text_equals(F.col("_v"), JSON_LANG_PATH, ENGLISH) & J.has(F.col("_v"), JSON_TEXT_PATH))
-        .select(*keep, J.as_text(J.field(F.col("_v"), JSON_TEXT_PATH)).alias("text"))
-    )
+    Returns ``(keep..., text)``.
+
+    Fast path: ``from_json`` with a two-field schema (a streaming parse that
+    skips everything else; duplicate keys resolve last-wins, as a JSON tree
+    parser does).  Exact fallbacks through ``VARIANT`` run only for rare
+    rows: records ``from_json`` flags as corrupt (valid non-object JSON is
+    skipped, malformed JSON fails the job in strict mode), and English
+    records whose text is NULL or starts with ``{``/``[`` (JSON ``null`` vs
+    missing, containers vs strings).
+    """
+    j = F.from_json(F.col(json_col), _FAST_SCHEMA,
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    rows = df.select(*keep, F.col(json_col).alias("_json"), j.alias("_j"))
+    corrupt = F.col("_j._corrupt").isNotNull()
+    if strict:
+        # evaluating the strict parser raises on malformed input; the
+        # comparison is never true, so valid non-object records drop out
+        rows = rows.where(~corrupt | (F.schema_of_variant(J.parse(F.col("_json"), True)) == F.lit("")))
+    else:
+        rows = rows.where(~corrupt)
+    english = F.coalesce(F.col("_j.user.lang") == F.lit(ENGLISH), F.lit(False))
+    text = F.col("_j.text")
+    ambiguous = text.isNull() | text.startswith("{") | text.startswith("[")
+    rows = rows.where(english).withColumn(
+        "_v", F.when(ambiguous, J.field(J.parse(F.col("_json"), False), JSON_TEXT_PATH)))
+    exact = J.as_text(F.col("_v"))
+    return (rows.where(~ambiguous | F.col("_v").isNotNull())
+            .select(*keep, F.when(ambiguous, exact).otherwise(text).alias("text")))
 
 
 def tokenize_tweets(df: DataFrame, json_col: str = "json", strict: bool = True,
