@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -41,13 +42,41 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
 def apply_recommended_conf(spark: SparkSession) -> None:
-    """Set the library's session options on an existing session (idempotent)."""
+    """Set the library's session options on an existing session (idempotent)
+    and make the package importable by the Python workers."""
     for k, v in RECOMMENDED_CONF.items():
         spark.conf.set(k, v)
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Distribute this package to the executors' Python workers
+    (``addPyFile`` of a zip), once per SparkContext.  Pandas-UDF stages and
+    stateful stream operators unpickle functions defined here, so workers
+    must be able to import it.  Not needed where the package is installed
+    on the cluster's Python.  The zip is code, built on the driver and
+    shipped by Spark's file server."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tidepool-code-"), "tidepool.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
 
 
 def shared_dir(spark: SparkSession) -> str:
