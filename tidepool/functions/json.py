@@ -38,9 +38,3 @@ def as_text(node: Column) -> Column:
         .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(""))
         .otherwise(F.try_variant_get(node, "$", "string"))
     )
-
-
-def text_equals(v: Column, path: str, literal: str) -> Column:
-    """Null-safe, case-sensitive ``has(path) && asText(path).equals(literal)``;
-    false (never NULL) when any step is missing."""
-    return F.coalesce(as_text(field(v, path)) == F.lit(literal), F.lit(False))

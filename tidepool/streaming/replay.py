@@ -68,3 +68,10 @@ def replay(df: DataFrame, slice_value: Column, n_slices: int,
             sentinel.write.mode("append").parquet(src)
             run_once()
     return progress
+
+
+def dropped_by_watermark(progress: list) -> int:
+    """Rows the stateful operators dropped as late, summed over the replay's
+    progress reports (Spark counts per aggregated row: a late record in two
+    sliding windows counts twice)."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in progress for op in p.get("stateOperators", []))
