@@ -31,6 +31,7 @@ from ..operators.session import session_windows
 from ..operators.time_window import sliding_window_agg
 from ..operators.trailing import max_by_record, trailing_max_at, trailing_time_max
 from ..sources.records import keyed_range, parse_telemetry, telemetry_from_events, telemetry_lines
+from ..session import materialize
 from ..sources.tables import as_utc_timestamp, read_table
 
 SECOND_US = 1_000_000
@@ -185,7 +186,7 @@ def _fires(odo: DataFrame, tel: DataFrame) -> DataFrame:
 
 def delta_trigger_fires_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     tel = telemetry(spark, sf_dir)
-    return as_ntz(_fires(with_odometer(tel), tel))
+    return as_ntz(_fires(materialize(with_odometer(tel)), tel))
 
 
 TOP_FIELDS = ["seq", "speed", "distance", "ts"]
@@ -199,21 +200,22 @@ def _trailing(odo: DataFrame, tel: DataFrame, strategy: str = "auto") -> DataFra
 def trailing_time_max_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every car record with the fastest record of its trailing hour."""
     tel = telemetry(spark, sf_dir)
-    return as_ntz(_trailing(with_odometer(tel), tel))
+    return as_ntz(_trailing(materialize(with_odometer(tel)), tel))
 
 
 def trailing_time_max_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through the linear pane plan (chosen automatically for dense
     spans)."""
     tel = telemetry(spark, sf_dir)
-    return as_ntz(_trailing(with_odometer(tel), tel, "panes"))
+    return as_ntz(_trailing(materialize(with_odometer(tel)), tel, "panes"))
 
 
 def top_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per car, every time it has moved more than 50 m since the last report,
     the fastest record of the trailing span (earliest on ties)."""
     tel = telemetry(spark, sf_dir)
-    odo = with_odometer(tel)
+    # read by the fold's stages, the fire join and the span join: computed once
+    odo = materialize(with_odometer(tel))
     fires = _fires(odo, tel).select("car_id", "seq", "ts")
     tops = trailing_max_at(fires, odo, ["car_id"], "ts", "seq", CAR_EVICT_SEC * SECOND_US, "speed", TOP_FIELDS)
     return as_ntz(tops.select("car_id", F.col("seq").alias("fire_seq"),

@@ -99,6 +99,14 @@ def shared_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+def materialize(df):
+    """Compute ``df`` once and cut its lineage (reliable ``checkpoint()``
+    into the shared checkpoint folder).  For an intermediate that several
+    branches of a plan read -- recomputing it would repeat its shuffles."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique path under the shared folder (never reused, never cleared)."""
     base = shared_dir(spark)
