@@ -14,8 +14,8 @@ ordinal comes from the skew-safe blocked prefix count; then
   group holds at most ``size`` rows);
 * summing a value, ``prefix`` plan: the window sum is ``S(fire) -
   S(fire - size)`` of the running sum ``S`` (same blocked pass as the
-  ordinal), looked up with one equi-join on ``(key, ordinal)`` between the
-  firing rows and the rows ``size`` earlier.  Exact for integral and
+  ordinal); each firing row and each row ``size`` before a fire is sent to
+  the fire's ``(key, ordinal)`` group (at most two rows) in one pass.  Exact for integral and
   decimal values; its cost does not grow with ``size / slide``.  ``auto``
   picks it for exact types when ``size / slide`` exceeds
   :data:`EXPAND_MAX_RATIO`.
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .prefix import MIN_ROWS_PER_BLOCK, null_safe_join
+from .prefix import MIN_ROWS_PER_BLOCK
 from .rolling import rolling_sum, rolling_sums
 
 ORDINAL = "seq_in_key"
@@ -56,13 +56,26 @@ def count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], size:
                 raise ValueError("the prefix count-window plan needs integral or decimal values")
             ranked = rolling_sums(src, keys, order, {ORDINAL: F.lit(1).cast("long"), "_run": F.col("_val")},
                                   block_on, n_blocks, block_source, min_rows_per_block)
-            fired = ranked.where(rn % slide == 0).select(*keys, *order, rn, "_run")
-            before = ranked.where((rn + size) % slide == 0).select(
-                *keys, (rn + size).alias(ORDINAL), F.col("_run").alias("_run_before"))
-            joined = null_safe_join(fired, before, [*keys, ORDINAL], "left")
             run_type = ranked.schema["_run"].dataType
-            return joined.select(*keys, *order, rn, (F.col("_run") - F.coalesce(
-                F.col("_run_before"), F.lit(0).cast(run_type))).cast(run_type).alias(name))
+            # one pass over the ranked rows: a firing row reports its running
+            # sum at its own ordinal, a row `size` before a fire reports its
+            # running sum at the fire's ordinal; (key, ordinal) groups hold
+            # at most these two rows
+            fire = F.when(rn % slide == 0, F.struct(rn.alias("_at"), F.lit(True).alias("_fire")))
+            before = F.when((rn + size) % slide == 0,
+                            F.struct((rn + size).alias("_at"), F.lit(False).alias("_fire")))
+            parts = ranked.select(*keys, *order, "_run", F.explode(F.filter(F.array(fire, before),
+                                                                       lambda x: x.isNotNull())).alias("_e"))
+            is_fire = F.col("_e._fire")
+            grouped = parts.groupBy(*keys, F.col("_e._at").alias(ORDINAL)).agg(
+                F.max(F.when(is_fire, F.col("_run"))).alias("_run"),
+                F.max(F.when(~is_fire, F.col("_run"))).alias("_run_before"),
+                F.max_by(F.struct(*order), is_fire.cast("int")).alias("_rec"),
+                F.max(is_fire.cast("int")).alias("_has_fire"))
+            return grouped.where(F.col("_has_fire") == 1).select(
+                *keys, *[F.col(f"_rec.{c}").alias(c) for c in order], ORDINAL,
+                (F.col("_run") - F.coalesce(F.col("_run_before"), F.lit(0).cast(run_type)))
+                .cast(run_type).alias(name))
         if strategy != "expand":
             raise ValueError(f"unknown strategy {strategy!r}")
     ranked = rolling_sum(src, keys, order, None, ORDINAL, block_on, n_blocks, block_source, min_rows_per_block)
