@@ -139,14 +139,16 @@ def _fires_fn(threshold):
 def delta_trigger_fires(df: DataFrame, keys: Sequence[str], ts: str, seq: str, measure: str,
                         threshold: float, n_blocks: int | None = None,
                         min_rows_per_block: int = 4 * MIN_ROWS_PER_BLOCK,
-                        block_source: DataFrame | None = None) -> DataFrame:
+                        block_source: DataFrame | None = None, full_rows: bool = True) -> DataFrame:
     """The records at which the delta trigger fires (all input columns).
 
     ``measure`` must be non-decreasing per key in ``(ts, seq)`` order (checked).
     Integral measures compare exactly; for floating ones the test is
     ``d_new > d_ref + threshold``.  ``block_source`` (default ``df``) supplies
     the time range for the blocks -- pass the raw input when ``df`` is
-    derived, so the range scan does not recompute the derivation.
+    derived, so the range scan does not recompute the derivation.  With
+    ``full_rows=False`` only ``(keys..., seq, ts)`` of the fires are
+    returned, without joining back to ``df``.
     """
     keys = list(keys)
     if n_blocks is not None:          # an explicit block count is used as given
@@ -172,5 +174,7 @@ def delta_trigger_fires(df: DataFrame, keys: Sequence[str], ts: str, seq: str, m
 
     with_entry = null_safe_join(slim, entries, [*keys, BLOCK])
     fire_rows = with_entry.groupBy(*keys, BLOCK).applyInPandas(_fires_fn(threshold), schema)
+    if not full_rows:
+        return fire_rows.select(*keys, F.col("_seq").alias(seq), F.timestamp_micros("_t").alias(ts))
     fire_ids = fire_rows.select(*keys, F.col("_seq").alias(seq))
     return null_safe_join(df, fire_ids.withColumn("_fire", F.lit(True)), [*keys, seq]).drop("_fire")

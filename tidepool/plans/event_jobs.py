@@ -180,8 +180,9 @@ def odometer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(with_odometer(telemetry(spark, sf_dir)))
 
 
-def _fires(odo: DataFrame, tel: DataFrame) -> DataFrame:
-    return delta_trigger_fires(odo, ["car_id"], "ts", "seq", "dist_c", TRIGGER_CENTI, block_source=tel)
+def _fires(odo: DataFrame, tel: DataFrame, full_rows: bool = True) -> DataFrame:
+    return delta_trigger_fires(odo, ["car_id"], "ts", "seq", "dist_c", TRIGGER_CENTI, block_source=tel,
+                               full_rows=full_rows)
 
 
 def delta_trigger_fires_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,7 +217,7 @@ def top_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     tel = telemetry(spark, sf_dir)
     # read by the fold's stages, the fire join and the span join: computed once
     odo = materialize(with_odometer(tel))
-    fires = _fires(odo, tel).select("car_id", "seq", "ts")
+    fires = _fires(odo, tel, full_rows=False)
     tops = trailing_max_at(fires, odo, ["car_id"], "ts", "seq", CAR_EVICT_SEC * SECOND_US, "speed", TOP_FIELDS)
     return as_ntz(tops.select("car_id", F.col("seq").alias("fire_seq"),
                               *[F.col("top_" + c) for c in TOP_FIELDS]))
