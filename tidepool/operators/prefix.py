@@ -102,7 +102,7 @@ def blocked_running_totals(
     """Add inclusive running totals ``measures`` (name → numeric column) per
     ``keys`` in ``order``.  ``block`` must be monotone in ``order`` (e.g.
     :func:`range_block` of the leading order column).  Keeps the ``_blk``
-    column (callers may reuse the partitioning) ."""
+    column."""
     keys = list(keys)
     base, pk, wrapped = partition_keys(df.withColumn(BLOCK, block), keys)
     for name, m in measures.items():

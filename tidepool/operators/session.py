@@ -12,8 +12,9 @@ key; one pass over the rows):
    iff its gap to the previous record exceeds ``gap``; the running max of
    those start times is the record's session start, unknown (NULL) until
    the block's first inner start;
-2. per ``(key, block)`` summary from the same partitioning (the exchange
-   is reused): first and last time, last inner start;
+2. per ``(key, block)`` summary of the windowed rows: first and last time,
+   last inner start (Catalyst feeds it from a column-pruned copy of the
+   rows, a narrow second scan);
 3. per key over block summaries (≤ n_blocks rows per key): does the block's
    first record start a session (gap to the previous block's last time),
    and which session is open when the block begins (carried forward);
