@@ -170,6 +170,22 @@ def parse_telemetry_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(parse_telemetry(lines))
 
 
+def parse_telemetry_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Car lines written as text files and read back line by line (the
+    job's file input), then parsed: ``seq`` travels as a leading field."""
+    from ..session import scratch_path
+    from ..sources.records import text_lines
+
+    path = scratch_path(spark, "telemetry-lines")
+    lines = telemetry_lines(read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"]))
+    # one record per line: "seq\t(car,speed,distance,ms)"
+    lines.select(F.concat_ws("\t", F.col("seq").cast("string"), "line").alias("value")).write.text(path)
+    read = text_lines(spark, path).select(
+        F.split("line", "\t").getItem(0).cast("bigint").alias("seq"),
+        F.split("line", "\t").getItem(1).alias("line"))
+    return as_ntz(parse_telemetry(read))
+
+
 def with_odometer(tel: DataFrame) -> DataFrame:
     out = rolling_sum(tel.withColumn("_sc", speed_centi(F.col("speed"))), ["car_id"], ["ts", "seq"],
                       F.col("_sc"), name="dist_c", block_on=F.unix_micros("ts"))

@@ -45,6 +45,7 @@ def queries() -> dict[str, Query]:
         "max_by_record": E.max_by_record_q,
         # cars
         "parse_telemetry": E.parse_telemetry_q,
+        "parse_telemetry_text": E.parse_telemetry_text,
         "odometer": E.odometer,
         "delta_trigger_fires": E.delta_trigger_fires_q,
         "trailing_time_max": E.trailing_time_max_q,
@@ -80,6 +81,7 @@ EQUIVALENTS = {
     "stream_word_count_rolling": "word_count_rolling",
     "sink_tuple_text": "word_count",
     "trailing_time_max_panes": "trailing_time_max",
+    "parse_telemetry_text": "parse_telemetry",
     "stream_top_speed": "top_speed",
 }
 
