@@ -64,16 +64,20 @@ SESSION_ROWS = [  # (key, t_ms, value) in arrival order
 ]
 
 
-def tweet(i: int, text: str = "Apache Flink", lang: str = "en") -> str:
-    """A tweet-shaped record like the reference's sample (fields it reads:
-    ``text`` and ``user.lang``; the rest is padding)."""
+# FIXED VALUES: the sample tweets' text and the expected rolling counts.
+SAMPLE_TWEET_TEXT = "Apache Flink"
+TWEET_COUNTS = [("apache", 1), ("apache", 2), ("apache", 3), ("flink", 1), ("flink", 2), ("flink", 3)]
+
+
+def tweet(i: int, text: str = SAMPLE_TWEET_TEXT, lang: str = "en") -> str:
+    """A tweet-shaped record (fields read: ``text`` and ``user.lang``; the
+    rest is padding with nested objects, arrays and nulls)."""
     return ('{"created_at":"Mon Jan 1 00:00:00 +0000 1901","id":%d,"text":"%s","source":null,'
-            '"user":{"id":0,"name":"Apache Flink","location":"Berlin","lang":"%s",'
+            '"user":{"id":0,"name":"someone","lang":"%s",'
             '"entities":{"hashtags":[{"text":"example%d","indices":[0,0]}]}},"geo":null}' % (i, text, lang, i))
 
 
 TWEETS = [tweet(i) for i in range(3)]
-TWEET_COUNTS = [("apache", 1), ("apache", 2), ("apache", 3), ("flink", 1), ("flink", 2), ("flink", 3)]
 
 # (speed km/h, distance m, ts ms) for one car; FIXTURES.md §2
 TELEMETRY = [(50, 0.0, 0), (90, 50.0, 1000), (70, 60.0, 2000), (90, 115.0, 12000), (90, 130.0, 13000),
