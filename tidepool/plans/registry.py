@@ -57,6 +57,7 @@ def queries() -> dict[str, Query]:
         "stream_count_window": S.stream_count_window,
         "stream_word_count": S.stream_word_count,
         "stream_word_count_rolling": S.stream_word_count_rolling,
+        "stream_json_english_word_count": S.stream_json_english_word_count,
         "stream_top_speed": S.stream_top_speed,
         "stream_late_drop": S.stream_late_drop,
     }
@@ -79,6 +80,7 @@ EQUIVALENTS = {
     "stream_count_window": "count_window_sum_6_1",
     "stream_word_count": "word_count",
     "stream_word_count_rolling": "word_count_rolling",
+    "stream_json_english_word_count": "json_english_word_count",
     "sink_tuple_text": "word_count",
     "trailing_time_max_panes": "trailing_time_max",
     "parse_telemetry_text": "parse_telemetry",

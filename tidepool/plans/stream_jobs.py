@@ -126,6 +126,28 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ups.groupBy("word").agg(F.max_by("n", "batch_id").alias("n"))
 
 
+def stream_json_english_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tweet job as a stream: JSON records replayed in slices, English
+    filter and whitespace tokens in the stream, counts upserted per
+    micro-batch; the latest value per word is the final count."""
+    from ..operators.tokenize import tokenize_tweets
+    from ..sources.records import json_records
+
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    sink = scratch_path(spark, "tweetcount-out")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    def build(stream):
+        counts = tokenize_tweets(json_records(stream)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        return counts.writeStream.outputMode("update").foreachBatch(write_batch)
+
+    replay(docs, F.col("doc_id"), N_SLICES, build, "tweetcount")
+    ups = spark.read.parquet(sink)
+    return ups.groupBy("word").agg(F.max_by("n", "batch_id").alias("n"))
+
+
 def stream_top_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top speed per car on a replayed event stream (stateful, exact)."""
     tel = telemetry_from_events(read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"]))
