@@ -44,11 +44,13 @@ def stream_count_window(stream: DataFrame, key: str, order: Sequence[str], size:
     state_schema = T.StructType([T.StructField("count", T.LongType()),
                                  T.StructField("tail", T.ArrayType(v_type))])
 
+    in_cols = [key, *order] + ([vcol] if value else [])
+
     def sorted_columns(chunks: Iterator[pd.DataFrame]) -> dict[str, np.ndarray]:
         # plain numpy: the per-key call is the hot path of this operator
         parts = list(chunks)
         pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        cols = {c: pdf[c].to_numpy() for c in (key, *order, vcol)}
+        cols = {c: pdf[c].to_numpy() for c in in_cols}
         o = np.lexsort([cols[c] for c in reversed(order)])
         return {c: v[o] for c, v in cols.items()}
 
@@ -82,7 +84,7 @@ def stream_count_window(stream: DataFrame, key: str, order: Sequence[str], size:
         state.update((int(seq[-1]), None))
         yield emit(cols, seq, fires, np.minimum(seq[fires], size))
 
-    return src.select(key, *order, vcol).groupBy(key).applyInPandasWithState(
+    return src.select(*in_cols).groupBy(key).applyInPandasWithState(
         fold if value else fold_count, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
 
 
