@@ -55,6 +55,7 @@ def queries() -> dict[str, Query]:
         "stream_session_sum": S.stream_session_sum,
         "stream_sliding_sum": S.stream_sliding_sum,
         "stream_count_window": S.stream_count_window,
+        "stream_count_window_10_5": S.stream_count_window_10_5,
         "stream_word_count": S.stream_word_count,
         "stream_word_count_rolling": S.stream_word_count_rolling,
         "stream_json_english_word_count": S.stream_json_english_word_count,
@@ -78,6 +79,7 @@ EQUIVALENTS = {
     "stream_session_sum": "session_window_sum",
     "stream_sliding_sum": "sliding_time_sum",
     "stream_count_window": "count_window_sum_6_1",
+    "stream_count_window_10_5": "count_window_sum_10_5",
     "stream_word_count": "word_count",
     "stream_word_count_rolling": "word_count_rolling",
     "stream_json_english_word_count": "json_english_word_count",

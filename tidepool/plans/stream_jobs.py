@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.fixed import WINDOW_WORDS_SIZE, WINDOW_WORDS_SLIDE
+from ..functions.fixed import COUNT_WINDOW_SIZE, COUNT_WINDOW_SLIDE, WINDOW_WORDS_SIZE, WINDOW_WORDS_SLIDE
 from ..functions.telemetry import centi_kmh_seconds_to_metres, speed_centi
 from ..operators.tokenize import tokenize_words
 from ..session import scratch_path
@@ -79,20 +79,30 @@ def _doc_stream_tokens(stream: DataFrame) -> DataFrame:
     return tokenize_words(stream)
 
 
-def stream_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Count window 6 / 1 per word, exact per record, on a replayed document
-    stream (documents arrive in doc_id order)."""
+def _stream_count_window(spark: SparkSession, sf_dir: str, size: int, slide: int) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     sink = scratch_path(spark, "countwin-out")
 
     def build(stream):
         return _parquet_sink(stateful.stream_count_window(_doc_stream_tokens(stream), "word", ["doc_id", "pos"],
-                                                 WINDOW_WORDS_SIZE, WINDOW_WORDS_SLIDE), sink)
+                                                          size, slide), sink)
 
     replay(docs, F.col("doc_id"), N_SLICES, build, "countwin")
     return spark.read.parquet(sink)
 
 
+def stream_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count window 6 / 1 per word, exact per record, on a replayed document
+    stream (documents arrive in doc_id order)."""
+    return _stream_count_window(spark, sf_dir, WINDOW_WORDS_SIZE, WINDOW_WORDS_SLIDE)
+
+
+def stream_count_window_10_5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count window 10 / 5 per word on the replayed document stream (the
+    count-window word-count job as a stream)."""
+    return _stream_count_window(spark, sf_dir, COUNT_WINDOW_SIZE, COUNT_WINDOW_SLIDE)
+
+
 def stream_word_count_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-token running count of its word, exact per record, on a replayed
     document stream (stateful: one count per word)."""
