@@ -104,9 +104,12 @@ def blocked_running_totals(
     :func:`range_block` of the leading order column).  Keeps the ``_blk``
     column."""
     keys = list(keys)
-    base, pk, wrapped = partition_keys(df.withColumn(BLOCK, block), keys)
+    base = df.withColumn(BLOCK, block)
     for name, m in measures.items():
         base = base.withColumn(f"_m_{name}", m)
+    base, pk, wrapped = partition_keys(base, keys)
+    if wrapped:                       # the struct is the only copy of the keys
+        base = base.drop(*keys)
     w_local = (Window.partitionBy(*pk, BLOCK).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.select("*", *[F.sum(f"_m_{n}").over(w_local).alias(f"_loc_{n}") for n in measures])
