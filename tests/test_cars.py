@@ -141,3 +141,13 @@ def test_trailing_max_plans_agree_on_unique_timestamps(spark):
     a = trailing_time_max(df, ["car_id"], "ts", 40, "speed", ["seq"], ["seq"], strategy="frame", n_blocks=7)
     b = trailing_time_max(df, ["car_id"], "ts", 40, "speed", ["seq"], ["seq"], strategy="panes")
     assert sorted((r.seq, r.top_seq) for r in a.collect()) == sorted((r.seq, r.top_seq) for r in b.collect())
+
+
+def test_sequential_delta_fold_handles_any_measure(spark):
+    from tidepool.operators.delta import delta_trigger_fires_sequential
+
+    rnd = random.Random(21)
+    rows = [(rnd.randrange(3), i * 10, rnd.randrange(-40, 60)) for i in range(600)]   # not monotone
+    df = from_tuples(spark, rows, "car_id int, t long, d long").withColumn("ts", F.timestamp_micros("t"))
+    got = delta_trigger_fires_sequential(df, ["car_id"], "ts", "seq", "d", 30, n_slices=4)
+    assert sorted(r.seq for r in got.collect()) == brute_fires(rows, 30)

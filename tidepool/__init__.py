@@ -6,7 +6,7 @@ scale design.
 """
 
 from .operators.count_window import count_window
-from .operators.delta import delta_trigger_fires
+from .operators.delta import delta_trigger_fires, delta_trigger_fires_sequential
 from .operators.prefix import blocked_running_totals, range_block, running_count
 from .operators.reduce import keyed_reduce
 from .operators.rolling import keyed_totals, rolling_sum, rolling_sums
@@ -20,12 +20,13 @@ from .sources.records import (from_elements, from_tuples, json_records, keyed_ra
                               synthetic_keyed_range, telemetry_from_events, telemetry_lines, text_lines)
 from .sources.tables import read_table, spread
 from .streaming.replay import dropped_by_watermark, replay, sentinel_row
-from .streaming.stateful import stream_count_window, stream_rolling_count, stream_top_speed
+from .streaming.stateful import stream_count_window, stream_delta_fires, stream_rolling_count, stream_top_speed
 from .streaming.windows import (processing_time_sliding, stream_session_agg, stream_sliding_agg,
                                 watermark_delay_for_lag)
 
 __all__ = [
     "apply_recommended_conf", "blocked_running_totals", "count_window", "delta_trigger_fires",
+    "delta_trigger_fires_sequential", "stream_delta_fires",
     "dropped_by_watermark", "english_records", "from_elements", "from_tuples", "json_records",
     "keyed_range", "keyed_reduce", "keyed_totals", "local_session", "materialize", "max_by_record",
     "parse_telemetry", "processing_time_sliding", "range_block", "read_table", "replay", "rolling_sum",

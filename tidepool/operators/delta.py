@@ -178,3 +178,28 @@ def delta_trigger_fires(df: DataFrame, keys: Sequence[str], ts: str, seq: str, m
         return fire_rows.select(*keys, F.col("_seq").alias(seq), F.timestamp_micros("_t").alias(ts))
     fire_ids = fire_rows.select(*keys, F.col("_seq").alias(seq))
     return null_safe_join(df, fire_ids.withColumn("_fire", F.lit(True)), [*keys, seq]).drop("_fire")
+
+
+def delta_trigger_fires_sequential(df: DataFrame, keys: Sequence[str], ts: str, seq: str, measure: str,
+                                   threshold: float, n_slices: int = 8) -> DataFrame:
+    """:func:`delta_trigger_fires` for any measure: the input is replayed in
+    ``n_slices`` time slices through the stateful stream fold (bounded memory
+    per micro-batch; each key is folded in order, slice after slice).
+    Returns ``(key, seq, ts, measure)`` of the fires.  One key column."""
+    from ..session import scratch_path
+    from ..streaming.replay import replay
+    from ..streaming.stateful import stream_delta_fires
+
+    if len(keys) != 1:
+        raise ValueError("the sequential delta fold takes one key column")
+    key = keys[0]
+    spark = df.sparkSession
+    src = df.select(key, F.unix_micros(F.col(ts).cast("timestamp")).alias("_t_us"), seq, measure)
+    sink = scratch_path(spark, "delta-fires")
+
+    def build(stream):
+        return (stream_delta_fires(stream, key, "_t_us", seq, measure, threshold)
+                .writeStream.format("parquet").option("path", sink).outputMode("append"))
+
+    replay(src, F.col("_t_us"), n_slices, build, "delta")
+    return spark.read.parquet(sink).select(key, seq, F.timestamp_micros("_t_us").alias(ts), measure)

@@ -149,3 +149,31 @@ def stream_top_speed(stream: DataFrame, key: str, ts_us: str, seq: str, speed_ce
 
     return stream.select(key, ts_us, seq, speed_centi, speed).groupBy(key).applyInPandasWithState(
         fold, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+
+
+def stream_delta_fires(stream: DataFrame, key: str, ts_us: str, seq: str, measure: str,
+                       threshold: float) -> DataFrame:
+    """Delta-trigger fires for *any* measure (not only non-decreasing ones):
+    per key, the first record is the reference, a record fires when
+    ``measure - reference > threshold`` and becomes the reference.  State is
+    the reference value only.  Output: ``(key, seq, ts_us, measure)`` per fire."""
+    in_fields = {f.name: f for f in stream.schema.fields}
+    out_schema = T.StructType([in_fields[key], in_fields[seq], in_fields[ts_us], in_fields[measure]])
+    state_schema = T.StructType([T.StructField("ref", T.DoubleType())])
+
+    def fold(k, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        pdf = _concat(chunks, [ts_us, seq])
+        d = pdf[measure].to_numpy(dtype=np.float64)
+        ref = state.get[0] if state.exists else None
+        fires = []
+        for i in range(len(d)):          # sequential by definition
+            if ref is None:
+                ref = d[i]
+            elif d[i] - ref > threshold:
+                fires.append(i)
+                ref = d[i]
+        state.update((float(ref),))
+        yield pdf.iloc[fires][[key, seq, ts_us, measure]]
+
+    return stream.select(key, ts_us, seq, measure).groupBy(key).applyInPandasWithState(
+        fold, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
