@@ -206,6 +206,16 @@ def delta_trigger_fires_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(_fires(materialize(with_odometer(tel)), tel))
 
 
+def delta_trigger_fires_sequential_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same fires through the general sequential fold (stateful stream
+    over a time-sliced replay), joined back to the odometer rows."""
+    from ..operators.delta import delta_trigger_fires_sequential
+
+    odo = materialize(with_odometer(telemetry(spark, sf_dir)))
+    fires = delta_trigger_fires_sequential(odo, ["car_id"], "ts", "seq", "dist_c", TRIGGER_CENTI)
+    return as_ntz(odo.join(fires.select("car_id", "seq"), ["car_id", "seq"], "left_semi"))
+
+
 TOP_FIELDS = ["seq", "speed", "distance", "ts"]
 
 

@@ -48,6 +48,7 @@ def queries() -> dict[str, Query]:
         "parse_telemetry_text": E.parse_telemetry_text,
         "odometer": E.odometer,
         "delta_trigger_fires": E.delta_trigger_fires_q,
+        "delta_trigger_fires_sequential": E.delta_trigger_fires_sequential_q,
         "trailing_time_max": E.trailing_time_max_q,
         "trailing_time_max_panes": E.trailing_time_max_panes,
         "top_speed": E.top_speed,
@@ -86,6 +87,7 @@ EQUIVALENTS = {
     "sink_tuple_text": "word_count",
     "trailing_time_max_panes": "trailing_time_max",
     "parse_telemetry_text": "parse_telemetry",
+    "delta_trigger_fires_sequential": "delta_trigger_fires",
     "stream_top_speed": "top_speed",
 }
 
