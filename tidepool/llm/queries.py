@@ -7,17 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
+from .decontaminate import contamination
 from .jaccard_join import jaccard_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items it leaks."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return contamination(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id", "leak.*")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of ``documents`` linked by 4-word shingles at Jaccard 0.85."""
     return jaccard_components(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), k=4, num=85, den=100)
 
 
-QUERIES: list[Query] = [op9_ngram_jaccard_join]
+QUERIES: list[Query] = [op7_benchmark_decontamination, op9_ngram_jaccard_join]
 
 
 def queries() -> dict[str, Query]:

@@ -37,11 +37,14 @@ def _stream(seed: int, n: int) -> np.ndarray:
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: The same, and every other ASCII byte that is no letter or digit.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _BYTE = _stream(11, 256)
 _BYTE[ord("A") : ord("Z") + 1] = _BYTE[ord("a") : ord("z") + 1]
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 SLOT = _stream(23, 64) | U64(1)
+HEAD = U64(0xA0761D6478BD642F)
 _POW: dict[str, np.ndarray] = {}
 
 
@@ -74,13 +77,16 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[in
         first = last
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Start byte, end byte, text number and hash of every word of a block."""
+def words(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _IS_SPACE,
+          heads: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """Start byte, end byte, text number and hash of every word of a block;
+    ``breaks`` flags the bytes between words.  For each length in ``heads`` a
+    further array has the hash of the word's first bytes (0: shorter word)."""
     n = len(data)
     if n == 0:
         e = np.zeros(0, np.int64)
-        return e, e, e, np.zeros(0, U64)
-    inside = ~_IS_SPACE[data]
+        return e, e, e, *[np.zeros(0, U64)] * (1 + len(heads))
+    inside = ~breaks[data]
     cut = np.zeros(n + 1, bool)
     cut[offsets] = True
     start = inside.copy()
@@ -93,7 +99,8 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         run = np.zeros(n + 1, U64)
         np.cumsum(_BYTE[data] * up, out=run[1:])
         h = mix((run[e] - run[s]) * down[s] + (e - s).astype(U64))
-    return s, e, np.searchsorted(offsets, s, "right") - 1, h
+        first = [np.where(e - s > m, mix((run[np.minimum(s + m, n)] - run[s]) * down[s] + HEAD), U64(0)) for m in heads]
+    return s, e, np.searchsorted(offsets, s, "right") - 1, h, *first
 
 
 def combine(h: np.ndarray, k: int) -> np.ndarray:
