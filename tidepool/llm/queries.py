@@ -7,12 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
+from . import sql
 from .decontaminate import contamination
 from .jaccard_join import jaccard_components
+from .line_dedup import drop_boilerplate
+from .wfq_mix import mix_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` without the boilerplate lines of their source."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "source", "text"])
+    return drop_boilerplate(docs, "source", dropped="n_dropped").select("doc_id", "text", "n_dropped")
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix of all ``documents`` takes of each."""
+    return mix_sources(read_table(spark, sf_dir, "documents", ["doc_id", "source", "text"]))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items it leaks."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
@@ -24,7 +38,7 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), k=4, num=85, den=100)
 
 
-QUERIES: list[Query] = [op7_benchmark_decontamination, op9_ngram_jaccard_join]
+QUERIES: list[Query] = [op2_line_dedup, op5_mix_sources, op7_benchmark_decontamination, op9_ngram_jaccard_join]
 
 
 def queries() -> dict[str, Query]:
@@ -32,4 +46,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_line_dedup": sql.OP2, "op5_mix_sources": sql.OP5}
