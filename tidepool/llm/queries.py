@@ -4,41 +4,91 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
 from . import sql
 from .decontaminate import contamination
 from .jaccard_join import jaccard_components
+from .language_id import language_id
+from .license_scan import license_scan
 from .line_dedup import drop_boilerplate
+from .main_text import main_text
+from .sanitize import personal_spans, span_digest
+from .toxicity import toxicity
+from .voronoi_knn import top_k
 from .wfq_mix import mix_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _remainder(n: int) -> Column:
+    """The fold of a row: crc32 of its id as text, modulo ``n``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License families of every document."""
+    return license_scan(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), name="p").select("doc_id", "p.*")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` without the boilerplate lines of their source."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "source", "text"])
     return drop_boilerplate(docs, "source", dropped="n_dropped").select("doc_id", "text", "n_dropped")
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    out = main_text(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op4_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every 50th vector with all others."""
+    return top_k(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]), lambda i: i % 50 == 0)
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix of all ``documents`` takes of each."""
     return mix_sources(read_table(spark, sf_dir, "documents", ["doc_id", "source", "text"]))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three of four folds."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    held = F.coalesce(_remainder(4) == 2, F.lit(False))
+    out = language_id(docs, ~held, name="p")
+    return out.select("doc_id", held.alias("held_out"), "p.lang_pred", "p.score")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items it leaks."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return contamination(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id", "leak.*")
 
 
+def op8_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, with the terms that disclose it."""
+    return span_digest(personal_spans(read_table(spark, sf_dir, "documents", ["doc_id", "text"])))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of ``documents`` linked by 4-word shingles at Jaccard 0.85."""
     return jaccard_components(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), k=4, num=85, den=100)
 
 
-QUERIES: list[Query] = [op2_line_dedup, op5_mix_sources, op7_benchmark_decontamination, op9_ngram_jaccard_join]
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from two of three folds of the labels."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    held = F.coalesce(_remainder(3) == 1, F.lit(False))
+    out = toxicity(docs, read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]), ~held, name="p")
+    return out.select("doc_id", held.alias("held_out"), "p.score", "p.predicted", F.col("p.neighbours").alias("evidence"))
+
+
+QUERIES: list[Query] = [op1_license_scan, op2_line_dedup, op3_main_text, op4_voronoi_knn, op5_mix_sources, op6_language_id, op7_benchmark_decontamination,
+                        op8_sanitize, op9_ngram_jaccard_join, op10_toxicity]
 
 
 def queries() -> dict[str, Query]:
@@ -46,4 +96,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": sql.OP2, "op5_mix_sources": sql.OP5}
+    return {"op2_line_dedup": sql.OP2, "op4_voronoi_knn": sql.OP4, "op5_mix_sources": sql.OP5}

@@ -37,3 +37,13 @@ SELECT any_value(doc_id) AS doc_id, any_value(size) AS size, any_value(source_si
        sum(CASE WHEN run <= (SELECT budget FROM b) THEN size ELSE 0 END)::BIGINT AS taken
 FROM s GROUP BY r
 """
+
+OP4 = """
+WITH v AS (SELECT DISTINCT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0),
+s AS (SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.e, x.e)::BIGINT AS score
+      FROM v q JOIN v x ON q.vec_id % 50 = 0 AND x.vec_id <> q.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5
+"""
