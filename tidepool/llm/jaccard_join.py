@@ -40,7 +40,7 @@ from .store import written
 from .textvec import U64, list_column, mix, shingle_sets
 
 LIST_PAIRS = 64
-BLOCK = 512
+BLOCK = 1536
 #: Shingles found more often than this go last in the order, the most frequent
 #: ORDER_HINTS of them (a bound on what is broadcast; the order stays total).
 FREQUENT, ORDER_HINTS = 32, 200_000
@@ -239,27 +239,44 @@ def _blocks(members: DataFrame, payload: DataFrame) -> DataFrame:
     lists = per.groupBy("key").agg(F.sum("c").alias("m"), F.max_by("comp", F.struct("c", "comp")).alias("main"), F.max("c").alias("cm"))
     lists = lists.withColumn("nl", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("nr", F.ceil((F.col("m") - F.col("cm")) / BLOCK).cast("int"))
     rows = members.join(lists, "key").join(payload, "id")
-    spot = F.xxhash64("id")
-    left = rows.select("key", F.pmod(spot, "nl").cast("int").alias("lb"), F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("rb"), F.lit(0).alias("side"), "id", "comp", "n", "load")
-    right = rows.filter("comp <> main").select("key", F.explode(F.sequence(F.lit(0), F.col("nl") - 1)).alias("lb"), F.pmod(spot, "nr").cast("int").alias("rb"), F.lit(1).alias("side"), "id", "comp", "n", "load")
+    spot, cols = F.xxhash64("id"), ["id", "comp", "n", "load", "smaller"]
+    left = rows.select("key", F.pmod(spot, "nl").cast("int").alias("lb"), F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("rb"), F.lit(0).alias("side"), *cols)
+    right = rows.filter("comp <> main").select("key", F.explode(F.sequence(F.lit(0), F.col("nl") - 1)).alias("lb"), F.pmod(spot, "nr").cast("int").alias("rb"), F.lit(1).alias("side"), *cols)
     return left.union(right)
 
 
+class _Elsewhere:
+    """Which members of ``left`` meet a member of the other side in a smaller
+    list already: two members that share several long lists meet in one."""
+
+    def __init__(self, left):
+        self.keys = np.concatenate([np.asarray(x, np.int64) for x in left.smaller]) if len(left) else np.zeros(0, np.int64)
+        self.row = np.repeat(np.arange(len(left)), [len(x) for x in left.smaller])
+        self.n = len(left)
+
+    def __call__(self, other) -> np.ndarray:
+        out = np.zeros(self.n, bool)
+        out[self.row[np.isin(self.keys, other)]] = True
+        return out
+
+
 def _possible_in_block(num: int, den: int):
     def run(pdf):
         import pandas as pd
 
         left, right = pdf[pdf.side == 0], pdf[pdf.side == 1]
         hit: set[int] = set()
-        by_len = [(m, g, np.frombuffer(b"".join(g.load), np.uint8).reshape(len(g), m)) for m, g in left.groupby(left.load.str.len())]
+        by_len = [(m, g, np.frombuffer(b"".join(g.load), np.uint8).reshape(len(g), m), _Elsewhere(g)) for m, g in left.groupby(left.load.str.len())]
         for r in right.itertuples():
             mine = np.frombuffer(r.load, np.uint8)
-            for m, g, rows in by_len:
+            for m, g, rows, met in by_len:
                 size = min(m, len(mine))
                 d = np.bitwise_count(_fold(rows, size) ^ _fold(mine, size)).sum(axis=1, dtype=np.int64)
                 n = g.n.to_numpy()
                 most = n + r.n - 2 * (-(-num * (n + r.n) // (num + den)))
                 ok = (d <= most) & (g.comp.to_numpy() != r.comp)
+                if ok.any():
+                    ok &= ~met(r.smaller)
                 if ok.any():
                     hit.add(r.id)
                     hit.update(g.id.to_numpy()[ok].tolist())
@@ -284,14 +301,14 @@ def _links_in_block(num: int, den: int):
         toks = np.concatenate(list(left.load)) if len(left) else np.zeros(0, np.int64)
         values, spot = np.unique(toks, return_inverse=True)
         starts = np.concatenate([[0], np.cumsum([len(x) for x in left.load])])[:-1].astype(np.int64)
-        n, comps, ids = left.n.to_numpy(), left.comp.to_numpy(), left.id.to_numpy()
+        n, comps, ids, met = left.n.to_numpy(), left.comp.to_numpy(), left.id.to_numpy(), _Elsewhere(left)
         for r in right.itertuples():
             if not len(left):
                 break
             mark = np.isin(values, r.load)
             common = np.add.reduceat(mark[spot].astype(np.int64), starts)
-            ok = np.flatnonzero(den * common >= num * (n + r.n - common))
-            for j in ok:
+            ok = (den * common >= num * (n + r.n - common)) & ~met(r.smaller)
+            for j in np.flatnonzero(ok):
                 a, b = find(int(comps[j])), find(int(r.comp))
                 if a != b:
                     root[a] = b
@@ -345,6 +362,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     apart = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
     members = written(members.join(apart.select("key"), "key"), "apart")
     if members.limit(1).count():
+        mine = members.groupBy("id").agg(F.collect_list("key").alias("mine"))
+        smaller = F.filter("mine", lambda x: x < F.col("key")).alias("smaller")
+        members = written(members.join(mine, "id").select("key", "id", "comp", smaller), "apart")
         load = classes.select("id", "n", F.col("bm").alias("load"))
         near = (_blocks(members, load).groupBy("key", "lb", "rb")
                 .applyInPandas(_possible_in_block(num, den), "key long, id long").distinct())
