@@ -41,6 +41,8 @@ NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 WORD = r"(?<!\p{L})\p{L}{3,}+"
 #: Candidate terms are broadcast up to this many; more go through a shuffle.
 MAX_BROADCAST_TERMS = 100_000
+#: One in so many line hashes is looked at to rule out common terms.
+SIFT = 64
 
 
 def _luhn(match: Column) -> Column:
@@ -113,7 +115,13 @@ def disclosing_terms(lines: DataFrame, held: DataFrame) -> DataFrame:
              .join(known, "entity").select("entity", "n_e", F.explode("terms").alias("term"))
              .groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.first("n_e").alias("n_e")).filter(F.col("n_te") >= MIN_LINES))
     joint = written(joint, "joint")
-    wanted = joint.select("term").distinct()
+    # A term is out when a part of the line hashes alone holds more of its lines
+    # than the threshold allows: its own lines can only be more.
+    most = F.max(F.col("n_te") * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1.0 - DISCLOSURE))).alias("most")
+    bound = joint.groupBy("term").agg(most)
+    some = lines.filter(F.pmod(line_id, F.lit(SIFT)) == 0).select(line_id.alias("l"), F.explode(_terms(F.col("line"))).alias("term")).distinct()
+    some = some.groupBy("term").agg(F.count("*").alias("n_some"))
+    wanted = written(bound.join(some, "term", "left").filter(F.coalesce("n_some", F.lit(0)) <= F.col("most") * (1 + 1e-9)).select("term"), "candidates")
     n_wanted = wanted.count()
     wanted = F.broadcast(wanted) if n_wanted <= MAX_BROADCAST_TERMS else wanted
     seen = (lines.select(line_id.alias("l"), F.explode(_terms(F.col("line"))).alias("term")).join(wanted, "term") if n_wanted
