@@ -37,6 +37,8 @@ from .prefix import BLOCK, MIN_ROWS_PER_BLOCK, default_blocks, null_safe_join, r
 def _sorted_measure(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["_t", "_seq"], kind="stable")
     d = pdf["_d"].to_numpy()
+    if pdf["_d"].isna().any():
+        raise ValueError("delta trigger: the measure must not be NULL or NaN")
     if len(d) > 1 and np.any(d[1:] < d[:-1]):
         raise ValueError("delta trigger: the measure must be non-decreasing per key in record order")
     return pdf

@@ -53,7 +53,9 @@ def range_block(df: DataFrame, value: Column, n_blocks: int,
         return F.lit(0).cast("long")
     # Floating division by a positive constant is monotone, which is all the
     # algorithm needs (block edges need not be exact).
-    return F.least(F.floor((value - F.lit(lo)) / F.lit(span)), F.lit(n_blocks - 1)).cast("long")
+    # NULLs sort first, so they belong to the first block.
+    at = F.least(F.floor((value - F.lit(lo)) / F.lit(span)), F.lit(n_blocks - 1)).cast("long")
+    return F.when(value.isNull(), F.lit(0).cast("long")).otherwise(at)
 
 
 KEY = "_key"
@@ -122,8 +124,7 @@ def blocked_running_totals(
     w_blocks = Window.partitionBy(*pk).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *pk, BLOCK,
-        *[F.coalesce(F.sum(f"_tot_{n}").over(w_blocks), F.lit(0).cast(totals.schema[f"_tot_{n}"].dataType))
-          .alias(f"_off_{n}") for n in measures],
+        *[F.sum(f"_tot_{n}").over(w_blocks).alias(f"_off_{n}") for n in measures],
     )
     joined = local.join(offsets, [*pk, BLOCK])
     # wrapped keys are read back from the struct (one copy travels)
@@ -131,7 +132,9 @@ def blocked_running_totals(
     out_cols.append(F.col(BLOCK))
     return joined.select(
         *out_cols,
-        *[(F.col(f"_loc_{n}") + F.col(f"_off_{n}")).alias(n) for n in measures],
+        # either part is NULL while it has seen no value, as one running sum is
+        *[F.coalesce(F.col(f"_loc_{n}") + F.col(f"_off_{n}"), F.col(f"_loc_{n}"), F.col(f"_off_{n}")).alias(n)
+          for n in measures],
     )
 
 

@@ -69,8 +69,9 @@ def english_records(df: DataFrame, json_col: str = "json", strict: bool = True,
     rows = rows.where(english).withColumn(
         "_v", F.when(ambiguous, J.field(J.parse(F.col("_json"), False), JSON_TEXT_PATH)))
     exact = J.as_text(F.col("_v"))
-    return (rows.where(~ambiguous | F.col("_v").isNotNull())
-            .select(*keep, F.when(ambiguous, exact).otherwise(text).alias("text")))
+    # VARIANT rejects records with a key twice; their text is the one from_json read
+    return (rows.where(~ambiguous | F.col("_v").isNotNull() | text.isNotNull())
+            .select(*keep, F.when(ambiguous & F.col("_v").isNotNull(), exact).otherwise(text).alias("text")))
 
 
 def tokenize_tweets(df: DataFrame, json_col: str = "json", strict: bool = True,

@@ -36,9 +36,6 @@ def max_by_record(df: DataFrame, keys: Sequence[str], value: str, fields: Sequen
     return df.groupBy(*keys).agg(rec.alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in fields])
 
 
-FRAME_MAX_ROWS_PER_SPAN = 32
-
-
 def trailing_time_max(df: DataFrame, keys: Sequence[str], ts: str, span_us: int, value: str,
                       fields: Sequence[str], tiebreak: Sequence[str] = (), prefix: str = "top_",
                       n_blocks: int | None = None, min_rows_per_block: int = MIN_ROWS_PER_BLOCK,
@@ -54,22 +51,19 @@ def trailing_time_max(df: DataFrame, keys: Sequence[str], ts: str, span_us: int,
     * ``panes`` -- :func:`_trailing_max_panes`, linear in the records and
       exact for equal timestamps (arrival order by ``tiebreak``).
 
-    ``auto`` takes ``frame`` when the table averages at most
-    :data:`FRAME_MAX_ROWS_PER_SPAN` records per span.  ``block_source``
-    (default ``df``) supplies the time range.
+    ``auto`` is ``panes``: the answer must not depend on the table's size, and
+    only ``panes`` never shows a record a later peer.  ``block_source``
+    (default ``df``) supplies the time range of ``frame``.
     """
     keys = list(keys)
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     base = df.withColumn("_t", t)
-    stats = base if block_source is None else block_source.select(t.alias("_t"))
-    lo, hi, n = stats.select(F.min("_t"), F.max("_t"), F.count("_t")).first()
-    if strategy == "auto":
-        per_span = n * span_us / max(1, (hi - lo + 1) if lo is not None else 1)
-        strategy = "frame" if per_span <= FRAME_MAX_ROWS_PER_SPAN else "panes"
-    if strategy == "panes":
+    if strategy in ("auto", "panes"):
         return _trailing_max_panes(df, keys, ts, span_us, value, fields, tiebreak, prefix)
     if strategy != "frame":
         raise ValueError(f"unknown strategy {strategy!r}")
+    stats = base if block_source is None else block_source.select(t.alias("_t"))
+    lo, hi, n = stats.select(F.min("_t"), F.max("_t"), F.count("_t")).first()
     if n_blocks is None:              # an explicit block count is used as given
         n_blocks = max(1, min(default_blocks(df), n // max(1, min_rows_per_block)))
     width = max(span_us, ((hi - lo) // n_blocks + 1) if lo is not None else span_us)

@@ -82,8 +82,9 @@ def ship_package(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Reads the setting from the session.  Only when it is unset (local runs,
-    tests) a fresh folder is created and registered as the checkpoint dir.
+    Reads the setting from the session.  Only when it is unset in a local run
+    (tests) a fresh folder is registered with the context; on a cluster an
+    unset folder is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
@@ -93,8 +94,9 @@ def shared_dir(spark: SparkSession) -> str:
         if jdir.isDefined():
             conf_dir = jdir.get()
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tidepool-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)
     return conf_dir
 
