@@ -151,3 +151,12 @@ def test_sequential_delta_fold_handles_any_measure(spark):
     df = from_tuples(spark, rows, "car_id int, t long, d long").withColumn("ts", F.timestamp_micros("t"))
     got = delta_trigger_fires_sequential(df, ["car_id"], "ts", "seq", "d", 30, n_slices=4)
     assert sorted(r.seq for r in got.collect()) == brute_fires(rows, 30)
+
+
+@pytest.mark.parametrize("n_blocks", [1, 6])
+def test_delta_references_are_exact_integers(spark, n_blocks):
+    rows = [("k", i, 2**53 + i) for i in range(6)]
+    df = spark.createDataFrame(rows, "key string, seq long, d long").withColumn("ts", F.timestamp_seconds("seq"))
+    for threshold, want in ((0, [1, 2, 3, 4, 5]), (1.5, [2, 4])):
+        out = delta_trigger_fires(df, ["key"], "ts", "seq", "d", threshold, n_blocks=n_blocks)
+        assert sorted(r.seq for r in out.collect()) == want

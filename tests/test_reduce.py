@@ -19,3 +19,12 @@ def test_tree_reduce_matches_builtin_with_a_hot_key(spark):
     assert got == {**exp, "nulls": None} or got == exp
     mx = {r.key: r.value for r in keyed_reduce(df, ["key"], F.col("v"), lambda a, b: F.greatest(a, b), fanin=3).collect()}
     assert mx["hot"] == max(v for k, v in rows if k == "hot")
+
+
+def test_identical_rows_of_a_key_count_once_each(spark):
+    df = spark.range(20_000).select(F.lit("k").alias("key"), F.lit(1).cast("long").alias("v")).union(
+        spark.range(1000).select(F.lit("m").alias("key"), (F.col("id") % 3).alias("v")))
+    got = {r.key: r.value for r in keyed_reduce(df, ["key"], F.col("v"), lambda a, b: a + b, fanin=2).collect()}
+    assert got == {"k": 20_000, "m": 999}
+    one = keyed_reduce(df, ["key"], F.lit((1 << 62) - 1).cast("long"), lambda a, b: F.greatest(a, b))
+    assert {r.value for r in one.collect()} == {(1 << 62) - 1}

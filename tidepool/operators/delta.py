@@ -23,6 +23,7 @@ one block of records; stage B holds a few rows per block.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -74,10 +75,10 @@ def _summary_fn(keys: list[str], threshold):
         heads = heads[(heads == 0) | (d[heads] > d[np.maximum(heads - 1, 0)])]
         rows = []
         for h in heads:
-            lo = None if h == 0 else d[h - 1] - threshold
-            rows.append([lo, d[h] - threshold, d[ends[h]], False])
+            lo = d[0] if h == 0 else d[h - 1] - threshold
+            rows.append([lo, d[h] - threshold, d[ends[h]], False, h == 0, False])
         if h_max >= n:  # entry references that produce no fire in this block
-            rows.append([d[n - 1] - threshold, None, None, True])
+            rows.append([d[n - 1] - threshold, d[0], d[0], True, False, True])
         # merge neighbouring steps with the same exit
         merged: list[list] = []
         for r in rows:
@@ -85,7 +86,8 @@ def _summary_fn(keys: list[str], threshold):
                 merged[-1][1] = r[1]
             else:
                 merged.append(r)
-        out = pd.DataFrame(merged, columns=["_lo", "_hi", "_exit", "_identity"])
+        # open ends are flags, as a NULL would turn integers into floats
+        out = pd.DataFrame(merged, columns=["_lo", "_hi", "_exit", "_identity", "_no_lo", "_no_hi"])
         for k in keys:
             out[k] = pdf[k].iloc[0]
         out[BLOCK] = pdf[BLOCK].iloc[0]
@@ -98,7 +100,7 @@ def _summary_fn(keys: list[str], threshold):
 
 def _entry_fn(keys: list[str]):
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([BLOCK, "_lo"], na_position="first", kind="stable")
+        pdf = pdf.sort_values([BLOCK, "_lo"], kind="stable")
         r = None
         prev_last = None
         out = []
@@ -110,9 +112,9 @@ def _entry_fn(keys: list[str]):
             if r is None:
                 r = first_d
             out.append((blk, r))
-            lo = g["_lo"].astype("float64").fillna(-np.inf).to_numpy()
-            hi = g["_hi"].astype("float64").fillna(np.inf).to_numpy()
-            hit = np.nonzero((lo <= r) & (r < hi))[0]
+            above = g["_no_lo"].to_numpy() | (g["_lo"].to_numpy() <= r)
+            below = g["_no_hi"].to_numpy() | (g["_hi"].to_numpy() > r)
+            hit = np.nonzero(above & below)[0]
             if len(hit) and not bool(g["_identity"].iloc[hit[0]]):
                 r = g["_exit"].iloc[hit[0]]
         res = pd.DataFrame(out, columns=[BLOCK, "_entry"])
@@ -163,10 +165,14 @@ def delta_trigger_fires(df: DataFrame, keys: Sequence[str], ts: str, seq: str, m
     schema = slim.schema
     d_type = schema["_d"].dataType
     key_fields = [schema[k] for k in keys]
+    if isinstance(d_type, T.IntegralType):     # the same test, without floats
+        threshold = math.floor(threshold)
+        slim = slim.withColumn("_d", F.col("_d").cast("long"))
+        schema, d_type = slim.schema, T.LongType()
 
     summary_schema = T.StructType([
         T.StructField("_lo", d_type), T.StructField("_hi", d_type), T.StructField("_exit", d_type),
-        T.StructField("_identity", T.BooleanType()), *key_fields, T.StructField(BLOCK, T.LongType()),
+        *[T.StructField(f, T.BooleanType()) for f in ("_identity", "_no_lo", "_no_hi")], *key_fields, T.StructField(BLOCK, T.LongType()),
         T.StructField("_first_d", d_type), T.StructField("_last_d", d_type)])
     summaries = slim.groupBy(*keys, BLOCK).applyInPandas(_summary_fn(keys, threshold), summary_schema)
 

@@ -4,13 +4,15 @@
 and commutative (``lambda a, b: a + b``, ``F.greatest``, ...).  Built-in
 aggregates are faster when one exists; this is the general form.
 
-The reduction is a tree of bounded groups: on each level the rows of a key
-are spread over ``ceil(count / fanin)`` salts (a hash of the row), every
-``(key, salt)`` group folds its at most ~``fanin`` values with
+Equal values of a key are counted first (a map-side combined aggregate) and
+folded by repeated doubling, so any number of identical rows is one value.
+The rest is a tree of bounded groups: on each level the values are spread
+over ``ceil(largest key count / fanin)`` salts (a hash of the value), every
+``(key, salt)`` group folds its at most about ``fanin`` values with
 ``aggregate(collect_list(...), ...)``, and the partial results become the
-next level's rows.  A key with ``n`` rows needs ``log_fanin(n)`` levels; no
-group ever holds more than about ``fanin`` values, however hot the key.  The
-driver receives one scalar (the largest key count) per level.
+next level's rows.  A key with ``n`` values needs ``log_fanin(n)`` levels, each
+computed once (checkpointed) and without a join.  The driver receives one
+scalar (the largest key count) per level.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .prefix import null_safe_join
+from ..session import materialize
 
 
 def _fold(values: Column, combine: Callable[[Column, Column], Column], dtype) -> Column:
@@ -29,6 +31,21 @@ def _fold(values: Column, combine: Callable[[Column, Column], Column], dtype) ->
                        F.element_at(values, 1), lambda acc, x: combine(acc, x).cast(dtype))
 
 
+def _times(value: Column, n: Column, combine: Callable[[Column, Column], Column], dtype) -> Column:
+    """``value`` folded with itself ``n`` times: doubled once per binary digit of ``n``."""
+    top = F.length(F.bin(n)) - 1
+    zero = F.struct(value.alias("power"), F.lit(None).cast(dtype).alias("out"))
+
+    def step(acc: Column, bit: Column) -> Column:
+        power = acc["power"]
+        with_bit = F.when(acc["out"].isNull(), power).otherwise(combine(acc["out"], power).cast(dtype))
+        return F.struct(
+            F.when(bit < top, combine(power, power).cast(dtype)).otherwise(power).alias("power"),
+            F.when(F.getbit(n, bit) == 1, with_bit).otherwise(acc["out"]).alias("out"))
+
+    return F.when(n == 1, value).otherwise(F.aggregate(F.sequence(F.lit(0), top), zero, step)["out"])
+
+
 def keyed_reduce(df: DataFrame, keys: Sequence[str], value: Column,
                  combine: Callable[[Column, Column], Column], name: str = "value",
                  fanin: int = 4096) -> DataFrame:
@@ -37,19 +54,18 @@ def keyed_reduce(df: DataFrame, keys: Sequence[str], value: Column,
     if fanin < 2:
         raise ValueError("fanin must be at least 2")
     keys = list(keys)
-    cur = df.select(*keys, value.alias("_v"), F.xxhash64(*[F.col(c) for c in df.columns]).alias("_h")) \
-        .where(F.col("_v").isNotNull())
+    cur = df.select(*keys, value.alias("_v")).where(F.col("_v").isNotNull())
     dtype = cur.schema["_v"].dataType
+    cur = cur.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")).select(
+        *keys, _times(F.col("_v"), F.col("_n"), combine, dtype).alias("_v"), F.xxhash64("_v").alias("_h"))
     level = 0
     while True:
-        counts = cur.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        biggest = counts.agg(F.max("_n")).first()[0] or 0
+        biggest = cur.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
         if biggest <= fanin:
             out = cur.groupBy(*keys).agg(F.collect_list("_v").alias("_vs"))
             return out.select(*keys, _fold(F.col("_vs"), combine, dtype).alias(name))
-        salted = null_safe_join(cur, counts, keys).withColumn(
-            "_salt", F.pmod(F.col("_h"), F.ceil(F.col("_n") / F.lit(fanin))))
         level += 1
-        cur = salted.groupBy(*keys, "_salt").agg(F.collect_list("_v").alias("_vs")).select(
+        salt = F.pmod(F.col("_h"), F.lit(-(-biggest // fanin)))
+        cur = materialize(cur.groupBy(*keys, salt.alias("_salt")).agg(F.collect_list("_v").alias("_vs")).select(
             *keys, _fold(F.col("_vs"), combine, dtype).alias("_v"),
-            F.xxhash64(F.col("_salt"), F.lit(level)).alias("_h"))
+            F.xxhash64(F.col("_salt"), F.lit(level)).alias("_h")))
