@@ -109,6 +109,14 @@ def keyed_range_sliding_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(out)
 
 
+def keyed_range_sliding_sum_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over 100 keys, so that every window holds a key many times."""
+    src = keyed_range(read_table(spark, sf_dir, "events", ["event_id"]), "event_id", n_keys=100)
+    out = sliding_window_agg(src, ["key"], "arrival", SLIDING_SIZE_MS * MS_US, SLIDING_SLIDE_MS * MS_US,
+                             {"value": ("sum", F.col("value"))})
+    return as_ntz(out)
+
+
 def session_window_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions per user, gap 1 h: count and exact value sum; the first
     record's id and type are carried (first = lowest (ts, event_id))."""

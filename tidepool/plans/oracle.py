@@ -123,6 +123,12 @@ ORACLE.update({
   FROM events, range(0, 5) r(k))
 SELECT key, make_timestamp(s) AS window_start, make_timestamp(s + 2500000) AS window_end,
        CAST(count(*) AS BIGINT) AS value
+FROM w GROUP BY key, s""",
+    "keyed_range_sliding_sum_dense": """WITH w AS (
+  SELECT event_id % 100 + 1 AS key, (event_id * 1000 // 500000 - k) * 500000 AS s
+  FROM events, range(0, 5) r(k))
+SELECT key, make_timestamp(s) AS window_start, make_timestamp(s + 2500000) AS window_end,
+       CAST(count(*) AS BIGINT) AS value
 FROM w GROUP BY key, s""",
     "session_window_sum": """WITH e AS (SELECT user_id, epoch_us(ts) AS t, event_id, event_type, value FROM events),
 f AS (SELECT *, lag(t) OVER (PARTITION BY user_id ORDER BY t, event_id) AS pt FROM e),

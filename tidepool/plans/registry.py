@@ -37,6 +37,7 @@ def queries() -> dict[str, Query]:
         "tumbling_time_sum": E.tumbling_time_sum,
         "src_keyed_range": E.src_keyed_range,
         "keyed_range_sliding_sum": E.keyed_range_sliding_sum,
+        "keyed_range_sliding_sum_dense": E.keyed_range_sliding_sum_dense,
         "session_window_sum": E.session_window_sum,
         "keyed_running_sum": E.keyed_running_sum,
         "reduce_generic": E.reduce_generic,
