@@ -96,3 +96,14 @@ def test_blocked_running_totals_match_window_on_skewed_keys(spark):
         acc[k] = (s + v, n + 1)
         assert got[o] == acc[k]
     assert len(got) == len(rows)
+
+
+def test_session_fields_are_of_the_first_arrived_record(spark):
+    from tidepool.operators.session import session_windows
+
+    rows = [("k", 0, 30, "x"), ("k", 1, 10, "y"), ("k", 2, 20, "z"), ("k", 3, 500, "u"), ("k", 4, 500, "v")]
+    df = spark.createDataFrame(rows, "key string, seq long, s long, f string").withColumn("ts", F.timestamp_seconds("s"))
+    for n_blocks in (1, 7):
+        out = session_windows(df, ["key"], "ts", 60 * 10**6, {"n": F.count(F.lit(1))}, ["f"], ["seq"],
+                              n_blocks=n_blocks, first_by=["seq"])
+        assert sorted((r.first_f, r.n) for r in out.collect()) == [("u", 2), ("x", 3)]

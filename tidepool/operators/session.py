@@ -37,9 +37,11 @@ def session_windows(df: DataFrame, keys: Sequence[str], ts: str, gap_us: int,
                     aggs: Mapping[str, Column], first_fields: Sequence[str] = (),
                     tiebreak: Sequence[str] = (), n_blocks: int | None = None,
                     min_rows_per_block: int = MIN_ROWS_PER_BLOCK,
-                    block_source: DataFrame | None = None) -> DataFrame:
+                    block_source: DataFrame | None = None, first_by: Sequence[str] = ()) -> DataFrame:
     """``(keys..., session_start, session_end, first_<field>..., <aggs>)``.
 
+    ``first_fields`` are of the session's lowest record by ``first_by`` (its
+    order of arrival); without it, by ``ts`` and ``tiebreak``.
     ``block_source`` (default ``df``) supplies the time range for the blocks.
     """
     keys = list(keys)
@@ -74,7 +76,7 @@ def session_windows(df: DataFrame, keys: Sequence[str], ts: str, gap_us: int,
 
     rows = rows.join(entry, [*pk, BLOCK]).withColumn("_sess", F.coalesce(F.col("_run"), F.col("_entry")))
 
-    first_key = F.struct(F.col("_t"), *[F.col(c) for c in tiebreak])
+    first_key = F.struct(*[F.col(c) for c in (first_by or ["_t", *tiebreak])])
     out = rows.groupBy(*keys, "_sess").agg(
         F.max("_t").alias("_last_t"),
         *([F.min_by(F.struct(*first_fields), first_key).alias("_first")] if first_fields else []),

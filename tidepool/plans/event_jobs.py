@@ -119,11 +119,11 @@ def keyed_range_sliding_sum_dense(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def session_window_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions per user, gap 1 h: count and exact value sum; the first
-    record's id and type are carried (first = lowest (ts, event_id))."""
+    record's id and type are carried (first = first arrived, lowest event_id)."""
     ev = events(spark, sf_dir, ("event_id", "ts", "user_id", "event_type", "value"))
     out = session_windows(ev, ["user_id"], "ts", 3600 * SECOND_US,
                           {"n_events": F.count(F.lit(1)), "value_sum": exact_sum(F.col("value"))},
-                          first_fields=["event_id", "event_type"], tiebreak=["event_id"])
+                          first_fields=["event_id", "event_type"], tiebreak=["event_id"], first_by=["event_id"])
     return as_ntz(out)
 
 

@@ -135,7 +135,7 @@ f AS (SELECT *, lag(t) OVER (PARTITION BY user_id ORDER BY t, event_id) AS pt FR
 g AS (SELECT *, sum(CASE WHEN pt IS NULL OR t - pt > 3600000000 THEN 1 ELSE 0 END)
                   OVER (PARTITION BY user_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM f)
 SELECT user_id, make_timestamp(min(t)) AS session_start, make_timestamp(max(t) + 3600000000) AS session_end,
-       arg_min(event_id, t) AS first_event_id, arg_min(event_type, t) AS first_event_type,
+       min(event_id) AS first_event_id, arg_min(event_type, event_id) AS first_event_type,
        count(*) AS n_events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_sum
 FROM g GROUP BY user_id, sid""",
     "keyed_running_sum": """SELECT event_id, ts, user_id, value,

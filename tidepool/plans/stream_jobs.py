@@ -33,7 +33,7 @@ def stream_session_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(stream):
         return _parquet_sink(stream_session_agg(
             stream, ["user_id"], "ts", "1 hour", "1 hour",
-            {"_first": F.min_by(F.struct("event_id", "event_type"), F.struct("ts", "event_id")),
+            {"_first": F.min_by(F.struct("event_id", "event_type"), "event_id"),
              "n_events": F.count(F.lit(1)),
              "value_sum": F.sum(cents(F.col("value")))}), sink)
 

@@ -159,11 +159,14 @@ def stream_delta_fires(stream: DataFrame, key: str, ts_us: str, seq: str, measur
     the reference value only.  Output: ``(key, seq, ts_us, measure)`` per fire."""
     in_fields = {f.name: f for f in stream.schema.fields}
     out_schema = T.StructType([in_fields[key], in_fields[seq], in_fields[ts_us], in_fields[measure]])
-    state_schema = T.StructType([T.StructField("ref", T.DoubleType())])
+    exact = isinstance(in_fields[measure].dataType, T.IntegralType)
+    state_schema = T.StructType([T.StructField("ref", T.LongType() if exact else T.DoubleType())])
 
     def fold(k, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         pdf = _concat(chunks, [ts_us, seq])
-        d = pdf[measure].to_numpy(dtype=np.float64)
+        if pdf[measure].isna().any():
+            raise ValueError("delta trigger: the measure must not be NULL or NaN")
+        d = pdf[measure].astype("int64" if exact else "float64").tolist()
         ref = state.get[0] if state.exists else None
         fires = []
         for i in range(len(d)):          # sequential by definition
@@ -172,7 +175,7 @@ def stream_delta_fires(stream: DataFrame, key: str, ts_us: str, seq: str, measur
             elif d[i] - ref > threshold:
                 fires.append(i)
                 ref = d[i]
-        state.update((float(ref),))
+        state.update((ref,))
         yield pdf.iloc[fires][[key, seq, ts_us, measure]]
 
     return stream.select(key, ts_us, seq, measure).groupBy(key).applyInPandasWithState(
