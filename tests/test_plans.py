@@ -2,7 +2,10 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
+from tidepool.operators.trailing import trailing_time_max
 
 SF = "/root/testdata/sf0.01"
 
@@ -25,8 +28,15 @@ def test_session_row_window_partitions_by_block(spark):
     assert re.search(r"lag\(_t#\d+L?, -?1, null\) windowspecdefinition\(_key#\d+, _blk#\d+L", p)
 
 
-def test_trailing_frame_partitions_by_block(spark):
+def test_trailing_query_partitions_by_pane(spark):
     p = plan(spark, "trailing_time_max")
+    assert re.search(r"windowspecdefinition\(car_id#\d+L?, _p#\d+L, ", p)
+
+
+def test_trailing_frame_partitions_by_block(spark):
+    df = spark.range(100).select(F.lit(1).alias("car_id"), F.timestamp_seconds("id").alias("ts"), F.col("id").alias("v"))
+    out = trailing_time_max(df, ["car_id"], "ts", 10**7, "v", ["v"], n_blocks=4, strategy="frame")
+    p = out._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"windowspecdefinition\(car_id#\d+, _blk#\d+L, _t#\d+L ASC NULLS FIRST, "
                      r"specifiedwindowframe\(RangeFrame", p)
 
