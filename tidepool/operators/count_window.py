@@ -18,7 +18,8 @@ ordinal comes from the skew-safe blocked prefix count; then
   the fire's ``(key, ordinal)`` group (at most two rows) in one pass.  Exact for integral and
   decimal values; its cost does not grow with ``size / slide``.  ``auto``
   picks it for exact types when ``size / slide`` exceeds
-  :data:`EXPAND_MAX_RATIO`.
+  :data:`EXPAND_MAX_RATIO`.  Both plans give the same values (NULL for a
+  window of NULLs) and the type of ``sum``.
 """
 
 from __future__ import annotations
@@ -54,9 +55,12 @@ def count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], size:
         if strategy == "prefix":
             if not exact:
                 raise ValueError("the prefix count-window plan needs integral or decimal values")
-            ranked = rolling_sums(src, keys, order, {ORDINAL: F.lit(1).cast("long"), "_run": F.col("_val")},
+            some = F.col("_val").isNotNull().cast("long")
+            ranked = rolling_sums(src, keys, order,
+                                  {ORDINAL: F.lit(1).cast("long"), "_sum": F.col("_val"), "_some": some},
                                   block_on, n_blocks, block_source, min_rows_per_block)
-            run_type = ranked.schema["_run"].dataType
+            ranked = ranked.withColumn("_run", F.struct("_some", "_sum"))
+            sum_type = src.select(F.sum("_val").alias("s")).schema["s"].dataType
             # one pass over the ranked rows: a firing row reports its running
             # sum at its own ordinal, a row `size` before a fire reports its
             # running sum at the fire's ordinal; (key, ordinal) groups hold
@@ -72,10 +76,12 @@ def count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], size:
                 F.max(F.when(~is_fire, F.col("_run"))).alias("_run_before"),
                 F.max_by(F.struct(*order), is_fire.cast("int")).alias("_rec"),
                 F.max(is_fire.cast("int")).alias("_has_fire"))
+            run, before = F.col("_run"), F.col("_run_before")
+            total = F.when(before["_sum"].isNull(), run["_sum"]).otherwise(run["_sum"] - before["_sum"])
+            seen = run["_some"] > F.coalesce(before["_some"], F.lit(0))     # a value in the window
             return grouped.where(F.col("_has_fire") == 1).select(
                 *keys, *[F.col(f"_rec.{c}").alias(c) for c in order], ORDINAL,
-                (F.col("_run") - F.coalesce(F.col("_run_before"), F.lit(0).cast(run_type)))
-                .cast(run_type).alias(name))
+                F.when(seen, total).cast(sum_type).alias(name))
         if strategy != "expand":
             raise ValueError(f"unknown strategy {strategy!r}")
     ranked = rolling_sum(src, keys, order, None, ORDINAL, block_on, n_blocks, block_source, min_rows_per_block)

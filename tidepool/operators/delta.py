@@ -24,7 +24,7 @@ one block of records; stage B holds a few rows per block.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -189,8 +189,10 @@ def delta_trigger_fires(df: DataFrame, keys: Sequence[str], ts: str, seq: str, m
 
 
 def delta_trigger_fires_sequential(df: DataFrame, keys: Sequence[str], ts: str, seq: str, measure: str,
-                                   threshold: float, n_slices: int = 8) -> DataFrame:
-    """:func:`delta_trigger_fires` for any measure: the input is replayed in
+                                   threshold: float, n_slices: int = 8,
+                                   delta: Callable | None = None) -> DataFrame:
+    """:func:`delta_trigger_fires` for any measure and any ``delta(old, new)``
+    (a Python function of two values, default ``new - old``): the input is replayed in
     ``n_slices`` time slices through the stateful stream fold (bounded memory
     per micro-batch; each key is folded in order, slice after slice).
     Returns ``(key, seq, ts, measure)`` of the fires.  One key column."""
@@ -206,7 +208,7 @@ def delta_trigger_fires_sequential(df: DataFrame, keys: Sequence[str], ts: str,
     sink = scratch_path(spark, "delta-fires")
 
     def build(stream):
-        return (stream_delta_fires(stream, key, "_t_us", seq, measure, threshold)
+        return (stream_delta_fires(stream, key, "_t_us", seq, measure, threshold, delta)
                 .writeStream.format("parquet").option("path", sink).outputMode("append"))
 
     replay(src, F.col("_t_us"), n_slices, build, "delta")

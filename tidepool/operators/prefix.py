@@ -5,7 +5,8 @@ A running total per key in a given order is normally a window function
 task.  When one key holds a large share of the data (a frequent word, one of
 eight cars) that task is the whole job.
 
-Here the order axis is cut into ``n_blocks`` monotone blocks:
+Here the order axis is cut into ``n_blocks`` monotone blocks, at quantiles
+of the order value:
 
 1. local running totals per ``(key, block)`` -- one hash exchange on
    ``(key, block)``, so a hot key is spread over many tasks;
@@ -36,26 +37,34 @@ def default_blocks(df: DataFrame) -> int:
 
 
 MIN_ROWS_PER_BLOCK = 10_000
+MAX_ROWS_PER_BLOCK = 2_000_000
+MAX_BLOCKS = 20_000               # the edges are one literal array of this plan
 
 
 def range_block(df: DataFrame, value: Column, n_blocks: int,
                 min_rows_per_block: int = MIN_ROWS_PER_BLOCK) -> Column:
-    """A block index that is monotone in ``value`` (numeric), splitting its
-    observed range into equal spans: ``n_blocks`` of them, or fewer so that a
-    block averages at least ``min_rows_per_block`` rows of ``df``.  Runs one
-    scalar min/max/count aggregate (a single row reaches the driver)."""
-    lo, hi, n = df.select(F.min(value), F.max(value), F.count(value)).first()
-    if lo is None:
+    """A block index that is monotone in ``value`` (numeric): its observed
+    quantiles cut the rows of ``df`` into ``n_blocks`` blocks of about equal
+    size, wherever the values lie -- fewer, so that a block averages at least
+    ``min_rows_per_block`` rows; more, so that it averages at most
+    ``MAX_ROWS_PER_BLOCK`` (up to ``MAX_BLOCKS`` blocks).  The driver
+    receives the edges, at most one scalar per block."""
+    n = df.select(F.count(value)).first()[0]
+    n_blocks = max(1, min(n_blocks, n // max(1, min_rows_per_block)), -(-n // MAX_ROWS_PER_BLOCK))
+    n_blocks = min(n_blocks, MAX_BLOCKS)
+    if n_blocks == 1:
         return F.lit(0).cast("long")
-    n_blocks = max(1, min(n_blocks, n // max(1, min_rows_per_block)))
-    span = (float(hi) - float(lo)) / n_blocks
-    if span <= 0:
-        return F.lit(0).cast("long")
-    # Floating division by a positive constant is monotone, which is all the
-    # algorithm needs (block edges need not be exact).
+    at = df.select(F.approx_percentile(value, [i / n_blocks for i in range(1, n_blocks)],
+                                       max(10_000, 10 * n_blocks)).alias("edges"))
+    edges = sorted(set(at.first()[0]))
+    kind = at.schema["edges"].dataType.simpleString()
+    array = F.split(F.lit(",".join(map(str, edges))), ",").cast(kind)
+    # the number of edges below the value, by binary search
+    steps = F.array(*[F.lit(2 ** k) for k in reversed(range(len(edges).bit_length()))])
+    found = F.aggregate(steps, F.lit(0), lambda pos, step: F.when(
+        F.get(array, pos + step - 1) < value, pos + step).otherwise(pos))
     # NULLs sort first, so they belong to the first block.
-    at = F.least(F.floor((value - F.lit(lo)) / F.lit(span)), F.lit(n_blocks - 1)).cast("long")
-    return F.when(value.isNull(), F.lit(0).cast("long")).otherwise(at)
+    return F.when(value.isNull(), F.lit(0)).otherwise(found).cast("long")
 
 
 KEY = "_key"
@@ -100,11 +109,13 @@ def blocked_running_totals(
     order: Sequence[Column | str],
     block: Column,
     measures: Mapping[str, Column],
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """Add inclusive running totals ``measures`` (name → numeric column) per
     ``keys`` in ``order``.  ``block`` must be monotone in ``order`` (e.g.
     :func:`range_block` of the leading order column).  Keeps the ``_blk``
-    column."""
+    column.  ``start`` (keys and measures, one row per key) holds totals to
+    begin with; it meets the block totals, not the rows."""
     keys = list(keys)
     base = df.withColumn(BLOCK, block)
     for name, m in measures.items():
@@ -126,6 +137,13 @@ def blocked_running_totals(
         *pk, BLOCK,
         *[F.sum(f"_tot_{n}").over(w_blocks).alias(f"_off_{n}") for n in measures],
     )
+    if start is not None:
+        begin = start.select(*keys, *[F.col(n).alias(f"_beg_{n}") for n in measures])
+        if wrapped:
+            begin = begin.withColumn(KEY, key_struct(keys)).drop(*keys)
+        offsets = offsets.join(begin, pk, "left").select(
+            *pk, BLOCK, *[F.coalesce(F.col(f"_off_{n}") + F.col(f"_beg_{n}"), F.col(f"_off_{n}"),
+                                     F.col(f"_beg_{n}")).alias(f"_off_{n}") for n in measures])
     joined = local.join(offsets, [*pk, BLOCK])
     # wrapped keys are read back from the struct (one copy travels)
     out_cols = [F.col(f"{KEY}.{c}").alias(c) if wrapped and c in keys else F.col(c) for c in df.columns]

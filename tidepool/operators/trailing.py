@@ -129,7 +129,8 @@ def _trailing_max_panes(df: DataFrame, keys: Sequence[str], ts: str, span_us: in
 
 
 def trailing_max_at(points: DataFrame, records: DataFrame, keys: Sequence[str], ts: str, seq: str, span_us: int,
-                    value: str, fields: Sequence[str], prefix: str = "top_") -> DataFrame:
+                    value: str, fields: Sequence[str], prefix: str = "top_",
+                    full_rows: bool = True) -> DataFrame:
     """For each row of ``points`` (records at which a report is due, e.g.
     trigger fires), ``prefix + field`` columns of the max-``value`` record
     among ``records`` of the same key that arrived no later (``(ts, seq)``
@@ -142,6 +143,9 @@ def trailing_max_at(points: DataFrame, records: DataFrame, keys: Sequence[str],
     (distance per span / threshold + 1) points share a span, whatever the
     sampling rate, where a per-record RANGE frame costs ``records ×
     records per span``.  Equal timestamps are ordered by ``seq`` exactly.
+    With ``full_rows=False`` only ``(keys..., seq, prefix + fields...)`` come
+    back, for points that are records themselves (each then has a maximum),
+    and ``points`` is read once.
     """
     keys = list(keys)
     t_us = F.unix_micros(F.col(ts).cast("timestamp"))
@@ -161,4 +165,4 @@ def trailing_max_at(points: DataFrame, records: DataFrame, keys: Sequence[str],
     best = pairs.groupBy(*keys, "_pseq").agg(
         F.max_by(F.struct(*[F.col(f"_r_{c}").alias(c) for c in fields]), order).alias("_top"))
     tops = best.select(*keys, F.col("_pseq").alias(seq), *[F.col(f"_top.{c}").alias(prefix + c) for c in fields])
-    return null_safe_join(points, tops, [*keys, seq])
+    return null_safe_join(points, tops, [*keys, seq]) if full_rows else tops

@@ -25,7 +25,7 @@ from ..functions.fixed import SLIDING_SIZE_MS, SLIDING_SLIDE_MS, TOP_SPEED_TRIGG
 from ..functions.telemetry import centi_kmh_seconds_to_metres, speed_centi
 from ..operators.count_window import count_window
 from ..operators.delta import delta_trigger_fires
-from ..operators.reduce import keyed_reduce
+from ..operators.reduce import keyed_reduce, rolling_reduce, window_reduce
 from ..operators.rolling import rolling_sum
 from ..operators.session import session_windows
 from ..operators.time_window import sliding_window_agg
@@ -151,6 +151,44 @@ def count_window_sum_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(out.withColumn("value_sum", from_cents(F.col("value_sum"))))
 
 
+def sliding_time_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows 2500 s / 500 s per user with a user's combine function."""
+    ev = events(spark, sf_dir, ("ts", "user_id", "value"))
+    out = window_reduce(ev, ["user_id"], "ts", SLIDING_SIZE_MS * SECOND_US, SLIDING_SLIDE_MS * SECOND_US,
+                        cents(F.col("value")), lambda a, b: a + b, "value_sum", fanin=64)
+    return as_ntz(out.withColumn("value_sum", from_cents(F.col("value_sum"))))
+
+
+def rolling_reduce_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After every event, its type's largest value and the event that had it
+    first: a user's combine of structs (``combine(earlier, later)``)."""
+    ev = events(spark, sf_dir, ("event_id", "ts", "event_type", "value"))
+    best = F.struct(F.col("value").alias("top"), F.col("event_id").alias("top_id"))
+    out = rolling_reduce(ev, ["event_type"], ["ts", "event_id"], best,
+                         lambda a, b: F.when(b["top"] > a["top"], b).otherwise(a), "best",
+                         block_on=F.unix_micros("ts"), min_rows_per_block=1_000)
+    return out.select("event_id", "event_type", F.col("best.top").alias("top"), F.col("best.top_id").alias("top_id"))
+
+
+def keyed_running_sum_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running sum per event type where every third event has no value,
+    over 16 blocks."""
+    ev = events(spark, sf_dir, ("event_id", "ts", "event_type", "value"))
+    some = F.when(F.col("event_id") % 3 != 0, cents(F.col("value")))
+    out = rolling_sum(ev, ["event_type"], ["ts", "event_id"], some, name="running_value",
+                      block_on=F.unix_micros("ts"), n_blocks=16)
+    return out.select("event_id", "event_type", from_cents(F.col("running_value")).alias("running_value"))
+
+
+def trailing_time_max_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trailing maximum with times cut to the hour, so that many records
+    of a car share one: arrival (``seq``) orders them.  Over 16 blocks."""
+    tel = telemetry(spark, sf_dir).withColumn("ts", F.date_trunc("hour", "ts"))
+    out = trailing_time_max(tel, ["car_id"], "ts", 6 * CAR_EVICT_SEC * SECOND_US, "speed", ["seq", "speed"], ["seq"],
+                            n_blocks=16)
+    return out.select("car_id", "seq", "top_seq", "top_speed")
+
+
 def count_window_sum_events_100_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count window 100 / 2 per user summing a value: large size/slide, so
     the prefix-difference plan is chosen."""
@@ -224,6 +262,18 @@ def delta_trigger_fires_sequential_q(spark: SparkSession, sf_dir: str) -> DataFr
     return as_ntz(odo.join(fires.select("car_id", "seq"), ["car_id", "seq"], "left_semi"))
 
 
+def delta_trigger_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per car, the records whose speed has changed by more than 25 km/h,
+    either way, since the last such record: a ``delta(old, new)`` that is no
+    difference of a rising measure (stateful fold)."""
+    from ..operators.delta import delta_trigger_fires_sequential
+
+    tel = telemetry(spark, sf_dir).withColumn("speed_c", speed_centi(F.col("speed")))
+    fires = delta_trigger_fires_sequential(tel, ["car_id"], "ts", "seq", "speed_c", 2500,
+                                           delta=lambda old, new: abs(new - old))
+    return as_ntz(fires.select("car_id", "seq", "ts", "speed_c"))
+
+
 TOP_FIELDS = ["seq", "speed", "distance", "ts"]
 
 
@@ -252,6 +302,7 @@ def top_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     # read by the fold's stages, the fire join and the span join: computed once
     odo = materialize(with_odometer(tel))
     fires = _fires(odo, tel, full_rows=False)
-    tops = trailing_max_at(fires, odo, ["car_id"], "ts", "seq", CAR_EVICT_SEC * SECOND_US, "speed", TOP_FIELDS)
+    tops = trailing_max_at(fires, odo, ["car_id"], "ts", "seq", CAR_EVICT_SEC * SECOND_US, "speed", TOP_FIELDS,
+                           full_rows=False)
     return as_ntz(tops.select("car_id", F.col("seq").alias("fire_seq"),
                               *[F.col("top_" + c) for c in TOP_FIELDS]))

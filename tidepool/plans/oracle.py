@@ -172,3 +172,38 @@ s AS (SELECT e.event_type, e.t, least(floor((e.t - b.lo) / b.span), 3) AS slice
 SELECT event_type, make_timestamp(t // 3600000000 * 3600000000) AS window_start,
        make_timestamp(t // 3600000000 * 3600000000 + 3600000000) AS window_end, count(*) AS n
 FROM s WHERE slice <> 1 GROUP BY event_type, t // 3600000000"""
+
+
+ORACLE.update({
+    "stream_text_sink": f"SELECT word, n FROM ({_count_window(10, 5)})",
+    "sliding_time_reduce": f"SELECT user_id, window_start, window_end, value_sum FROM ({_windows(2500 * 10**6, 500 * 10**6)})",
+    # the first event of a running maximum: the last one that raised it
+    "rolling_reduce": """WITH e AS (
+  SELECT event_id, event_type, ts, value, max(value) OVER (PARTITION BY event_type ORDER BY ts, event_id
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS old FROM events)
+SELECT event_id, event_type, greatest(value, old) AS top,
+       last_value(CASE WHEN old IS NULL OR value > old THEN event_id END IGNORE NULLS) OVER (
+         PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS top_id
+FROM e""",
+    "keyed_running_sum_nulls": """SELECT event_id, event_type,
+       CAST(sum(CASE WHEN event_id % 3 <> 0 THEN CAST(value AS DECIMAL(18,2)) END) OVER (
+            PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_value
+FROM events""",
+    "trailing_time_max_ties": """WITH o AS (
+  SELECT event_id AS seq, CAST(user_id % 8 AS INTEGER) AS car_id, value AS speed,
+         epoch_us(ts) // 3600000000 AS h FROM events)
+SELECT o.car_id, o.seq, x.top_seq, x.top_speed FROM o, LATERAL (
+  SELECT o2.seq AS top_seq, o2.speed AS top_speed FROM o o2
+  WHERE o2.car_id = o.car_id AND o2.h > o.h - 6 AND (o2.h < o.h OR (o2.h = o.h AND o2.seq <= o.seq))
+  ORDER BY o2.speed DESC, o2.h, o2.seq LIMIT 1) x""",
+    "delta_trigger_change": """WITH RECURSIVE o AS (
+  SELECT CAST(user_id % 8 AS INTEGER) AS car_id, event_id AS seq, ts, CAST(round(value * 100) AS BIGINT) AS speed_c,
+         row_number() OVER (PARTITION BY user_id % 8 ORDER BY ts, event_id) AS rn FROM events),
+f AS (
+  SELECT car_id, seq, ts, speed_c, rn, speed_c AS ref, FALSE AS fire FROM o WHERE rn = 1
+  UNION ALL
+  SELECT o.car_id, o.seq, o.ts, o.speed_c, o.rn,
+         CASE WHEN abs(o.speed_c - f.ref) > 2500 THEN o.speed_c ELSE f.ref END, abs(o.speed_c - f.ref) > 2500
+  FROM f JOIN o ON o.car_id = f.car_id AND o.rn = f.rn + 1)
+SELECT car_id, seq, ts, speed_c FROM f WHERE fire""",
+})

@@ -41,6 +41,9 @@ def queries() -> dict[str, Query]:
         "session_window_sum": E.session_window_sum,
         "keyed_running_sum": E.keyed_running_sum,
         "reduce_generic": E.reduce_generic,
+        "keyed_running_sum_nulls": E.keyed_running_sum_nulls,
+        "sliding_time_reduce": E.sliding_time_reduce,
+        "rolling_reduce": E.rolling_reduce_q,
         "count_window_sum_events": E.count_window_sum_events,
         "count_window_sum_events_100_2": E.count_window_sum_events_100_2,
         "max_by_record": E.max_by_record_q,
@@ -50,6 +53,8 @@ def queries() -> dict[str, Query]:
         "odometer": E.odometer,
         "delta_trigger_fires": E.delta_trigger_fires_q,
         "delta_trigger_fires_sequential": E.delta_trigger_fires_sequential_q,
+        "delta_trigger_change": E.delta_trigger_change,
+        "trailing_time_max_ties": E.trailing_time_max_ties,
         "trailing_time_max": E.trailing_time_max_q,
         "trailing_time_max_panes": E.trailing_time_max_panes,
         "top_speed": E.top_speed,
@@ -58,6 +63,7 @@ def queries() -> dict[str, Query]:
         "stream_sliding_sum": S.stream_sliding_sum,
         "stream_count_window": S.stream_count_window,
         "stream_count_window_10_5": S.stream_count_window_10_5,
+        "stream_text_sink": S.stream_text_sink,
         "stream_word_count": S.stream_word_count,
         "stream_word_count_rolling": S.stream_word_count_rolling,
         "stream_json_english_word_count": S.stream_json_english_word_count,

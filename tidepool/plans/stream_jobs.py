@@ -11,6 +11,8 @@ from ..functions.fixed import COUNT_WINDOW_SIZE, COUNT_WINDOW_SLIDE, WINDOW_WORD
 from ..functions.telemetry import centi_kmh_seconds_to_metres, speed_centi
 from ..operators.tokenize import tokenize_words
 from ..session import scratch_path
+from ..sinks.tuple_text import parse_tuple_line, tuple_lines
+from ..streaming.counts import count_window_batches
 from ..streaming.replay import replay, sentinel_row
 from ..streaming import stateful
 from ..streaming.windows import stream_session_agg, stream_sliding_agg
@@ -79,16 +81,29 @@ def _doc_stream_tokens(stream: DataFrame) -> DataFrame:
     return tokenize_words(stream)
 
 
-def _stream_count_window(spark: SparkSession, sf_dir: str, size: int, slide: int) -> DataFrame:
+def _replay_counts(spark: SparkSession, sf_dir: str, size: int | None, slide: int, write) -> None:
+    """Count windows per word over the documents replayed in ``doc_id`` order."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    batches = count_window_batches("word", ["doc_id", "pos"], size, slide, scratch_path(spark, "counts"), write)
+    replay(docs, F.col("doc_id"), N_SLICES,
+           lambda stream: _doc_stream_tokens(stream).writeStream.foreachBatch(batches), "countwin")
+
+
+def _stream_count_window(spark: SparkSession, sf_dir: str, size: int | None, slide: int) -> DataFrame:
     sink = scratch_path(spark, "countwin-out")
+    _replay_counts(spark, sf_dir, size, slide, lambda fires, batch_id: fires.write.mode("overwrite")
+                   .parquet(f"{sink}/batch_id={batch_id}"))
+    return spark.read.parquet(sink).drop("batch_id")
 
-    def build(stream):
-        return _parquet_sink(stateful.stream_count_window(_doc_stream_tokens(stream), "word", ["doc_id", "pos"],
-                                                          size, slide), sink)
 
-    replay(docs, F.col("doc_id"), N_SLICES, build, "countwin")
-    return spark.read.parquet(sink)
+def stream_text_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The count-window job to text files: every fire of the 10 / 5 windows
+    as a ``(word,n)`` line, read back and parsed."""
+    sink = scratch_path(spark, "countwin-text")
+    _replay_counts(spark, sf_dir, COUNT_WINDOW_SIZE, COUNT_WINDOW_SLIDE,
+                   lambda fires, batch_id: tuple_lines(fires, ["word", "n"]).write.mode("overwrite")
+                   .text(f"{sink}/batch_id={batch_id}"))
+    return spark.read.text(sink).select(*parse_tuple_line("value"))
 
 
 def stream_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,16 +120,8 @@ def stream_count_window_10_5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_word_count_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-token running count of its word, exact per record, on a replayed
-    document stream (stateful: one count per word)."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    sink = scratch_path(spark, "rolling-out")
-
-    def build(stream):
-        return _parquet_sink(stateful.stream_rolling_count(_doc_stream_tokens(stream), "word", ["doc_id", "pos"]),
-                             sink)
-
-    replay(docs, F.col("doc_id"), N_SLICES, build, "rolling")
-    return spark.read.parquet(sink)
+    document stream (one count per word is kept)."""
+    return _stream_count_window(spark, sf_dir, None, 1).drop("seq_in_key")
 
 
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Sinks: tuple-formatted text files, no-op, console."""
+"""Sinks: tuple-formatted text files, no-op, console -- for tables and streams."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 
 def tuple_lines(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -21,6 +22,18 @@ def write_tuple_text(df: DataFrame, path: str, cols: Sequence[str] | None = None
     tuple_lines(df, cols).write.mode("errorifexists").text(path)
 
 
+def stream_tuple_text(stream: DataFrame, path: str, cols: Sequence[str] | None = None) -> DataStreamWriter:
+    """A stream's rows appended as tuple lines to text files below ``path``
+    (exactly once; needs a ``checkpointLocation``)."""
+    return tuple_lines(stream, cols).writeStream.format("text").option("path", path).outputMode("append")
+
+
+def stream_show(stream: DataFrame, n: int = 20, mode: str = "append") -> DataStreamWriter:
+    """Debug print of every micro-batch, one tuple per line."""
+    return (tuple_lines(stream).writeStream.format("console").option("numRows", n)
+            .option("truncate", "false").outputMode(mode))
+
+
 def write_noop(df: DataFrame) -> None:
     """Run the plan and discard its rows (throughput measurement)."""
     df.write.format("noop").mode("overwrite").save()

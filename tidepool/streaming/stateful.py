@@ -16,7 +16,7 @@ cannot be re-ordered).
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -90,7 +90,8 @@ def stream_count_window(stream: DataFrame, key: str, order: Sequence[str], size:
 
 def stream_rolling_count(stream: DataFrame, key: str, order: Sequence[str], name: str = "n") -> DataFrame:
     """Per-record running count of each key on a stream (one output row per
-    input record): the count window with slide 1 and no size limit."""
+    input record): the count window with slide 1 and no size limit.  For many
+    keys ``counts.count_window_batches`` gives the same without Python."""
     out = stream_count_window(stream, key, order, 2**62, 1, None, name)
     return out.drop("seq_in_key")
 
@@ -152,16 +153,19 @@ def stream_top_speed(stream: DataFrame, key: str, ts_us: str, seq: str, speed_ce
 
 
 def stream_delta_fires(stream: DataFrame, key: str, ts_us: str, seq: str, measure: str,
-                       threshold: float) -> DataFrame:
+                       threshold: float, delta: Callable | None = None) -> DataFrame:
     """Delta-trigger fires for *any* measure (not only non-decreasing ones):
     per key, the first record is the reference, a record fires when
-    ``measure - reference > threshold`` and becomes the reference.  State is
-    the reference value only.  Output: ``(key, seq, ts_us, measure)`` per fire."""
+    ``delta(reference, measure) > threshold`` and becomes the reference.
+    ``delta`` is a Python function of two values (default: the second minus
+    the first).  State is the reference value only.  Output: ``(key, seq, ts_us, measure)`` per fire."""
     in_fields = {f.name: f for f in stream.schema.fields}
     out_schema = T.StructType([in_fields[key], in_fields[seq], in_fields[ts_us], in_fields[measure]])
     exact = isinstance(in_fields[measure].dataType, T.IntegralType)
     state_schema = T.StructType([T.StructField("ref", T.LongType() if exact else T.DoubleType())])
 
+    change = delta or (lambda old, new: new - old)
+
     def fold(k, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         pdf = _concat(chunks, [ts_us, seq])
         if pdf[measure].isna().any():
@@ -172,7 +176,7 @@ def stream_delta_fires(stream: DataFrame, key: str, ts_us: str, seq: str, measur
         for i in range(len(d)):          # sequential by definition
             if ref is None:
                 ref = d[i]
-            elif d[i] - ref > threshold:
+            elif change(ref, d[i]) > threshold:
                 fires.append(i)
                 ref = d[i]
         state.update((ref,))
