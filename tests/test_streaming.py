@@ -3,10 +3,13 @@ from pyspark.sql import functions as F
 from fixtures import SESSION_ROWS, TELEMETRY, WINDOW_WORDS
 from tidepool.functions.fixed import (SESSION_GAP_MS, SESSION_WATERMARK_LAG_MS, TOP_SPEED_EVICTION_SEC,
                                       TOP_SPEED_TRIGGER_METERS)
+from tidepool.operators.delta import delta_trigger_fires_sequential
 from tidepool.operators.tokenize import tokenize_words
 from tidepool.session import scratch_path
 from tidepool.sources.records import from_elements, from_tuples
+from tidepool.sinks.tuple_text import stream_show, stream_tuple_text
 from tidepool.streaming import stateful
+from tidepool.streaming.counts import count_window_batches
 from tidepool.streaming.replay import dropped_by_watermark, replay, sentinel_row
 from tidepool.streaming.windows import stream_session_agg, watermark_delay_for_lag
 
@@ -104,3 +107,37 @@ def test_processing_time_windows_close_on_later_batches(spark):
     rows = spark.read.parquet(out).where("key < 9").collect()
     # every record lands in size / slide = 2 windows
     assert sum(r.v for r in rows) == 60
+
+
+def test_batchwise_counts_match_the_stateful_fold_and_survive_a_repeated_batch(spark):
+    docs = from_elements(spark, WINDOW_WORDS).withColumnRenamed("seq", "doc_id")
+    out, state = scratch_path(spark, "t-cb"), scratch_path(spark, "t-cb-state")
+    fn = count_window_batches("word", ["doc_id", "pos"], 6, 1, state, lambda d, i: d.write.mode("overwrite").parquet(
+        f"{out}/batch_id={i}"))
+
+    def twice(batch, batch_id):
+        fn(batch, batch_id)
+        fn(batch, batch_id)
+
+    replay(docs, F.col("doc_id"), 4, lambda s: tokenize_words(s).writeStream.foreachBatch(twice), "t-cb")
+    by = {}
+    for r in sorted(spark.read.parquet(out).collect(), key=lambda r: (r.doc_id, r.pos)):
+        by.setdefault(r.word, []).append(r.n)
+    assert by["bytedance"] == [1, 2, 3, 4, 5] and by["hello"] == [1, 2, 3]
+    assert sum(map(len, by.values())) == 24
+
+
+def test_stream_tuple_text_and_console(spark, capfd):
+    df = from_tuples(spark, [(1, "a"), (2, None), (3, "c")], "id long, w string")
+    out = scratch_path(spark, "t-text")
+    replay(df, F.col("id"), 3, lambda s: stream_tuple_text(s, out, ["w", "id"]), "t-text")
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["(a,1)", "(c,3)", "(null,2)"]
+    replay(df, F.col("id"), 1, lambda s: stream_show(s), "t-console")
+
+
+def test_delta_function_of_old_and_new(spark):
+    values = [10, 14, 9, 30, 29, 5, 16]
+    df = from_tuples(spark, [(1, i, v) for i, v in enumerate(values)], "k int, t long, v long") \
+        .withColumn("ts", F.timestamp_micros("t"))
+    got = delta_trigger_fires_sequential(df, ["k"], "ts", "t", "v", 10, n_slices=3, delta=lambda old, new: abs(new - old))
+    assert sorted(r.t for r in got.collect()) == [3, 5, 6]

@@ -7,7 +7,7 @@ from fixtures import ONE_LINE, SOLILOQUY, WINDOW_WORDS
 from tidepool.operators.count_window import count_window
 from tidepool.operators.rolling import keyed_totals, rolling_sum
 from tidepool.operators.tokenize import tokenize_whitespace, tokenize_words
-from tidepool.sources.records import from_elements
+from tidepool.sources.records import from_elements, from_tuples
 
 
 def lines(spark, values):
@@ -106,3 +106,14 @@ def test_count_window_prefix_plan_matches_expand_plan(spark, size, slide):
     hot = [v for k, _, v in rows if k == "hot"]
     exp = [(i + 1, sum(hot[max(0, i + 1 - size):i + 1])) for i in range(len(hot)) if (i + 1) % slide == 0]
     assert [(s, n) for k, _, s, n in ea if k == "hot"] == sorted(exp)
+
+
+def test_count_window_plans_agree_on_nulls_and_types(spark):
+    rows = [("a", i, None if i < 7 else i) for i in range(20)] + [("b", i, None) for i in range(6)]
+    for kind in ("int", "bigint", "decimal(10,2)"):
+        df = from_tuples(spark, rows, "key string, o long, v long").withColumn("v", F.col("v").cast(kind))
+        a, b = (count_window(df, ["key"], ["o"], 5, 2, F.col("v"), n_blocks=4, strategy=s)
+                for s in ("expand", "prefix"))
+        assert a.schema["n"].dataType == b.schema["n"].dataType
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+        assert [r.n for r in b.where("key = 'b'").collect()] == [None] * 3

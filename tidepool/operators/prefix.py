@@ -49,14 +49,20 @@ def range_block(df: DataFrame, value: Column, n_blocks: int,
     ``min_rows_per_block`` rows; more, so that it averages at most
     ``MAX_ROWS_PER_BLOCK`` (up to ``MAX_BLOCKS`` blocks).  The driver
     receives the edges, at most one scalar per block."""
-    n = df.select(F.count(value)).first()[0]
-    n_blocks = max(1, min(n_blocks, n // max(1, min_rows_per_block)), -(-n // MAX_ROWS_PER_BLOCK))
-    n_blocks = min(n_blocks, MAX_BLOCKS)
-    if n_blocks == 1:
+    def quantiles(count: int) -> DataFrame:
+        parts = [i / count for i in range(1, count + 1)]
+        return df.select(F.count(value).alias("n"),
+                         F.approx_percentile(value, parts, max(10_000, 10 * count)).alias("edges"))
+
+    at = quantiles(n_blocks)
+    n, found = at.first()
+    if not n:
         return F.lit(0).cast("long")
-    at = df.select(F.approx_percentile(value, [i / n_blocks for i in range(1, n_blocks)],
-                                       max(10_000, 10 * n_blocks)).alias("edges"))
-    edges = sorted(set(at.first()[0]))
+    wanted = min(max(1, min(n_blocks, n // max(1, min_rows_per_block)), -(-n // MAX_ROWS_PER_BLOCK)), MAX_BLOCKS)
+    if wanted > n_blocks:
+        found = quantiles(wanted).first()["edges"]
+    # the upper edges of all blocks but the last (of the only one, if one)
+    edges = sorted({found[i * len(found) // wanted - 1] for i in range(1, max(wanted, 2))})
     kind = at.schema["edges"].dataType.simpleString()
     array = F.split(F.lit(",".join(map(str, edges))), ",").cast(kind)
     # the number of edges below the value, by binary search
