@@ -82,3 +82,12 @@ def test_odd_and_terms(spark):
     clean = {(r.doc_id, r.text) for r in S.redact(df).collect()}
     assert (None, "[EMAIL] [TERM]") in clean and (7, None) in clean and (8, "") in clean
     assert got(df.limit(0)) == []
+
+
+def test_terms_of_every_support(spark):
+    rows = ["Konstanze writes the word to k.weber@mail.de"] * 3 + ["call +1 (386) 555-3733 Anselm", "ask Anselm +1 (386) 555-3733 from", "Konrad Weber", "Weber to w@mail.de"]
+    lines = spark.range(30000).selectExpr("concat('the harbour from line ', id, ' word writes') as line").union(spark.createDataFrame([(x,) for x in rows], "line string"))
+    held = S.with_spans(lines.filter("line rlike '[@+]'"), "line", "found").selectExpr("line", "transform(found, s -> s.m) as entities")
+    got = {tuple(r) for r in S.disclosing_terms(lines, held).collect()}
+    # One line of one is enough among 30,000 lines, one of two is not; of the phone's two lines both are, one is not.
+    assert got == {("k.weber@mail.de", "Konstanze"), ("+1 (386) 555-3733", "Anselm")}

@@ -5,12 +5,15 @@ numbers.  The values found are the protected entities.  A term ``t`` on the
 same line as an entity ``e`` discloses it as far as their pointwise mutual
 information reaches the entity's information content,
 
-    disclosure(t, e) = ln(N * n(t,e) / (n(t) * n(e))) / ln(N / n(e)),
+    disclosure(t, e) = ln(N * p(e|t) / n(e)) / ln(N / n(e)),
 
 with all counts over the distinct lines of the corpus, so that copies count
-once.  Terms with ``disclosure >= DISCLOSURE`` and ``n(t,e) >= MIN_LINES`` are
-spans of kind ``term`` in every document that holds ``e`` (the same surface
-form, whole words).  ``redact`` generalises spans to their kind.
+once.  ``p(e|t)`` is the share ``n(t,e) / n(t)`` of the term's lines that hold
+the entity; for pairs on fewer than ``MIN_LINES`` lines it is the lower 99 %
+confidence bound of that share (Wilson, ``Z``), so entities and terms of every
+support take part, and a pair seen rarely must be the more specific.  Terms with ``disclosure >= DISCLOSURE`` are spans of kind ``term`` in every
+document that holds ``e`` (the same surface form, whole words).  ``redact``
+generalises spans to their kind.
 
 Matches come from ``regexp_extract_all`` and their places from ``split`` by the
 same pattern: the gaps between matches give the offsets.  The patterns only
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 from ..session import apply_recommended_conf
 from .store import written
 
-DISCLOSURE, MIN_LINES = 0.8, 3
+DISCLOSURE, MIN_LINES, Z = 0.8, 3, 2.576
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Patterns of the base kinds, in the order in which kinds are listed.
 PATTERNS = {
@@ -41,8 +44,6 @@ NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 WORD = r"(?<!\p{L})\p{L}{3,}+"
 #: Candidate terms are broadcast up to this many; more go through a shuffle.
 MAX_BROADCAST_TERMS = 100_000
-#: One in so many line hashes is looked at to rule out common terms.
-SIFT = 64
 
 
 def _luhn(match: Column) -> Column:
@@ -102,34 +103,42 @@ def _terms(line: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(line, F.lit(WORD), F.lit(0)))
 
 
+def _share(n_te: Column, n_t: Column) -> Column:
+    """``n_te / n_t``, of rare pairs its lower confidence bound."""
+    z2, p = F.lit(Z * Z), n_te / n_t
+    low = (p + z2 / (2 * n_t) - Z * F.sqrt(p * (1 - p) / n_t + z2 / (4 * n_t * n_t))) / (1 + z2 / n_t)
+    return F.when(n_te >= MIN_LINES, p).otherwise(low)
+
+
 def disclosing_terms(lines: DataFrame, held: DataFrame) -> DataFrame:
-    """``(entity, term)`` pairs above the thresholds.  ``lines(line)`` are all
+    """``(entity, term)`` pairs above the threshold.  ``lines(line)`` are all
     lines of the corpus, ``held(line, entities)`` those with base spans."""
     line_id = F.xxhash64("line")
     total = lines.select(line_id.alias("l")).distinct().count()
     held = held.withColumn("l", line_id).dropDuplicates(["l"])
     n_entity = held.select(F.explode(F.array_distinct("entities")).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    known = n_entity.filter(F.col("n_e") >= MIN_LINES)
+    known = n_entity.filter(F.col("n_e") < total)
     words = F.filter(_terms(F.col("line")), lambda t: ~F.exists("entities", lambda e: F.contains(e, t)))
+    pmi = lambda n_t: F.log(F.lit(float(total)) * _share(F.col("n_te"), n_t) / F.col("n_e"))
+    content = F.log(F.lit(float(total)) / F.col("n_e"))
+    # A term has at least the pair's lines, so a pair that fails with just those is out.
     joint = (held.select(F.explode(F.array_distinct("entities")).alias("entity"), words.alias("terms"))
              .join(known, "entity").select("entity", "n_e", F.explode("terms").alias("term"))
-             .groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.first("n_e").alias("n_e")).filter(F.col("n_te") >= MIN_LINES))
+             .groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.first("n_e").alias("n_e"))
+             .filter(pmi(F.col("n_te")) >= DISCLOSURE * content))
     joint = written(joint, "joint")
-    # A term is out when a part of the line hashes alone holds more of its lines
-    # than the threshold allows: its own lines can only be more.
-    most = F.max(F.col("n_te") * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1.0 - DISCLOSURE))).alias("most")
-    bound = joint.groupBy("term").agg(most)
-    some = lines.filter(F.pmod(line_id, F.lit(SIFT)) == 0).select(line_id.alias("l"), F.explode(_terms(F.col("line"))).alias("term")).distinct()
-    some = some.groupBy("term").agg(F.count("*").alias("n_some"))
-    wanted = written(bound.join(some, "term", "left").filter(F.coalesce("n_some", F.lit(0)) <= F.col("most") * (1 + 1e-9)).select("term"), "candidates")
+    # Every term's lines fall on 64 bits: the bits set are at most its lines,
+    # so a pair that fails with just those is out.  One row a term is shuffled.
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(line_id, F.lit(64)).cast("int"))
+    some = lines.select(bit.alias("bit"), F.explode(_terms(F.col("line"))).alias("term")).groupBy("term").agg(F.bit_count(F.bit_or("bit")).alias("n_some"))
+    at_least = F.greatest(F.col("n_some").cast("long"), F.col("n_te"))
+    wanted = written(joint.join(some, "term").filter(pmi(at_least) >= DISCLOSURE * content).select("term").distinct(), "candidates")
     n_wanted = wanted.count()
     wanted = F.broadcast(wanted) if n_wanted <= MAX_BROADCAST_TERMS else wanted
     seen = (lines.select(line_id.alias("l"), F.explode(_terms(F.col("line"))).alias("term")).join(wanted, "term") if n_wanted
             else lines.select(line_id.alias("l"), F.col("line").alias("term")).limit(0))
     n_term = seen.distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    pmi = F.log(F.lit(float(total)) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
-    content = F.log(F.lit(float(total)) / F.col("n_e"))
-    return (joint.join(n_term, "term").filter(content > 0).filter(pmi >= DISCLOSURE * content).select("entity", "term"))
+    return joint.join(n_term, "term").filter(pmi(F.col("n_t")) >= DISCLOSURE * content).select("entity", "term")
 
 
 def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
