@@ -80,3 +80,20 @@ def test_kernel_equals_sets():
     grams = lambda s: {s[i : i + n] for n in (1, 2, 3) for i in range(len(s) - n + 1)} - {" "}
     assert x.sum() == len(grams(" ab éa ")) and (x & y).sum() == len(grams(" ab éa ") & grams(" ba é "))
     assert a.flags("1 2") is None
+
+
+def test_every_language_and_script():
+    rng = random.Random(4)
+    # 44 languages, each of eight letters of its own: 352 letters in five scripts.
+    scripts = [0x3B1, 0x430, 0x5D0, 0x4E00, 0x20000]
+    own = {f"l{n:02}": [chr(scripts[n % 5] + (8 * (n // 5) if n % 5 > 2 else 2 * (n // 5)) + j) for j in range(8)] for n in range(44)}
+    text = lambda g: " ".join("".join(rng.choice(own[g]) for _ in range(5)) for _ in range(30))
+    langs = [g for g in own for _ in range(6)]
+    model = L.Model([text(g) for g in langs], langs)
+    assert model.langs == sorted(own)
+    assert np.mean([model.predict([text(g)])[0][0] == g for g in own]) >= 0.9
+
+
+def test_languages_beyond_32_are_learned(spark):
+    rows = [(f"{chr(0x4E00 + 9 * n)}{chr(0x4E01 + 9 * n)} {chr(0x4E02 + 9 * n)} {i}", f"l{n:02}") for n in range(40) for i in range(2)]
+    assert len(L.learn_languages(spark.createDataFrame(rows, "text string, lang string")).langs) == 40

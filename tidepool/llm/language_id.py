@@ -1,15 +1,14 @@
 """Language ID by a string kernel with Nystroem landmarks.
 
 A text's features are the character n-grams (1 to 3) that occur in it, over
-the letters of the training sample (rarer letters are one symbol, everything
-else is a gap).  The kernel of two texts is their common n-grams over the
+all letters of any script (everything else is a gap), hashed to ``WIDTH``
+features.  The kernel of two texts is their common n-grams over the
 geometric mean of their numbers.  Landmark texts give Nystroem features;
 one-versus-rest kernel ridge regression on them gives one weight column per
 language, so a batch of texts is scored by two matrix products.
 
-Training uses a bounded sample (``PER_LANG`` texts of each of the ``MAX_LANGS``
-most frequent languages, ``LANDMARKS`` of them as landmarks); every text is
-scored whole.
+Training uses a bounded sample (``PER_LANG`` texts of every language present,
+``LANDMARKS`` of them as landmarks); every text is scored whole.
 """
 
 from __future__ import annotations
@@ -23,12 +22,13 @@ from pyspark.sql import functions as F
 
 from ..session import apply_recommended_conf
 from .store import written
+from .textvec import SLOT, U64, mix
 
-MAX_LANGS, PER_LANG, LANDMARKS = 32, 300, 24
-LETTERS, RIDGE, BATCH = 60, 1e-3, 32
-SYMBOLS = 64
+PER_LANG, LANDMARKS = 300, 24
+RIDGE, BATCH = 1e-3, 32
+#: n-grams are hashed to so many features.
+WIDTH = 1 << 20
 UNKNOWN = "und"
-_SPAN = SYMBOLS + SYMBOLS**2 + SYMBOLS**3
 RESULT = "struct<lang_pred:string,score:double>"
 
 
@@ -37,46 +37,45 @@ def _points(text: str) -> np.ndarray:
 
 
 class Alphabet:
-    """Code points to symbols: 0 a gap, 1.. the known letters, then the rest."""
+    """Presence of hashed n-grams of letters; every other code point is a gap.
+    ``letters`` count as letters besides those of Unicode."""
 
-    def __init__(self, letters: str):
-        self.table = np.array([len(letters) + 1 if chr(c).isalpha() else 0 for c in range(1 << 16)], np.int32)
-        for n, c in enumerate(letters):
-            self.table[ord(c)] = n + 1
-        self.other = len(letters) + 1
+    def __init__(self, letters: str = ""):
+        self.letters = np.array(sorted({ord(c) for c in letters}), np.uint32)
 
     def symbols(self, text: str) -> np.ndarray:
         p = _points(text)
-        out = self.table[np.minimum(p, 0xFFFF)]
-        for i in np.flatnonzero(p > 0xFFFF):
-            out[i] = self.other if chr(p[i]).isalpha() else 0
-        return out
+        known, at = np.unique(p, return_inverse=True)
+        ok = np.array([chr(c).isalpha() for c in known], bool) | np.isin(known, self.letters)
+        return np.where(ok, known, 0).astype(np.uint64)[at.reshape(-1)]
 
     def flags(self, text: str) -> np.ndarray | None:
         """Presence of every n-gram (runs of gaps are one); None: no letter."""
         s = self.symbols(text)
         if not s.any():
             return None
-        s = np.concatenate([[0], s, [0]])
+        s = np.concatenate([[U64(0)], s, [U64(0)]])
         s = s[np.concatenate([[True], (s[1:] != 0) | (s[:-1] != 0)])]
-        out = np.zeros(_SPAN, bool)
-        out[s] = True
-        two = s[:-1] * SYMBOLS + s[1:]
-        out[SYMBOLS + two] = True
-        out[SYMBOLS + SYMBOLS**2 + two[:-1] * SYMBOLS + s[2:]] = True
-        out[0] = False
+        out = np.zeros(WIDTH, bool)
+        # Code points have 21 bits; a lone gap (0) is no n-gram.
+        two = (s[:-1] << U64(21)) | s[1:]
+        three = (two[:-1] << U64(21)) | s[2:]
+        for n, grams in enumerate((s[s != 0], two, three), 1):
+            out[mix(grams ^ SLOT[n]) % U64(WIDTH)] = True
         return out
 
+    def grams(self, text: str) -> np.ndarray | None:
+        """The numbers of the n-grams that occur."""
+        f = self.flags(text)
+        return None if f is None else np.flatnonzero(f).astype(np.int32)
+
 
 class Model:
     """Landmarks and one weight column per language."""
 
     def __init__(self, texts: list[str], langs: list[str]):
-        count: Counter[str] = Counter()
-        for t in texts:
-            count.update(c for c in t.lower() if c.isalpha() and ord(c) < 1 << 16)
-        self.alphabet = Alphabet("".join(c for c, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]))
-        rows = [(f, g) for t, g in zip(texts, langs, strict=True) if (f := self.alphabet.flags(t)) is not None]
+        self.alphabet = Alphabet()
+        rows = [(f, g) for t, g in zip(texts, langs, strict=True) if (f := self.alphabet.grams(t)) is not None]
         self.langs = sorted({g for _, g in rows})
         if not rows:
             return
@@ -86,26 +85,34 @@ class Model:
             taken[g] += 1
             if taken[g] <= LANDMARKS:
                 marks.append(i)
-        self.vocab = np.flatnonzero(np.any([rows[i][0] for i in marks], axis=0))
-        self.marks = np.array([rows[i][0][self.vocab] for i in marks], np.float32)
-        self.marks /= np.sqrt(np.array([rows[i][0].sum() for i in marks]))[:, None]
+        self.vocab = np.unique(np.concatenate([rows[i][0] for i in marks]))
+        self.marks = self.dense([rows[i][0] for i in marks])
+        self.marks /= np.sqrt(np.array([len(rows[i][0]) for i in marks], np.float32))[:, None]
         k = self.kernel([f for f, _ in rows]).astype(np.float64)
         value, vector = np.linalg.eigh(k[marks])
         keep = value > 1e-8 * value[-1]
         root = vector[:, keep] / np.sqrt(value[keep])
         z = k @ root
         y = np.array([[1.0 if g == x else -1.0 for x in self.langs] for _, g in rows])
-        share = np.array([1.0 / sum(h == g for _, h in rows) for _, g in rows])[:, None]
+        size = Counter(g for _, g in rows)
+        share = np.array([1.0 / size[g] for _, g in rows])[:, None]
         share /= share.mean()
         beta = np.linalg.solve(z.T @ (share * z) + RIDGE * len(rows) * np.eye(z.shape[1]), z.T @ (share * y))
         self.weights = (root @ beta).astype(np.float32)
 
-    def kernel(self, flags: list[np.ndarray]) -> np.ndarray:
+    def dense(self, grams: list[np.ndarray]) -> np.ndarray:
+        """Presence of the landmarks' n-grams, a row per text."""
+        out = np.zeros((len(grams), len(self.vocab)), np.float32)
+        for row, g in zip(out, grams, strict=True):
+            at = np.minimum(np.searchsorted(self.vocab, g), len(self.vocab) - 1)
+            row[at[self.vocab[at] == g]] = 1.0
+        return out
+
+    def kernel(self, grams: list[np.ndarray]) -> np.ndarray:
         out = [np.zeros((0, len(self.marks)), np.float32)]
-        for i in range(0, len(flags), BATCH):
-            part = flags[i : i + BATCH]
-            x = np.array([f[self.vocab] for f in part], np.float32)
-            out.append((x @ self.marks.T) / np.sqrt(np.array([f.sum() for f in part], np.float32))[:, None])
+        for i in range(0, len(grams), BATCH):
+            part = grams[i : i + BATCH]
+            out.append((self.dense(part) @ self.marks.T) / np.sqrt(np.array([len(g) for g in part], np.float32))[:, None])
         return np.concatenate(out)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -113,7 +120,7 @@ class Model:
         if not self.langs:
             return lang, score
         for i in range(0, len(texts), BATCH):
-            part = [(n, f) for n in range(i, min(i + BATCH, len(texts))) if texts[n] and (f := self.alphabet.flags(texts[n])) is not None]
+            part = [(n, f) for n in range(i, min(i + BATCH, len(texts))) if texts[n] and (f := self.alphabet.grams(texts[n])) is not None]
             if not part:
                 continue
             out = self.kernel([f for _, f in part]) @ self.weights
@@ -128,9 +135,8 @@ class Model:
 def learn_languages(rows: DataFrame) -> Model:
     """Model from ``rows(text, lang)``; rows with a null or no letters teach nothing."""
     rows = rows.filter("text is not null and lang is not null")
-    top = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
     pick = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = (rows.filter(F.col("lang").isin(top)).select("lang", F.xxhash64("text").alias("h")).distinct()
+    sample = (rows.select("lang", F.xxhash64("text").alias("h")).distinct()
               .withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("nth") <= PER_LANG))
     sample = written(sample, "languages")
     found = (rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(sample), ["lang", "h"])
