@@ -77,3 +77,13 @@ def test_documents_equal_brute_force(spark):
         t = toks(r.text)
         meet = set().union(*[grams.get(tuple(t[i : i + 5]), ()) for i in range(len(t) - 4)]) if len(t) > 4 else set()
         assert r.leak.contaminated == any(brute(r.text, texts[i], 5) >= 0.6 for i in meet)
+
+
+def test_items_without_id(spark, monkeypatch):
+    items = spark.createDataFrame([(None, "one two three four five six"), (3, "red green blue black white pink"), (None, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x one two three four five six y"), (2, "red green blue black white pink one two three four five six"), (4, "none of it")], "doc_id long, text string")
+    for most in (1_000_000, 4):
+        monkeypatch.setattr(D, "MAX_BLOCK_WORDS", most)
+        got = {r.doc_id: (r.leak.contaminated, r.leak.item_id, r.leak["items"]) for r in D.contamination(docs, items).collect()}
+        assert got == {1: (True, None, [None]), 2: (True, 3, [3, None]), 4: (False, None, [])}
+        assert [r.doc_id for r in D.drop_contaminated(docs, items).collect()] == [4]

@@ -38,7 +38,7 @@ def _word_hashes(text: str) -> np.ndarray:
 class Items:
     """A block of test items and the index of their seeds."""
 
-    def __init__(self, rows: list[tuple[int, str]], min_match: int):
+    def __init__(self, rows: list[tuple[int | None, str]], min_match: int):
         self.min_match = min_match
         self.ids, self.words = [], []
         for i, text in rows:
@@ -105,11 +105,11 @@ def tile(item_pos: np.ndarray, doc_pos: np.ndarray, m: int, n_words: int) -> flo
 def _leaks(benchmark: DataFrame, min_match: int, threshold: float):
     """One text function for each block of the benchmark."""
     size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0))
-    items = benchmark.select(F.col("item_id").cast("long"), "text").filter("item_id is not null and text is not null")
+    items = benchmark.select(F.col("item_id").cast("long"), "text").filter("text is not null")
     total = items.agg(F.sum(size).alias("n")).first()["n"] or 0
     parts = max(1, -(-int(total) // MAX_BLOCK_WORDS))
     for part in range(parts):
-        rows = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
+        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
         shared = benchmark.sparkSession.sparkContext.broadcast(Items([(r["item_id"], r["text"]) for r in rows], min_match))
         yield _leak_udf(shared, threshold)
 
@@ -122,8 +122,8 @@ def _leak_udf(shared, threshold: float):
             at = np.searchsorted(doc, np.arange(len(offsets)))
             for i in range(len(offsets) - 1):
                 got = block.coverages(h[at[i] : at[i + 1]])
-                best = max(got, key=lambda x: (x[1], -block.ids[x[0]]), default=None)
-                leaked = sorted({block.ids[n] for n, c in got if c >= threshold})
+                best = max(got, key=lambda x: (x[1], block.ids[x[0]] is not None, -(block.ids[x[0]] or 0)), default=None)
+                leaked = sorted({block.ids[n] for n, c in got if c >= threshold}, key=lambda i: (i is None, i or 0))
                 out.append({"contaminated": bool(leaked), "item_id": block.ids[best[0]] if best else None, "coverage": best[1] if best else 0.0, "items": leaked})
         return pa.array(out, pa.struct([("contaminated", pa.bool_()), ("item_id", pa.int64()), ("coverage", pa.float64()), ("items", pa.list_(pa.int64()))]))
 
@@ -136,7 +136,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     best (the smallest id on ties) with its coverage, and the leaked items.
 
     A null or empty text leaks nothing (coverage 0, no item).  Items without
-    id or words take no part; items shorter than ``min_match`` words must
+    words take no part; one without id is reported as null, last.  Items shorter than ``min_match`` words must
     occur whole.  Repeated rows each get their result; other columns stay.
     """
     apply_recommended_conf(docs.sparkSession)
