@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from .language_id import language_id
 from .license_scan import license_scan
 from .line_dedup import drop_boilerplate
 from .main_text import main_text
+from .merkle import FIELDS, digest, fold, leaf_digest, merkle_manifest, proof_text
 from .sanitize import personal_spans, span_digest
 from .toxicity import toxicity
 from .voronoi_knn import top_k
@@ -87,8 +89,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "p.score", "p.predicted", F.col("p.neighbours").alias("evidence"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of ``documents``; the texts of every fifth document (by crc32 of
+    its id) are lower-cased and their proofs folded again."""
+    docs = read_table(spark, sf_dir, "documents", list(FIELDS))
+    changed = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = leaf_digest([changed if f == "text" else F.col(f) for f in FIELDS])
+    out = merkle_manifest(docs, carry={"tampered": F.when(_remainder(5) == 0, tampered)})
+    out = out.withColumn("folded_root", fold(F.coalesce("tampered", "leaf"), F.col("path")))
+    return out.select("doc_id", "leaf", "subroot", "root", digest(proof_text(F.col("path"))).alias("proof_sha256"), "folded_root",
+                      (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: list[Query] = [op1_license_scan, op2_line_dedup, op3_main_text, op4_voronoi_knn, op5_mix_sources, op6_language_id, op7_benchmark_decontamination,
-                        op8_sanitize, op9_ngram_jaccard_join, op10_toxicity]
+                        op8_sanitize, op9_ngram_jaccard_join, op10_toxicity, op12_merkle_manifest]
 
 
 def queries() -> dict[str, Query]:
@@ -96,4 +110,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": sql.OP2, "op4_voronoi_knn": sql.OP4, "op5_mix_sources": sql.OP5}
+    return {"op2_line_dedup": sql.OP2, "op4_voronoi_knn": sql.OP4, "op5_mix_sources": sql.OP5, "op12_merkle_manifest": sql.OP12}

@@ -47,3 +47,50 @@ s AS (SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.e, x.e)::BIGIN
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 5
 """
+
+
+def _merkle_part(c: str) -> str:
+    return f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+
+#: CRC-32 of a decimal number, bit by bit (reflected polynomial 0xEDB88320).
+_CRC = """xor(list_reduce(flatten([[ascii(c) + 256, -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(doc_id::VARCHAR, '')]),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, (x - 256)::BIGINT) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, 4294967295::BIGINT), 4294967295)"""
+
+#: Trees and proofs level by level; ``way`` folds the original leaf and the tampered one at once.
+OP12 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, row_number() OVER () AS doc,
+         sha256({" || ".join(_merkle_part(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))}) AS leaf,
+         CASE WHEN {_CRC} % 5 = 0 THEN sha256({" || ".join(_merkle_part(c) for c in ("doc_id", "source", "lang", "n_chars"))} ||
+              {_merkle_part("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) END AS bad FROM documents),
+g AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) AS n FROM d GROUP BY source),
+l AS (SELECT d.*, g.tree, g.n, row_number() OVER (PARTITION BY g.tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r
+      FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+up AS (
+  SELECT 0 AS lvl, tree, n, r, leaf AS h FROM l
+  UNION ALL
+  SELECT lvl + 1, tree, (n + 15) // 16, r // 16, sha256(string_agg(h, '' ORDER BY r)) FROM up WHERE n > 1 GROUP BY lvl, tree, n, r // 16),
+sub AS (SELECT tree, h AS subroot FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, (SELECT count(*) FROM sub) AS n, tree AS r, subroot AS h FROM sub
+  UNION ALL
+  SELECT lvl + 1, (n + 15) // 16, r // 16, sha256(string_agg(h, '' ORDER BY r)) FROM top WHERE n > 1 GROUP BY lvl, n, r // 16),
+root AS (SELECT h AS root FROM top WHERE n = 1),
+nodes AS (SELECT FALSE AS upper, lvl, tree, n, r, h FROM up UNION ALL SELECT TRUE, lvl, 0, n, r, h FROM top),
+sib AS (SELECT a.upper, a.lvl, a.tree, a.r, a.n, coalesce(string_agg(b.h, '' ORDER BY b.r) FILTER (b.r < a.r), '') AS lft,
+               coalesce(string_agg(b.h, '' ORDER BY b.r) FILTER (b.r > a.r), '') AS rgt
+        FROM nodes a JOIN nodes b ON a.upper = b.upper AND a.lvl = b.lvl AND a.tree = b.tree AND a.r // 16 = b.r // 16
+        GROUP BY a.upper, a.lvl, a.tree, a.r, a.n),
+way AS (
+  SELECT doc, tree AS home, FALSE AS upper, 0 AS lvl, tree, r, coalesce(bad, leaf) AS f, '' AS proof FROM l
+  UNION ALL
+  SELECT w.doc, w.home, w.upper OR s.n = 1, CASE WHEN s.n = 1 THEN 0 ELSE w.lvl + 1 END, CASE WHEN s.n = 1 THEN 0 ELSE w.tree END,
+         CASE WHEN s.n = 1 THEN w.home ELSE w.r // 16 END,
+         CASE WHEN s.n = 1 THEN w.f ELSE sha256(s.lft || w.f || s.rgt) END, w.proof || s.lft || s.rgt
+  FROM way w JOIN sib s ON s.upper = w.upper AND s.lvl = w.lvl AND s.tree = w.tree AND s.r = w.r
+  WHERE NOT (w.upper AND s.n = 1)),
+done AS (SELECT w.* FROM way w JOIN sib s ON s.upper = w.upper AND s.lvl = w.lvl AND s.tree = w.tree AND s.r = w.r WHERE w.upper AND s.n = 1)
+SELECT l.doc_id, l.leaf, sub.subroot, root.root, sha256(done.proof) AS proof_sha256, done.f AS folded_root, done.f = root.root AS verified
+FROM l JOIN done USING (doc) JOIN sub ON sub.tree = l.tree CROSS JOIN root
+"""
