@@ -123,7 +123,8 @@ def merkle_manifest(table: DataFrame, fields: Sequence[str] = FIELDS, group: str
     every = table.select(F.col(id_col).alias("id"), F.col(group).cast("string").alias("grp"), leaf_digest([F.col(f) for f in fields]).alias("h"),
                          *[c.alias(f"x_{n}") for n, c in carry.items()], F.monotonically_increasing_id().alias("nth"))
     extra = [f"x_{n}" for n in carry]
-    leaves = ranked(every, [F.col("grp"), F.col("id"), F.col("h"), F.col("nth")], "lo", "leaves")
+    # the texts are read once: the sort samples and moves digests
+    leaves = ranked(written(every, "digests"), [F.col("grp"), F.col("id"), F.col("h"), F.col("nth")], "lo", "leaves")
 
     # The interval of every group; the interval of its part in one range keeps
     # the join's keys as even as the ranges.

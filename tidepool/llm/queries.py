@@ -17,6 +17,7 @@ from .license_scan import license_scan
 from .line_dedup import drop_boilerplate
 from .main_text import main_text
 from .merkle import FIELDS, digest, fold, leaf_digest, merkle_manifest, proof_text
+from .multi_index import nearest
 from .sanitize import personal_spans, span_digest
 from .toxicity import toxicity
 from .voronoi_knn import top_k
@@ -89,6 +90,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "p.score", "p.predicted", F.col("p.neighbours").alias("evidence"))
 
 
+def op11_multi_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found (inner product) of every 20th vector."""
+    return nearest(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]), lambda i: i % 20 == 0)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of ``documents``; the texts of every fifth document (by crc32 of
     its id) are lower-cased and their proofs folded again."""
@@ -102,7 +108,7 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[Query] = [op1_license_scan, op2_line_dedup, op3_main_text, op4_voronoi_knn, op5_mix_sources, op6_language_id, op7_benchmark_decontamination,
-                        op8_sanitize, op9_ngram_jaccard_join, op10_toxicity, op12_merkle_manifest]
+                        op8_sanitize, op9_ngram_jaccard_join, op10_toxicity, op11_multi_index_search, op12_merkle_manifest]
 
 
 def queries() -> dict[str, Query]:
