@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import read_table
 from . import sql
 from .decontaminate import contamination
+from .hard_negatives import hard_negatives
 from .jaccard_join import jaccard_components
 from .language_id import language_id
 from .license_scan import license_scan
@@ -107,8 +108,16 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector; every 7th vector has the next label."""
+    table = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    label = F.col("label").cast("long")
+    table = table.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives(table, lambda i: i % 50 == 0)
+
+
 QUERIES: list[Query] = [op1_license_scan, op2_line_dedup, op3_main_text, op4_voronoi_knn, op5_mix_sources, op6_language_id, op7_benchmark_decontamination,
-                        op8_sanitize, op9_ngram_jaccard_join, op10_toxicity, op11_multi_index_search, op12_merkle_manifest]
+                        op8_sanitize, op9_ngram_jaccard_join, op10_toxicity, op11_multi_index_search, op12_merkle_manifest, op13_hard_negatives]
 
 
 def queries() -> dict[str, Query]:
@@ -116,4 +125,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": sql.OP2, "op4_voronoi_knn": sql.OP4, "op5_mix_sources": sql.OP5, "op12_merkle_manifest": sql.OP12}
+    return {"op2_line_dedup": sql.OP2, "op4_voronoi_knn": sql.OP4, "op5_mix_sources": sql.OP5, "op12_merkle_manifest": sql.OP12,
+            "op13_hard_negatives": sql.OP13}

@@ -94,3 +94,19 @@ done AS (SELECT w.* FROM way w JOIN sib s ON s.upper = w.upper AND s.lvl = w.lvl
 SELECT l.doc_id, l.leaf, sub.subroot, root.root, sha256(done.proof) AS proof_sha256, done.f AS folded_root, done.f = root.root AS verified
 FROM l JOIN done USING (doc) JOIN sub ON sub.tree = l.tree CROSS JOIN root
 """
+
+OP13 = """
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+                  [floor(256 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0),
+a AS (SELECT *, row_number() OVER () AS nth FROM v WHERE vec_id % 50 = 0),
+s AS (SELECT a.nth, a.vec_id AS anchor_id, x.vec_id, a.label = x.label AS same, list_inner_product(a.e, x.e)::BIGINT AS score
+      FROM a JOIN v x ON x.vec_id <> a.vec_id),
+p AS (SELECT nth, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY nth ORDER BY score DESC, vec_id) AS slot
+      FROM s WHERE same),
+n AS (SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.nth, slot ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+      FROM p JOIN s USING (nth, anchor_id) WHERE slot <= 5 AND NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT * FROM n WHERE rank <= 3
+"""
