@@ -15,17 +15,9 @@ def plan(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_rolling_windows_partition_by_key_and_block(spark):
+def test_rolling_windows_of_light_keys_shuffle_once(spark):
     p = plan(spark, "word_count_rolling")
-    assert "windowspecdefinition(word#" in p
-    row_windows = re.findall(r"sum\(1\) windowspecdefinition\((word#\d+, _blk#\d+L)", p)
-    assert row_windows, "the per-token window must be partitioned by (word, block)"
-    assert "partial_sum" in p, "block totals must be pre-aggregated"
-
-
-def test_session_row_window_partitions_by_block(spark):
-    p = plan(spark, "session_window_sum")
-    assert re.search(r"lag\(_t#\d+L?, -?1, null\) windowspecdefinition\(_key#\d+, _blk#\d+L", p)
+    assert re.search(r"windowspecdefinition\(word#\d+, doc_id#", p) and "_blk" not in p
 
 
 def test_trailing_query_partitions_by_pane(spark):

@@ -87,7 +87,7 @@ def test_blocked_running_totals_match_window_on_skewed_keys(spark):
     rows = [("hot" if rnd.random() < 0.5 else None if rnd.random() < 0.05 else f"k{rnd.randrange(30)}",
              i, rnd.randrange(10)) for i in range(4000)]
     df = from_tuples(spark, rows, "key string, o long, v long")
-    out = blocked_running_totals(df, ["key"], [F.col("o")], range_block(df, F.col("o"), 23),
+    out = blocked_running_totals(df, ["key"], [F.col("o")], range_block(df, F.col("o"), 23, 1),
                                  {"rs": F.col("v"), "rn": F.lit(1).cast("long")})
     got = {r.o: (r.rs, r.rn) for r in out.collect()}
     acc = {}

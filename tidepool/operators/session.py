@@ -21,6 +21,9 @@ key; one pass over the rows):
 4. the summary is joined back on ``(key, block)`` -- the rows keep their
    partitioning, only the small side moves -- and the rows are grouped by
    ``(key, session_start)`` with partial aggregation.
+
+That is the plan of heavy keys (``prefix.heavy_keys``).  All others take Spark's
+own ``session_window``, which merges a key's sessions in one task.
 """
 
 from __future__ import annotations
@@ -30,7 +33,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import BLOCK, MIN_ROWS_PER_BLOCK, default_blocks, partition_keys, range_block
+from .prefix import (BLOCK, MIN_ROWS_PER_BLOCK, default_blocks, heavy_keys, mark_heavy, partition_keys,
+                     range_block)
 
 
 def session_windows(df: DataFrame, keys: Sequence[str], ts: str, gap_us: int,
@@ -43,8 +47,36 @@ def session_windows(df: DataFrame, keys: Sequence[str], ts: str, gap_us: int,
     ``first_fields`` are of the session's lowest record by ``first_by`` (its
     order of arrival); without it, by ``ts`` and ``tiebreak``.
     ``block_source`` (default ``df``) supplies the time range for the blocks.
+    An explicit ``n_blocks`` cuts every key.
     """
-    keys = list(keys)
+    keys, first_by = list(keys), list(first_by)
+    if n_blocks is None:
+        heavy, others = heavy_keys(df, keys)
+        if heavy is None:
+            return _whole_keys(df, keys, ts, gap_us, aggs, first_fields, tiebreak, first_by)
+        if others:
+            marked = mark_heavy(df, keys, heavy)
+            light = _whole_keys(marked.where(~F.col("_heavy")), keys, ts, gap_us, aggs, first_fields, tiebreak, first_by)
+            cut = _cut_keys(marked.where("_heavy").drop("_heavy"), keys, ts, gap_us, aggs, first_fields, tiebreak, None,
+                            min_rows_per_block, block_source, first_by)
+            return light.unionByName(cut)
+    return _cut_keys(df, keys, ts, gap_us, aggs, first_fields, tiebreak, n_blocks, min_rows_per_block, block_source,
+                     first_by)
+
+
+def _whole_keys(df, keys, ts, gap_us, aggs, first_fields, tiebreak, first_by) -> DataFrame:
+    """Sessions of keys that a task can hold, by the built-in window."""
+    at = F.col(ts).cast("timestamp")
+    first_key = F.struct(*[F.col(c) for c in (first_by or [ts, *tiebreak])])
+    out = df.groupBy(*keys, F.session_window(at, f"{gap_us} microseconds").alias("_w")).agg(
+        *([F.min_by(F.struct(*first_fields), first_key).alias("_first")] if first_fields else []),
+        *[c.alias(n) for n, c in aggs.items()])
+    return out.select(*keys, F.col("_w.start").alias("session_start"), F.col("_w.end").alias("session_end"),
+                      *[F.col(f"_first.{c}").alias(f"first_{c}") for c in first_fields], *aggs.keys())
+
+
+def _cut_keys(df, keys, ts, gap_us, aggs, first_fields, tiebreak, n_blocks, min_rows_per_block, block_source,
+              first_by) -> DataFrame:
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     base = df.where(F.col(ts).isNotNull()).withColumn("_t", t)
     if n_blocks is not None:          # an explicit block count is used as given

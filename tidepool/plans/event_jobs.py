@@ -25,6 +25,9 @@ from ..functions.fixed import SLIDING_SIZE_MS, SLIDING_SLIDE_MS, TOP_SPEED_TRIGG
 from ..functions.telemetry import centi_kmh_seconds_to_metres, speed_centi
 from ..operators.count_window import count_window
 from ..operators.delta import delta_trigger_fires
+from ..operators.delta_any import change_fires
+from ..operators.global_window import Count, Delta, Span, global_window
+from ..operators.late import late_rows
 from ..operators.reduce import keyed_reduce, rolling_reduce, window_reduce
 from ..operators.rolling import rolling_sum
 from ..operators.session import session_windows
@@ -205,6 +208,30 @@ def max_by_record_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 ["event_id"]))
 
 
+def _hot_users(ev: DataFrame) -> DataFrame:
+    """Events of users, with a third of all events moved to one user (-1)."""
+    return ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
+
+
+def session_window_sum_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions (gap 10 min) where one user holds a third of all events: that
+    one is cut into blocks, the others take the built-in window."""
+    ev = _hot_users(events(spark, sf_dir, ("event_id", "ts", "user_id", "event_type", "value")))
+    out = session_windows(ev, ["user_id"], "ts", 600 * SECOND_US,
+                          {"n_events": F.count(F.lit(1)), "value_sum": exact_sum(F.col("value"))},
+                          first_fields=["event_id", "event_type"], tiebreak=["event_id"], first_by=["event_id"],
+                          min_rows_per_block=500)
+    return as_ntz(out)
+
+
+def count_window_sum_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count window 100 / 2 summing a value, a third of all events with one user."""
+    ev = _hot_users(events(spark, sf_dir))
+    out = count_window(ev, ["user_id"], ["ts", "event_id"], 100, 2, cents(F.col("value")),
+                       name="value_sum", block_on=F.unix_micros("ts"))
+    return as_ntz(out.withColumn("value_sum", from_cents(F.col("value_sum"))))
+
+
 # cars ----------------------------------------------------------------------
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,15 +292,21 @@ def delta_trigger_fires_sequential_q(spark: SparkSession, sf_dir: str) -> DataFr
 def delta_trigger_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per car, the records whose speed has changed by more than 25 km/h,
     either way, since the last such record: a ``delta(old, new)`` that is no
-    difference of a rising measure (stateful fold)."""
-    from ..operators.delta import delta_trigger_fires_sequential
-
+    difference of a rising measure."""
     tel = telemetry(spark, sf_dir).withColumn("speed_c", speed_centi(F.col("speed")))
-    fires = delta_trigger_fires_sequential(tel, ["car_id"], "ts", "seq", "speed_c", 2500,
-                                           delta=lambda old, new: abs(new - old))
+    fires = change_fires(tel, ["car_id"], ["ts", "seq"], "speed_c", 2500, "distance", block_on=F.unix_micros("ts"))
     return as_ntz(fires.select("car_id", "seq", "ts", "speed_c"))
 
 
+def delta_trigger_rise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event type (five keys, so each is cut into blocks), the events whose
+    value has risen by more than 5 since the last such event, in either order
+    of sign: a difference of a measure that also falls."""
+    ev = events(spark, sf_dir, ("event_id", "ts", "event_type", "value")).withColumn("cents", cents(F.col("value")))
+    fires = change_fires(ev, ["event_type"], ["ts", "event_id"], "cents", 500, "difference", block_on=F.unix_micros("ts"))
+    return as_ntz(fires)
+
+
 TOP_FIELDS = ["seq", "speed", "distance", "ts"]
 
 
@@ -306,3 +339,69 @@ def top_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
                            full_rows=False)
     return as_ntz(tops.select("car_id", F.col("seq").alias("fire_seq"),
                               *[F.col("top_" + c) for c in TOP_FIELDS]))
+
+
+# global windows: any trigger, any evictor ----------------------------------
+
+ARRIVAL_DELAY_SEC = 5400
+HOT_CAR_BLOCKS = 16
+
+
+def arriving(rows: DataFrame, seq: str = "seq") -> DataFrame:
+    """Records in another order of arrival than of time: ``arrived``
+    (microseconds) is up to 90 minutes after ``ts``."""
+    delay = (F.col(seq) * 7919 % ARRIVAL_DELAY_SEC) * SECOND_US
+    return rows.withColumn("arrived", F.unix_micros("ts") + delay)
+
+
+def _fastest() -> Column:
+    return F.max_by(F.struct("seq", "speed", "distance", "ts"), F.struct(F.col("speed"), -F.col("seq_in_key")))
+
+
+def top_speed_disordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top-speed report on records that arrive out of order: fires when a
+    record's odometer is more than 50 m beyond the last report's, content from
+    the last hour before the latest time seen, the earliest arrived on ties."""
+    odo = arriving(materialize(with_odometer(telemetry(spark, sf_dir))))
+    out = global_window(odo, ["car_id"], ["arrived", "seq"], Delta("dist_c", TRIGGER_CENTI), Span("ts", CAR_EVICT_SEC * SECOND_US),
+                        {"_top": _fastest(), "n_records": F.count(F.lit(1))}, n_blocks=HOT_CAR_BLOCKS)
+    return as_ntz(out.select("car_id", F.col("seq").alias("fire_seq"), "n_records", *[F.col(f"_top.{c}").alias(f"top_{c}") for c in TOP_FIELDS]))
+
+
+def count_trigger_time_evictor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 25th arrival of a car reports the records of the last six hours
+    before the latest time seen: how many, their summed speed, the fastest."""
+    tel = arriving(telemetry(spark, sf_dir)).withColumn("distance", F.lit(0.0))
+    out = global_window(tel, ["car_id"], ["arrived", "seq"], Count(25), Span("ts", 6 * CAR_EVICT_SEC * SECOND_US),
+                        {"n_records": F.count(F.lit(1)), "speed_sum": exact_sum(F.col("speed")), "_top": _fastest()})
+    return out.select("car_id", F.col("seq").alias("fire_seq"), "seq_in_key", "n_records", "speed_sum", F.col("_top.seq").alias("top_seq"))
+
+
+def delta_trigger_count_evictor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 50 m a car reports its last 20 records: how many, their summed speed."""
+    odo = materialize(with_odometer(telemetry(spark, sf_dir)))
+    out = global_window(odo, ["car_id"], ["ts", "seq"], Delta("dist_c", TRIGGER_CENTI), Count(20),
+                        {"n_records": F.count(F.lit(1)), "speed_sum": exact_sum(F.col("speed"))}, block_on=F.unix_micros("ts"))
+    return out.select("car_id", F.col("seq").alias("fire_seq"), "seq_in_key", "n_records", "speed_sum")
+
+
+LATE_LAG_MS = 1_200_000
+LATE_GAP_MS = 1_800_000
+
+
+def _late(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    ev = arriving(events(spark, sf_dir, ("event_id", "ts", key)), "event_id").withColumn("t_ms", F.unix_millis("ts"))
+    out = late_rows(ev, [key], ["arrived", "event_id"], "t_ms", LATE_GAP_MS, LATE_LAG_MS)
+    return out.select("event_id", key, "t_ms", "watermark", "late")
+
+
+def late_rows_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event, in an order of arrival other than its time, with the
+    watermark that it meets (latest time before it less 20 min) and whether
+    sessions per user (gap 30 min) drop it as late."""
+    return _late(spark, sf_dir, "user_id")
+
+
+def late_rows_exact_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same per event type: five keys whose sessions stay open for long."""
+    return _late(spark, sf_dir, "event_type")

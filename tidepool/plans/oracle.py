@@ -207,3 +207,71 @@ f AS (
   FROM f JOIN o ON o.car_id = f.car_id AND o.rn = f.rn + 1)
 SELECT car_id, seq, ts, speed_c FROM f WHERE fire""",
 })
+
+
+# A third of all events with one user.
+_HOT = "(SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS user_id, event_type, value FROM events)"
+
+# Arrival up to 90 minutes after the event; the odometer follows event time.
+_ARRIVED = """a AS (
+  SELECT o.* EXCLUDE (rn), row_number() OVER w AS rn, max(t) OVER (w ROWS UNBOUNDED PRECEDING) AS mx
+  FROM (SELECT *, t + (seq * 7919 % 5400) * 1000000 AS arrived FROM o) o
+  WINDOW w AS (PARTITION BY car_id ORDER BY arrived, seq))"""
+
+ORACLE.update({
+    "session_window_sum_hot": ORACLE["session_window_sum"].replace("FROM events", f"FROM {_HOT}").replace("3600000000", "600000000"),
+    "count_window_sum_hot": ORACLE["count_window_sum_events_100_2"].replace("FROM events", f"FROM {_HOT}"),
+    "delta_trigger_rise": """WITH RECURSIVE o AS (
+  SELECT event_type, event_id, ts, CAST(round(value * 100) AS BIGINT) AS cents,
+         row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events),
+f AS (
+  SELECT event_type, event_id, ts, cents, rn, cents AS ref, FALSE AS fire FROM o WHERE rn = 1
+  UNION ALL
+  SELECT o.event_type, o.event_id, o.ts, o.cents, o.rn,
+         CASE WHEN o.cents - f.ref > 500 THEN o.cents ELSE f.ref END, o.cents - f.ref > 500
+  FROM f JOIN o ON o.event_type = f.event_type AND o.rn = f.rn + 1)
+SELECT event_type, ts, event_id, cents FROM f WHERE fire""",
+    "top_speed_disordered": f"""WITH RECURSIVE {_ODO}, {_ARRIVED},
+f AS (
+  SELECT car_id, seq, rn, mx, dist_c AS ref, FALSE AS fire FROM a WHERE rn = 1
+  UNION ALL
+  SELECT a.car_id, a.seq, a.rn, a.mx, CASE WHEN a.dist_c - f.ref > 18000 THEN a.dist_c ELSE f.ref END, a.dist_c - f.ref > 18000
+  FROM f JOIN a ON a.car_id = f.car_id AND a.rn = f.rn + 1)
+SELECT f.car_id, f.seq AS fire_seq, x.* FROM f, LATERAL (
+  SELECT count(*) AS n_records, first(a.seq ORDER BY a.speed DESC, a.rn) AS top_seq, first(a.speed ORDER BY a.speed DESC, a.rn) AS top_speed,
+         first(a.distance ORDER BY a.speed DESC, a.rn) AS top_distance, first(a.ts ORDER BY a.speed DESC, a.rn) AS top_ts
+  FROM a WHERE a.car_id = f.car_id AND a.rn <= f.rn AND a.t > f.mx - 3600000000) x
+WHERE f.fire""",
+    "count_trigger_time_evictor": f"""WITH {_ODO}, {_ARRIVED}
+SELECT f.car_id, f.seq AS fire_seq, f.rn AS seq_in_key, x.* FROM a f, LATERAL (
+  SELECT count(*) AS n_records, CAST(sum(CAST(a.speed AS DECIMAL(18,2))) AS DOUBLE) AS speed_sum, first(a.seq ORDER BY a.speed DESC, a.rn) AS top_seq
+  FROM a WHERE a.car_id = f.car_id AND a.rn <= f.rn AND a.t > f.mx - 21600000000) x
+WHERE f.rn % 25 = 0""",
+    "delta_trigger_count_evictor": f"""WITH RECURSIVE {_ODO}, {_FIRES}
+SELECT f.car_id, f.seq AS fire_seq, f.rn AS seq_in_key, count(*) AS n_records, CAST(sum(CAST(o.speed AS DECIMAL(18,2))) AS DOUBLE) AS speed_sum
+FROM fires f JOIN o ON o.car_id = f.car_id AND o.rn <= f.rn AND o.rn > f.rn - 20 GROUP BY f.car_id, f.seq, f.rn""",
+})
+
+
+def _late_rows(key: str) -> str:
+    """Sessions of a key in order of arrival, as a list that each row changes."""
+    live = "list_filter(f.act, lambda x: x.e - 1 > w.wm)"
+    met = "list_filter(f.act, lambda x: x.e - 1 > w.wm AND x.s <= w.t + 1800000 AND x.e >= w.t)"
+    start = f"least(w.t, coalesce(list_min([x.s FOR x IN {met}]), w.t))"
+    end = f"greatest(w.t + 1800000, coalesce(list_max([x.e FOR x IN {met}]), w.t))"
+    rest = "list_filter(f.act, lambda x: x.e - 1 > w.wm AND NOT (x.s <= w.t + 1800000 AND x.e >= w.t))"
+    return f"""WITH RECURSIVE e AS (
+  SELECT event_id, {key}, epoch_us(ts) // 1000 AS t, epoch_us(ts) + (event_id * 7919 % 5400) * 1000000 AS arrived FROM events),
+w AS (SELECT *, max(t) OVER (ORDER BY arrived, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1200000 AS wm,
+             row_number() OVER (PARTITION BY {key} ORDER BY arrived, event_id) AS rn FROM e),
+f AS (
+  SELECT event_id, {key}, t, wm, rn, coalesce(t + 1799999 <= wm, FALSE) AS late,
+         CASE WHEN t + 1799999 <= wm THEN [] ELSE [{{'s': t, 'e': t + 1800000}}] END AS act FROM w WHERE rn = 1
+  UNION ALL
+  SELECT w.event_id, w.{key}, w.t, w.wm, w.rn, {end} - 1 <= w.wm,
+         CASE WHEN {end} - 1 <= w.wm THEN {live} ELSE list_append({rest}, {{'s': {start}, 'e': {end}}}) END
+  FROM f JOIN w ON w.{key} = f.{key} AND w.rn = f.rn + 1)
+SELECT event_id, {key}, t AS t_ms, wm AS watermark, late FROM f"""
+
+
+ORACLE.update({"late_rows_exact": _late_rows("user_id"), "late_rows_exact_hot": _late_rows("event_type")})

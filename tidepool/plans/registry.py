@@ -39,6 +39,7 @@ def queries() -> dict[str, Query]:
         "keyed_range_sliding_sum": E.keyed_range_sliding_sum,
         "keyed_range_sliding_sum_dense": E.keyed_range_sliding_sum_dense,
         "session_window_sum": E.session_window_sum,
+        "session_window_sum_hot": E.session_window_sum_hot,
         "keyed_running_sum": E.keyed_running_sum,
         "reduce_generic": E.reduce_generic,
         "keyed_running_sum_nulls": E.keyed_running_sum_nulls,
@@ -46,6 +47,7 @@ def queries() -> dict[str, Query]:
         "rolling_reduce": E.rolling_reduce_q,
         "count_window_sum_events": E.count_window_sum_events,
         "count_window_sum_events_100_2": E.count_window_sum_events_100_2,
+        "count_window_sum_hot": E.count_window_sum_hot,
         "max_by_record": E.max_by_record_q,
         # cars
         "parse_telemetry": E.parse_telemetry_q,
@@ -54,6 +56,12 @@ def queries() -> dict[str, Query]:
         "delta_trigger_fires": E.delta_trigger_fires_q,
         "delta_trigger_fires_sequential": E.delta_trigger_fires_sequential_q,
         "delta_trigger_change": E.delta_trigger_change,
+        "delta_trigger_rise": E.delta_trigger_rise,
+        "count_trigger_time_evictor": E.count_trigger_time_evictor,
+        "delta_trigger_count_evictor": E.delta_trigger_count_evictor,
+        "top_speed_disordered": E.top_speed_disordered,
+        "late_rows_exact": E.late_rows_exact,
+        "late_rows_exact_hot": E.late_rows_exact_hot,
         "trailing_time_max_ties": E.trailing_time_max_ties,
         "trailing_time_max": E.trailing_time_max_q,
         "trailing_time_max_panes": E.trailing_time_max_panes,
