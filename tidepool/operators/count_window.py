@@ -59,29 +59,8 @@ def count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], size:
             ranked = rolling_sums(src, keys, order,
                                   {ORDINAL: F.lit(1).cast("long"), "_sum": F.col("_val"), "_some": some},
                                   block_on, n_blocks, block_source, min_rows_per_block)
-            ranked = ranked.withColumn("_run", F.struct("_some", "_sum"))
             sum_type = src.select(F.sum("_val").alias("s")).schema["s"].dataType
-            # one pass over the ranked rows: a firing row reports its running
-            # sum at its own ordinal, a row `size` before a fire reports its
-            # running sum at the fire's ordinal; (key, ordinal) groups hold
-            # at most these two rows
-            fire = F.when(rn % slide == 0, F.struct(rn.alias("_at"), F.lit(True).alias("_fire")))
-            before = F.when((rn + size) % slide == 0,
-                            F.struct((rn + size).alias("_at"), F.lit(False).alias("_fire")))
-            parts = ranked.select(*keys, *order, "_run", F.explode(F.filter(F.array(fire, before),
-                                                                       lambda x: x.isNotNull())).alias("_e"))
-            is_fire = F.col("_e._fire")
-            grouped = parts.groupBy(*keys, F.col("_e._at").alias(ORDINAL)).agg(
-                F.max(F.when(is_fire, F.col("_run"))).alias("_run"),
-                F.max(F.when(~is_fire, F.col("_run"))).alias("_run_before"),
-                F.max_by(F.struct(*order), is_fire.cast("int")).alias("_rec"),
-                F.max(is_fire.cast("int")).alias("_has_fire"))
-            run, before = F.col("_run"), F.col("_run_before")
-            total = F.when(before["_sum"].isNull(), run["_sum"]).otherwise(run["_sum"] - before["_sum"])
-            seen = run["_some"] > F.coalesce(before["_some"], F.lit(0))     # a value in the window
-            return grouped.where(F.col("_has_fire") == 1).select(
-                *keys, *[F.col(f"_rec.{c}").alias(c) for c in order], ORDINAL,
-                F.when(seen, total).cast(sum_type).alias(name))
+            return window_differences(ranked, keys, order, size, slide, name, sum_type)
         if strategy != "expand":
             raise ValueError(f"unknown strategy {strategy!r}")
     ranked = rolling_sum(src, keys, order, None, ORDINAL, block_on, n_blocks, block_source, min_rows_per_block)
@@ -101,3 +80,31 @@ def count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], size:
     )
     return grouped.where(F.col("_last") == F.col("_fire")).select(
         *keys, *[F.col(f"_rec.{c}").alias(c) for c in order], F.col("_fire").alias(ORDINAL), name)
+
+
+def window_differences(ranked: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, slide: int, name: str,
+                       sum_type: T.DataType) -> DataFrame:
+    """The ``prefix`` plan's windows from running totals: ``ranked`` has the ordinal,
+    ``_sum`` (running sum of the value) and ``_some`` (running count of values)."""
+    rn = F.col(ORDINAL)
+    ranked = ranked.withColumn("_run", F.struct("_some", "_sum"))
+    # one pass over the ranked rows: a firing row reports its running
+    # sum at its own ordinal, a row `size` before a fire reports its
+    # running sum at the fire's ordinal; (key, ordinal) groups hold
+    # at most these two rows
+    fire = F.when(rn % slide == 0, F.struct(rn.alias("_at"), F.lit(True).alias("_fire")))
+    before = F.when((rn + size) % slide == 0, F.struct((rn + size).alias("_at"), F.lit(False).alias("_fire")))
+    parts = ranked.select(*keys, *order, "_run", F.explode(F.filter(F.array(fire, before),
+                                                               lambda x: x.isNotNull())).alias("_e"))
+    is_fire = F.col("_e._fire")
+    grouped = parts.groupBy(*keys, F.col("_e._at").alias(ORDINAL)).agg(
+        F.max(F.when(is_fire, F.col("_run"))).alias("_run"),
+        F.max(F.when(~is_fire, F.col("_run"))).alias("_run_before"),
+        F.max_by(F.struct(*order), is_fire.cast("int")).alias("_rec"),
+        F.max(is_fire.cast("int")).alias("_has_fire"))
+    run, old = F.col("_run"), F.col("_run_before")
+    total = F.when(old["_sum"].isNull(), run["_sum"]).otherwise(run["_sum"] - old["_sum"])
+    seen = run["_some"] > F.coalesce(old["_some"], F.lit(0))     # a value in the window
+    return grouped.where(F.col("_has_fire") == 1).select(
+        *keys, *[F.col(f"_rec.{c}").alias(c) for c in order], ORDINAL,
+        F.when(seen, total).cast(sum_type).alias(name))

@@ -27,7 +27,8 @@ from ..operators.count_window import count_window
 from ..operators.delta import delta_trigger_fires
 from ..operators.delta_any import change_fires
 from ..operators.global_window import Count, Delta, Span, global_window
-from ..operators.late import late_rows
+from ..operators.late import late_rows, with_watermark_column
+from ..operators.user_functions import map_records
 from ..operators.reduce import keyed_reduce, rolling_reduce, window_reduce
 from ..operators.rolling import rolling_sum
 from ..operators.session import session_windows
@@ -405,3 +406,22 @@ def late_rows_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def late_rows_exact_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same per event type: five keys whose sessions stay open for long."""
     return _late(spark, sf_dir, "event_type")
+
+
+def ascending_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that break ascending order of time: ``ts`` below the latest of the
+    records that arrived before."""
+    tel = arriving(telemetry(spark, sf_dir)).withColumn("t_us", F.unix_micros("ts"))
+    marked = with_watermark_column(tel, ["arrived", "seq"], "t_us", 0, "latest_us")
+    return marked.where(F.col("t_us") < F.col("latest_us")).select("seq", "car_id", "t_us", "latest_us")
+
+
+def map_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The car-line parser as a user's Python map."""
+    lines = telemetry_lines(read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"]))
+
+    def parse(pdf):
+        f = pdf["line"].str.slice(1, -1).str.split(",", expand=True)
+        return pdf[["seq"]].assign(car_id=f[0].astype("int32"), speed=f[1].astype("int32"), distance=f[2].astype("float64"), ts_ms=f[3].astype("int64"))
+
+    return map_records(lines, parse, "seq long, car_id int, speed int, distance double, ts_ms long")

@@ -275,3 +275,10 @@ SELECT event_id, {key}, t AS t_ms, wm AS watermark, late FROM f"""
 
 
 ORACLE.update({"late_rows_exact": _late_rows("user_id"), "late_rows_exact_hot": _late_rows("event_type")})
+
+ORACLE["map_user"] = f"SELECT seq, car_id, speed, distance, ts_ms FROM ({ORACLE['parse_telemetry']})"
+ORACLE["ascending_violations"] = """WITH a AS (
+  SELECT event_id AS seq, CAST(user_id % 8 AS INTEGER) AS car_id, epoch_us(ts) AS t_us,
+         epoch_us(ts) + (event_id * 7919 % 5400) * 1000000 AS arrived FROM events),
+w AS (SELECT *, max(t_us) OVER (ORDER BY arrived, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest_us FROM a)
+SELECT seq, car_id, t_us, latest_us FROM w WHERE t_us < latest_us"""

@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         # text / word count jobs
         "tokenize_words": T.tokenize_words_q,
+        "flat_map_user": T.flat_map_user,
         "word_count": T.word_count,
         "word_count_rolling": T.word_count_rolling,
         "word_lengths_total": T.word_lengths_total,
@@ -61,6 +62,8 @@ def queries() -> dict[str, Query]:
         "delta_trigger_count_evictor": E.delta_trigger_count_evictor,
         "top_speed_disordered": E.top_speed_disordered,
         "late_rows_exact": E.late_rows_exact,
+        "ascending_violations": E.ascending_violations,
+        "map_user": E.map_user,
         "late_rows_exact_hot": E.late_rows_exact_hot,
         "trailing_time_max_ties": E.trailing_time_max_ties,
         "trailing_time_max": E.trailing_time_max_q,
@@ -76,6 +79,9 @@ def queries() -> dict[str, Query]:
         "stream_word_count_rolling": S.stream_word_count_rolling,
         "stream_json_english_word_count": S.stream_json_english_word_count,
         "stream_top_speed": S.stream_top_speed,
+        "stream_count_window_sum_events": S.stream_count_window_sum_events,
+        "stream_rolling_reduce": S.stream_rolling_reduce,
+        "stream_sliding_reduce": S.stream_sliding_reduce,
         "stream_late_drop": S.stream_late_drop,
     }
     return q
@@ -92,6 +98,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 EQUIVALENTS = {
+    "flat_map_user": "tokenize_words",
     "stream_session_sum": "session_window_sum",
     "stream_sliding_sum": "sliding_time_sum",
     "stream_count_window": "count_window_sum_6_1",
@@ -104,6 +111,9 @@ EQUIVALENTS = {
     "parse_telemetry_text": "parse_telemetry",
     "delta_trigger_fires_sequential": "delta_trigger_fires",
     "stream_top_speed": "top_speed",
+    "stream_count_window_sum_events": "count_window_sum_events",
+    "stream_rolling_reduce": "rolling_reduce",
+    "stream_sliding_reduce": "sliding_time_reduce",
 }
 
 FLAGSHIP = "session_window_sum"

@@ -7,14 +7,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.fixed import COUNT_WINDOW_SIZE, COUNT_WINDOW_SLIDE, WINDOW_WORDS_SIZE, WINDOW_WORDS_SLIDE
+from ..functions.fixed import (COUNT_WINDOW_SIZE, COUNT_WINDOW_SLIDE, SLIDING_SIZE_MS, SLIDING_SLIDE_MS, WINDOW_WORDS_SIZE,
+                               WINDOW_WORDS_SLIDE)
 from ..functions.telemetry import centi_kmh_seconds_to_metres, speed_centi
 from ..operators.tokenize import tokenize_words
 from ..session import scratch_path
 from ..sinks.tuple_text import parse_tuple_line, tuple_lines
+from ..streaming.carried import (count_value_batches, merge_panes, pane_reduce_batches, rolling_reduce_batches,
+                                 top_speed_batches)
 from ..streaming.counts import count_window_batches
 from ..streaming.replay import replay, sentinel_row
-from ..streaming import stateful
 from ..streaming.windows import stream_session_agg, stream_sliding_agg
 from ..sources.records import telemetry_from_events
 from ..sources.tables import read_table
@@ -165,19 +167,59 @@ def stream_json_english_word_count(spark: SparkSession, sf_dir: str) -> DataFram
     return ups.groupBy("word").agg(F.max_by("n", "batch_id").alias("n"))
 
 
+def _batch_sink(path: str):
+    return lambda out, batch_id: out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
 def stream_top_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top speed per car on a replayed event stream (stateful, exact)."""
+    """Top speed per car on a replayed event stream: the batch operators on
+    every micro-batch, with odometer, reference point and last hour carried."""
     tel = telemetry_from_events(read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"]))
     sink = scratch_path(spark, "topspeed-out")
+    batches = top_speed_batches("car_id", "ts", "seq", "speed_c", "speed", TRIGGER_CENTI, CAR_EVICT_SEC * SECOND_US,
+                                scratch_path(spark, "topspeed-state"), _batch_sink(sink))
 
     def build(stream):
-        s = stream.select("car_id", F.unix_micros("ts").alias("ts_us"), "seq",
-                          speed_centi(F.col("speed")).alias("speed_c"), "speed")
-        return _parquet_sink(stateful.stream_top_speed(s, "car_id", "ts_us", "seq", "speed_c", "speed",
-                                              TRIGGER_CENTI, CAR_EVICT_SEC * SECOND_US), sink)
+        # times ascend, so the watermark is the latest time
+        return stream.withColumn("speed_c", speed_centi(F.col("speed"))).withWatermark("ts", "0 seconds").writeStream.foreachBatch(batches)
 
     replay(tel, F.unix_micros("ts"), N_SLICES, build, "topspeed")
     out = spark.read.parquet(sink)
     return as_ntz(out.select("car_id", "fire_seq", "top_seq", "top_speed",
-                             centi_kmh_seconds_to_metres(F.col("top_dist_c")).alias("top_distance"),
-                             F.timestamp_micros("top_ts_us").alias("top_ts")))
+                             centi_kmh_seconds_to_metres(F.col("top_dist_c")).alias("top_distance"), "top_ts"))
+
+
+def stream_count_window_sum_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count window 10 / 5 per user summing a value, on a replayed event stream."""
+    ev = events(spark, sf_dir, ("event_id", "ts", "user_id", "value"))
+    sink = scratch_path(spark, "countsum-out")
+    batches = count_value_batches("user_id", ["ts", "event_id"], cents(F.col("value")), 10, 5, scratch_path(spark, "countsum-state"),
+                                  _batch_sink(sink), "value_sum", F.unix_micros("ts"))
+    replay(ev, F.unix_micros("ts"), N_SLICES, lambda stream: stream.writeStream.foreachBatch(batches), "countsum")
+    out = spark.read.parquet(sink)
+    return as_ntz(out.select("user_id", "ts", "event_id", "seq_in_key", from_cents(F.col("value_sum")).alias("value_sum")))
+
+
+def stream_rolling_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After every event of a replayed stream, its type's largest value and the
+    event that had it first (a user's combine of structs)."""
+    ev = events(spark, sf_dir, ("event_id", "ts", "event_type", "value"))
+    sink = scratch_path(spark, "rollreduce-out")
+    best = F.struct(F.col("value").alias("top"), F.col("event_id").alias("top_id"))
+    batches = rolling_reduce_batches("event_type", ["ts", "event_id"], best, lambda a, b: F.when(b["top"] > a["top"], b).otherwise(a),
+                                     scratch_path(spark, "rollreduce-state"), _batch_sink(sink), "best", F.unix_micros("ts"))
+    replay(ev, F.unix_micros("ts"), N_SLICES, lambda stream: stream.writeStream.foreachBatch(batches), "rollreduce")
+    out = spark.read.parquet(sink)
+    return out.select("event_id", "event_type", F.col("best.top").alias("top"), F.col("best.top_id").alias("top_id"))
+
+
+def stream_sliding_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows 2500 s / 500 s per user with a user's combine function, from the
+    pane folds of every micro-batch of a replayed stream."""
+    ev = events(spark, sf_dir, ("ts", "user_id", "value"))
+    sink = scratch_path(spark, "panes-out")
+    size, slide = SLIDING_SIZE_MS * SECOND_US, SLIDING_SLIDE_MS * SECOND_US
+    batches = pane_reduce_batches(["user_id"], "ts", slide, cents(F.col("value")), lambda a, b: a + b, _batch_sink(sink), "value_sum")
+    replay(ev, F.unix_micros("ts"), N_SLICES, lambda stream: stream.writeStream.foreachBatch(batches), "panes")
+    out = merge_panes(spark.read.parquet(sink).drop("batch_id"), ["user_id"], size, slide, lambda a, b: a + b, "value_sum")
+    return as_ntz(out.withColumn("value_sum", from_cents(F.col("value_sum"))))

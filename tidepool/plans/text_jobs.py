@@ -14,6 +14,7 @@ from ..functions.fixed import (COUNT_WINDOW_SIZE, COUNT_WINDOW_SLIDE, WINDOW_WOR
 from ..operators.count_window import count_window
 from ..operators.rolling import keyed_totals, rolling_sum
 from ..operators.tokenize import english_records, tokenize_tweets, tokenize_words
+from ..operators.user_functions import flat_map
 from ..sources.records import json_records
 from ..sources.tables import read_table, spread
 
@@ -90,6 +91,21 @@ def tokenize_words_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words(spark, sf_dir)
 
 
+def _word_tuples(text):
+    """A user's tokenizer: one record in, any number of tuples out."""
+    import re
+
+    if text is not None:
+        for pos, word in enumerate(re.split(r"\W+", text.lower(), flags=re.ASCII)):
+            if word:
+                yield pos, word
+
+
+def flat_map_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The word tokenizer as a user's Python flat-map."""
+    return flat_map(documents(spark, sf_dir), _word_tuples, ["text"], "pos int, word string").drop("text")
+
+
 def word_lengths_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed sum of a value (token length) -- the reduce path with a
     non-constant measure."""

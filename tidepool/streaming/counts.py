@@ -1,10 +1,8 @@
 """Exact per-record counts on a stream, batch by batch (``foreachBatch``).
 
-Within a micro-batch the ordinal of a record in its key is the blocked
-running count of the batch operators, so a frequent key is spread over many
-tasks; the counts up to the batch are a table of ``(key, count)`` that each
-batch reads from its predecessor and writes anew.  Both writes of a batch
-replace the folder of its own id, so a repeated batch gives the same result.
+Within a micro-batch the ordinal of a record in its key is the running count
+of the batch operators, so a frequent key is spread over many tasks; the
+counts up to the batch are carried (:mod:`.carried`).
 """
 
 from __future__ import annotations
@@ -14,14 +12,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.prefix import BLOCK, blocked_running_totals, default_blocks, range_block
+from ..operators.rolling import rolling_sums
+from .carried import NEW, Sink, _blocks, _with_carried, carried
 
 ORDINAL = "seq_in_key"
 
 
-def count_window_batches(key: str, order: Sequence[str], size: int | None, slide: int, state: str,
-                         sink: Callable[[DataFrame, int], None], name: str = "n",
-                         block_on: str | Column | None = None) -> Callable[[DataFrame, int], None]:
+def count_window_batches(key: str, order: Sequence[str], size: int | None, slide: int, state: str, sink: Sink,
+                         name: str = "n", block_on: str | Column | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: sliding count windows of ``size`` (None:
     all records so far) that fire on every ``slide``-th record of a key.
     ``sink(fires, batch_id)`` writes ``(key, order..., seq_in_key, name)``
@@ -29,23 +27,18 @@ def count_window_batches(key: str, order: Sequence[str], size: int | None, slide
     a folder for the counts.  ``order`` is the order within a batch; batches
     follow each other."""
     order = list(order)
-    block_on = order[0] if block_on is None else block_on
-    at = F.col(block_on) if isinstance(block_on, str) else block_on
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(key, *order)
-        counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias(ORDINAL))
-        before = None
-        if batch_id > 0:
-            before = batch.sparkSession.read.schema(counts.schema).parquet(f"{state}/batch-{batch_id - 1}")
-        blk = range_block(rows, at, default_blocks(rows))
-        ranked = blocked_running_totals(rows, [key], [F.col(c) for c in order], blk,
-                                        {ORDINAL: F.lit(1).cast("long")}, start=before).drop(BLOCK)
+    at = _blocks(order[0] if block_on is None else block_on)
+
+    def step(rows: DataFrame, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        rows = rows.select(key, *order).withColumn("_m", F.lit(1).cast("long"))
+        if before is not None:        # a key's count so far is its first row
+            none = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in order]
+            before = before.select(key, *none, F.col("_n").alias("_m"))
+        src = _with_carried(rows, before)
+        ranked = rolling_sums(src, [key], [NEW, *order], {ORDINAL: F.col("_m")}, at)
         rn = F.col(ORDINAL)
         n = rn if size is None else F.least(rn, F.lit(size))
-        sink(ranked.where(rn % slide == 0).withColumn(name, n.cast("long")), batch_id)
-        after = counts if before is None else before.unionByName(counts).groupBy(key).agg(
-            F.sum(ORDINAL).alias(ORDINAL))
-        after.write.mode("overwrite").parquet(f"{state}/batch-{batch_id}")
+        fires = ranked.where((F.col(NEW) == 1) & (rn % slide == 0)).select(key, *order, rn, n.cast("long").alias(name))
+        return fires, src.groupBy(key).agg(F.sum("_m").alias("_n"))
 
-    return write_batch
+    return carried(step, state, sink)

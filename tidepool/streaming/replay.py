@@ -1,11 +1,12 @@
 """Replay a table as a stream, slice by slice.
 
-Slices of the source table (contiguous ranges of an order value) are
-appended, in order, to a Parquet folder under the shared checkpoint dir;
-after each append the streaming query runs with ``availableNow``, so each
-slice is one micro-batch and the query state carries over through its
-checkpoint -- the way an incremental job runs on a schedule.  The driver
-only loops over slice numbers; every write and read is a Spark job.
+The source table is scanned once and written by slice (contiguous ranges of an
+order value) under the shared checkpoint dir.  The slices are then appended in
+order, one file each, to the folder that one streaming query reads with
+``availableNow`` and one file per micro-batch: a file stream takes files by
+their time, so each slice is one micro-batch, in order.  The driver only loops
+over slice numbers; every write and read is a Spark job.  Choose ``n_slices`` so
+that a slice is a file's size.
 
 An optional *sentinel* (one far-future row with NULL keys, derived from the
 table by Spark) advances the watermark past every open window at the end,
@@ -18,6 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..session import scratch_path
@@ -47,27 +49,25 @@ def replay(df: DataFrame, slice_value: Column, n_slices: int,
     Returns the progress reports of every micro-batch.
     """
     spark = df.sparkSession
-    src = scratch_path(spark, f"{label}-src")
-    ckpt = scratch_path(spark, f"{label}-ckpt")
-    sliced = df.withColumn("_slice", slice_index(df, slice_value, n_slices))
-    progress: list = []
+    staged, src, ckpt = (scratch_path(spark, f"{label}-{part}") for part in ("slices", "src", "ckpt"))
+    df.withColumn("_slice", slice_index(df, slice_value, n_slices)).write.partitionBy("_slice").parquet(staged)
+    schema = T.StructType([*df.schema.fields, T.StructField("_slice", T.IntegerType())])
+    slices = spark.read.schema(schema).parquet(staged)
 
-    def run_once():
-        stream = spark.readStream.schema(df.schema).parquet(src)
-        q = build(stream).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-        q.awaitTermination()
-        progress.extend(q.recentProgress)
+    def append(rows: DataFrame) -> None:
+        rows.coalesce(1).write.mode("append").parquet(src)
 
     for k in (slice_order if slice_order is not None else range(n_slices)):
-        sliced.where(F.col("_slice") == k).drop("_slice").write.mode("append").parquet(src)
-        run_once()
+        append(slices.where(F.col("_slice") == k).drop("_slice"))
     if sentinel is not None:
         # The first sentinel batch raises the watermark; windows it closes
         # are evicted by the next batch, so the sentinel is sent twice.
-        for _ in range(2):
-            sentinel.write.mode("append").parquet(src)
-            run_once()
-    return progress
+        append(sentinel)
+        append(sentinel)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = build(stream).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return list(q.recentProgress)
 
 
 def dropped_by_watermark(progress: list) -> int:
