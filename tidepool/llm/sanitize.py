@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ..session import apply_recommended_conf
 from .store import written
 
-DISCLOSURE, MIN_LINES, Z = 0.8, 3, 2.576
+DISCLOSURE, Z = 0.8, 2.576
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Patterns of the base kinds, in the order in which kinds are listed.
 PATTERNS = {
@@ -42,6 +42,8 @@ PATTERNS = {
 }
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 WORD = r"(?<!\p{L})\p{L}{3,}+"
+RUN = 256                    # finds collected before they are joined
+SIFT_WORDS = 64              # 64-bit words of the second sift
 #: Candidate terms are broadcast up to this many; more go through a shuffle.
 MAX_BROADCAST_TERMS = 100_000
 
@@ -64,14 +66,25 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _placed(matches: Column, gaps: Column) -> Column:
-    """Array of (match, start) in code points."""
-    size = F.arrays_zip(matches.alias("m"), F.slice(gaps, 1, F.size(matches)).alias("g"))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<m:string,s:long>>").alias("out"))
-    step = lambda a, x: F.struct(
-        (a["at"] + F.char_length(x["g"]) + F.char_length(x["m"])).cast("long").alias("at"),
-        F.concat(a["out"], F.array(F.struct(x["m"].alias("m"), (a["at"] + F.char_length(x["g"])).cast("long").alias("s")))).alias("out"))
-    return F.aggregate(size, zero, step)["out"]
+def _placed(matches: Column, gaps: Column, wanted: Column | None = None) -> Column:
+    """Array of (match, start) in code points, of the matches among ``wanted``.
+
+    Offsets are carried; finds are collected in runs of ``RUN`` that are joined at
+    the end, so the cost is linear in the matches."""
+    each = F.arrays_zip(matches.alias("m"), F.slice(gaps, 1, F.size(matches)).alias("g"))
+    found, none = "array<struct<m:string,s:long>>", F.array()
+    zero = F.struct(F.lit(0).cast("long").alias("at"), none.cast(found).alias("run"), none.cast(f"array<{found}>").alias("out"))
+
+    def step(a: Column, x: Column) -> Column:
+        start = (a["at"] + F.char_length(x["g"])).cast("long")
+        one, full = F.array(F.struct(x["m"].alias("m"), start.alias("s"))), F.size(a["run"]) >= RUN
+        keep = F.lit(True) if wanted is None else F.array_contains(wanted, x["m"])
+        return F.struct((start + F.char_length(x["m"])).cast("long").alias("at"),
+                        F.when(~keep, a["run"]).when(full, one).otherwise(F.concat(a["run"], one)).alias("run"),
+                        F.when(keep & full, F.concat(a["out"], F.array(a["run"]))).otherwise(a["out"]).alias("out"))
+
+    done = F.aggregate(each, zero, step)
+    return F.flatten(F.concat(done["out"], F.array(done["run"])))
 
 
 def _spans(placed: Column, kind: int) -> Column:
@@ -104,10 +117,9 @@ def _terms(line: Column) -> Column:
 
 
 def _share(n_te: Column, n_t: Column) -> Column:
-    """``n_te / n_t``, of rare pairs its lower confidence bound."""
+    """The lower confidence bound of ``n_te / n_t``."""
     z2, p = F.lit(Z * Z), n_te / n_t
-    low = (p + z2 / (2 * n_t) - Z * F.sqrt(p * (1 - p) / n_t + z2 / (4 * n_t * n_t))) / (1 + z2 / n_t)
-    return F.when(n_te >= MIN_LINES, p).otherwise(low)
+    return (p + z2 / (2 * n_t) - Z * F.sqrt(p * (1 - p) / n_t + z2 / (4 * n_t * n_t))) / (1 + z2 / n_t)
 
 
 def disclosing_terms(lines: DataFrame, held: DataFrame) -> DataFrame:
@@ -127,18 +139,27 @@ def disclosing_terms(lines: DataFrame, held: DataFrame) -> DataFrame:
              .groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.first("n_e").alias("n_e"))
              .filter(pmi(F.col("n_te")) >= DISCLOSURE * content))
     joint = written(joint, "joint")
-    # Every term's lines fall on 64 bits: the bits set are at most its lines,
-    # so a pair that fails with just those is out.  One row a term is shuffled.
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(line_id, F.lit(64)).cast("int"))
-    some = lines.select(bit.alias("bit"), F.explode(_terms(F.col("line"))).alias("term")).groupBy("term").agg(F.bit_count(F.bit_or("bit")).alias("n_some"))
-    at_least = F.greatest(F.col("n_some").cast("long"), F.col("n_te"))
-    wanted = written(joint.join(some, "term").filter(pmi(at_least) >= DISCLOSURE * content).select("term").distinct(), "candidates")
-    n_wanted = wanted.count()
-    wanted = F.broadcast(wanted) if n_wanted <= MAX_BROADCAST_TERMS else wanted
-    seen = (lines.select(line_id.alias("l"), F.explode(_terms(F.col("line"))).alias("term")).join(wanted, "term") if n_wanted
-            else lines.select(line_id.alias("l"), F.col("line").alias("term")).limit(0))
-    n_term = seen.distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    return joint.join(n_term, "term").filter(pmi(F.col("n_t")) >= DISCLOSURE * content).select("entity", "term")
+    # Every term's lines fall on 64 bits, those of what is left on 4,096: the
+    # bits set are at most its lines, so a pair that fails with just those is
+    # out.  One row a term (and word of bits) and task is shuffled, and a term
+    # that stays has few lines more than its pairs allow.
+    terms = lines.select(line_id.alias("l"), F.explode(_terms(F.col("line"))).alias("term"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.col("l"), F.lit(64)).cast("int"))
+    word = F.pmod(F.shiftright(F.col("l"), 6), F.lit(SIFT_WORDS)).cast("int")
+
+    def left(pairs: DataFrame, least: DataFrame, label: str) -> DataFrame:
+        at_least = F.greatest(F.col("n_some").cast("long"), F.col("n_te"))
+        return written(pairs.join(least, "term").filter(pmi(at_least) >= DISCLOSURE * content).drop("n_some"), label)
+
+    def among(pairs: DataFrame) -> DataFrame:
+        wanted = written(pairs.select("term").distinct(), "candidates")
+        return terms.join(F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_TERMS else wanted, "term")
+
+    pairs = left(joint, terms.groupBy("term").agg(F.bit_count(F.bit_or(bit)).alias("n_some")), "sifted")
+    words_set = among(pairs).groupBy("term", word.alias("w")).agg(F.bit_count(F.bit_or(bit)).alias("n"))
+    pairs = left(pairs, words_set.groupBy("term").agg(F.sum("n").alias("n_some")), "sifted-twice")
+    n_term = among(pairs).select("l", "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+    return pairs.join(n_term, "term").filter(pmi(F.col("n_t")) >= DISCLOSURE * content).select("entity", "term")
 
 
 def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -148,24 +169,28 @@ def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     apply_recommended_conf(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     text_id = F.struct(F.xxhash64("text").alias("x"), F.hash("text").alias("y"))
-    base = written(with_spans(rows.withColumn("t", text_id), name="base").drop("text"), "base-spans")
-    found = written(base.filter(F.size("base") > 0).select("t", "base").dropDuplicates(["t"]), "holders")
+    # texts without base spans need no second look
+    base = with_spans(rows.withColumn("t", text_id), name="base").withColumn("held", F.when(F.size("base") > 0, F.col("text"))).drop("text")
+    base = written(base, "base-spans")
+    holders = base.filter(F.col("held").isNotNull())
     lines = rows.select(F.explode(F.split("text", "\n", -1)).alias("line")).filter(F.btrim("line") != "")
     has = F.lit(False)
     for kind in PATTERNS:
         has = has | F.col("line").rlike("@" if kind == "email" else r"[0-9]")
-    held = with_spans(lines.filter(has), "line", "found").filter(F.size("found") > 0).select("line", F.transform("found", lambda s: s["m"]).alias("entities"))
+    # no pattern crosses a line, so lines with spans are lines of such texts
+    near = holders.select(F.explode(F.split("held", "\n", -1)).alias("line")).filter(has)
+    held = with_spans(near, "line", "found").filter(F.size("found") > 0).select("line", F.transform("found", lambda s: s["m"]).alias("entities"))
     risky = written(disclosing_terms(lines, held), "risky")
+    found = holders.select("t", "base").dropDuplicates(["t"])
     mine = (found.select("t", F.explode(F.array_distinct(F.transform("base", lambda s: s["m"]))).alias("entity"))
             .join(risky, "entity").groupBy("t").agg(F.collect_set("term").alias("terms")))
     mine = written(mine.withColumnRenamed("t", "m_t"), "risky-texts")
-    texts = rows.withColumn("t", text_id).join(mine, F.col("t") == F.col("m_t")).select("t", "text", "terms").dropDuplicates(["t"])
-    words = texts.withColumn("w", F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).withColumn("g", F.split("text", WORD, -1))
-    spans = _spans(F.filter(_placed(F.col("w"), F.col("g")), lambda x: F.array_contains("terms", x["m"])), len(PATTERNS))
-    extra = words.select(F.col("t").alias("x_t"), spans.alias("extra"))
-    none = F.array().cast(SPAN)
-    return (base.join(extra, F.col("t") == F.col("x_t"), "left")
-            .select("doc_id", "base", F.array_sort(F.concat("base", F.coalesce("extra", none))).alias("spans"), "t"))
+    both = holders.join(mine, F.col("t") == F.col("m_t"), "left")
+    words = F.regexp_extract_all("held", F.lit(WORD), F.lit(0))
+    extra = _spans(_placed(words, F.split("held", WORD, -1), F.col("terms")), len(PATTERNS))
+    spans = F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", extra)))
+    rest = base.filter(F.col("held").isNull()).select("doc_id", "base", F.col("base").alias("spans"), "t")
+    return both.select("doc_id", "base", spans.alias("spans"), "t").unionByName(rest)
 
 
 def span_text(spans: str) -> Column:
