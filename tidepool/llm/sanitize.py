@@ -43,7 +43,7 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 WORD = r"(?<!\p{L})\p{L}{3,}+"
 RUN = 256                    # finds collected before they are joined
-SIFT_WORDS = 64              # 64-bit words of the second sift
+PARTS = (4096, 256, 16, 1)   # one line in so many, by hash; the last must be 1
 #: Candidate terms are broadcast up to this many; more go through a shuffle.
 MAX_BROADCAST_TERMS = 100_000
 
@@ -139,27 +139,30 @@ def disclosing_terms(lines: DataFrame, held: DataFrame) -> DataFrame:
              .groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.first("n_e").alias("n_e"))
              .filter(pmi(F.col("n_te")) >= DISCLOSURE * content))
     joint = written(joint, "joint")
-    # Every term's lines fall on 64 bits, those of what is left on 4,096: the
-    # bits set are at most its lines, so a pair that fails with just those is
-    # out.  One row a term (and word of bits) and task is shuffled, and a term
-    # that stays has few lines more than its pairs allow.
-    terms = lines.select(line_id.alias("l"), F.explode(_terms(F.col("line"))).alias("term"))
+    # Lower bounds of a term's lines rule pairs out: the bits that its lines set
+    # out of 64 (one row a term and task is shuffled), then its lines among a
+    # part of all lines, chosen by hash.  A pair that passes a part has few lines
+    # more in the next, larger one; the last part is all lines, so exact.
+    numbered = lines.select(line_id.alias("l"), "line")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.col("l"), F.lit(64)).cast("int"))
-    word = F.pmod(F.shiftright(F.col("l"), 6), F.lit(SIFT_WORDS)).cast("int")
+    term = F.explode(_terms(F.col("line"))).alias("term")
 
-    def left(pairs: DataFrame, least: DataFrame, label: str) -> DataFrame:
+    def left(pairs: DataFrame, least: DataFrame) -> DataFrame:
         at_least = F.greatest(F.col("n_some").cast("long"), F.col("n_te"))
-        return written(pairs.join(least, "term").filter(pmi(at_least) >= DISCLOSURE * content).drop("n_some"), label)
+        return written(pairs.join(least, "term").filter(pmi(at_least) >= DISCLOSURE * content).drop("n_some"), "sifted")
 
-    def among(pairs: DataFrame) -> DataFrame:
+    pairs = left(joint, numbered.select("l", term).groupBy("term").agg(F.bit_count(F.bit_or(bit)).alias("n_some")))
+    for part in PARTS:
         wanted = written(pairs.select("term").distinct(), "candidates")
-        return terms.join(F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_TERMS else wanted, "term")
-
-    pairs = left(joint, terms.groupBy("term").agg(F.bit_count(F.bit_or(bit)).alias("n_some")), "sifted")
-    words_set = among(pairs).groupBy("term", word.alias("w")).agg(F.bit_count(F.bit_or(bit)).alias("n"))
-    pairs = left(pairs, words_set.groupBy("term").agg(F.sum("n").alias("n_some")), "sifted-twice")
-    n_term = among(pairs).select("l", "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    return pairs.join(n_term, "term").filter(pmi(F.col("n_t")) >= DISCLOSURE * content).select("entity", "term")
+        n_wanted = wanted.count()
+        if not n_wanted:
+            break
+        some = numbered.filter(F.pmod(F.shiftright("l", 6), F.lit(part)) == 0).select("l", term)
+        hits = some.join(F.broadcast(wanted) if n_wanted <= MAX_BROADCAST_TERMS else wanted, "term").distinct().groupBy("term").agg(F.count("*").alias("n_hits"))
+        # no line in the part: no bound
+        least = wanted.join(hits, "term", "left").select("term", F.coalesce("n_hits", F.lit(0)).alias("n_some"))
+        pairs = left(pairs, least)
+    return pairs.select("entity", "term")
 
 
 def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
