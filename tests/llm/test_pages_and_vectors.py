@@ -78,6 +78,51 @@ def test_consensus_and_odd_pages(spark):
     assert got[16, "http://c.org/q"].startswith("c < d")
 
 
+ARTICLE = '<article><h1>T</h1><p>Body text here</p><section id="related-work"><p>Related</p></section></article>'
+
+
+@pytest.mark.parametrize("name", ["no-sidebar", "has-sidebar", "post comments-open", "content-area with-sidebar", "site nav-open", "entry social-policy", "menu-page", "page alerts-on", "sidebar"])
+def test_names_that_are_no_furniture(name):
+    """Nor does a furniture name around the whole page lose it."""
+    page = f'<body><div class="{name}">{ARTICLE}</div><div class="sidebar">x</div><div id="cookie-notice-2">c</div><div class="ad-slot">a</div></body>'
+    assert H.page_text(page, None) == "T\nBody text here\nRelated"
+
+
+def test_long_comments_stay_out():
+    page = f'{ARTICLE}<div class="comments-area"><div class="comment-content"><p>{"First! " * 500}</p></div></div>'
+    assert H.page_text(page, None) == "T\nBody text here\nRelated"
+
+
+def test_stray_quotes():
+    assert H.page_text("<p title=it's>First<p>It's</p><p title=\"a>b\" id='x>y'>Third</p><p class=\"open>Fourth</p>", None) == "First\nIt's\nThird\nFourth"
+
+
+def test_deep_nesting():
+    import time
+    import tracemalloc
+
+    start = time.time()
+    tracemalloc.start()
+    assert H.page_text("<div class='a b'>" * 30_000 + "deep" + "</div></p></b>" * 30_000, None) == "deep"
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+    assert time.time() - start < 10 and H.page_text("<div>" * 30_000 + "x", ">".join(["div"] * 30_000)) == "x"
+
+
+def test_votes_of_a_site_choose_the_container(spark):
+    """On one page a table holds more text than the site's text column."""
+    def page(i, table):
+        return f'<div class="wrap-{i}"><div class="story"><p>Own text {i} of this page.</p></div><table class="facts"><tr><td>{table}</td></tr></table></div>'
+
+    rows = [(i, "http://s.org/p", page(i, "few")) for i in range(9)] + [(9, "http://s.org/q", page(9, "many numbers " * 20))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert H.page_text(rows[9][2], None) != "Own text 9 of this page."
+    keyed = df.selectExpr("'s.org' AS host", "html")
+    paths = [r.path for r in H.consensus_paths(keyed).collect()]
+    text = {r.page_id: r.text for r in H.main_text(df).collect()}
+    assert paths == ["div.wrap->div.story"] and all(text[i] == f"Own text {i} of this page." for i in range(10))
+
+
 def test_vectors_equal_sql(spark):
     assert spark_rows(Q.op4_voronoi_knn(spark, SMALL)) == duck(sql.OP4, SMALL)
 
