@@ -44,6 +44,12 @@ def test_lines_odd_rows(spark):
     assert L.drop_boilerplate(df.limit(0), "source").count() == 0
 
 
+def test_a_copied_page_keeps_its_lines(spark):
+    rows = [(i, "one page\nof two lines", "s") for i in range(90)] + [(100 + i, f"menu\npage {i}", "s") for i in range(60)]
+    out = L.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert {r.text for r in out.collect()} == {"one page\nof two lines"} | {f"page {i}" for i in range(60)}
+
+
 def test_host_of(spark):
     df = spark.createDataFrame([("http://u@WWW.a.Org:80/x?y",), ("nope",), (None,)], "url string")
     assert [r[0] for r in df.select(L.host_of("url")).collect()] == ["a.org", "", None]

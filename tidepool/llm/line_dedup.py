@@ -3,6 +3,8 @@
 A line is boilerplate of a host when more than ``ratio`` of the host's pages
 (and at least ``min_pages`` of them) contain it; such lines are dropped from
 every page of that host.  Lines count trimmed, once per page; blank lines stay.
+Rows of a host with the same text are one page: a page that was copied often
+does not turn its lines into boilerplate.
 
 Only hashes of lines are counted and joined (two independent ones, 96 bits,
 and the host besides).  Counting combines on the map side; the boilerplate
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from ..session import apply_recommended_conf
 from .store import written
 
-RATIO, MIN_PAGES = 0.1, 4
+RATIO, MIN_PAGES = 0.02, 4
 BLANKS = " \t\x0b\x0c\r"
 
 
@@ -50,7 +52,7 @@ def drop_boilerplate(docs: DataFrame, host: str | Column = "source", text_col: s
 
     A null text stays null and an empty one empty; a text that is all
     boilerplate becomes empty, its row stays.  A null host is a host of its
-    own.  Every row is a page, repeated rows too.  Other columns stay as they
+    own.  Rows that repeat a host and text are one page.  Other columns stay as they
     are, whatever their names; an empty table stays empty.
     """
     apply_recommended_conf(docs.sparkSession)
@@ -60,7 +62,7 @@ def drop_boilerplate(docs: DataFrame, host: str | Column = "source", text_col: s
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), host.cast("string").alias("host"), F.col(text_col).alias("text"))
     page_id = F.struct(F.xxhash64("text", "host").alias("x"), F.hash("host", "text").alias("y"))
     pages = keyed.select("host", page_id.alias("id"), F.array_compact(F.array_distinct(hashes("text"))).alias("lines"))
-    bad = written(boilerplate_lines(pages, ratio, min_pages), "boilerplate").withColumnsRenamed({"host": "b_host", "h": "b_h"})
+    bad = written(boilerplate_lines(pages.dropDuplicates(["id"]), ratio, min_pages), "boilerplate").withColumnsRenamed({"host": "b_host", "h": "b_h"})
     found = (pages.select("host", "id", F.explode("lines").alias("h"))
              .join(bad, F.col("host").eqNullSafe(F.col("b_host")) & (F.col("h") == F.col("b_h")))
              .groupBy(F.col("id").alias("f_id")).agg(F.collect_set("h").alias("bad")))

@@ -4,10 +4,11 @@ OP2 = r"""
 WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines, row_number() OVER () AS r FROM documents),
 l AS (SELECT r, source, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
 k AS (SELECT r, source, i, line, trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) AS t FROM l),
-n AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
-c AS (SELECT source, t, count(DISTINCT r) AS n FROM k WHERE t <> '' GROUP BY source, t),
+p AS (SELECT source, text, min(r) AS r FROM d GROUP BY source, text),
+n AS (SELECT source, count(*) AS pages FROM p GROUP BY source),
+c AS (SELECT k.source, t, count(DISTINCT r) AS n FROM k SEMI JOIN p USING (r) WHERE t <> '' GROUP BY k.source, t),
 b AS (SELECT c.source, c.t FROM c JOIN n ON c.source IS NOT DISTINCT FROM n.source
-      WHERE c.n >= 4 AND c.n::DOUBLE / n.pages > 0.1),
+      WHERE c.n >= 4 AND c.n::DOUBLE / n.pages > 0.02),
 m AS (SELECT k.*, b.t IS NOT NULL AS bad FROM k LEFT JOIN b ON k.source IS NOT DISTINCT FROM b.source AND k.t = b.t),
 g AS (SELECT r, coalesce(string_agg(CASE WHEN NOT bad THEN line END, chr(10) ORDER BY i), '') AS text,
              sum(CASE WHEN bad THEN 1 ELSE 0 END)::BIGINT AS n_dropped FROM m GROUP BY r)
