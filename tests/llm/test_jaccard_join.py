@@ -60,9 +60,23 @@ def test_random_small_and_hot(spark, monkeypatch, num):
     rows += [(None, rows[0][1]), (500, None), (501, ""), (502, " \n"), (3, rows[3][1]), (503, "Ä " * 3000)]
     docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, n long_".replace("n long_", "id string"))
     assert got(J.jaccard_components(docs, 4, num, 100)) == brute(rows, 4, num, 100)
-    kept = sorted((r.doc_id for r in J.one_per_group(docs, 4, num, 100).collect()), key=str)
-    want = sorted((d for d in {(d, c, n) for d, n, c in brute(rows, 4, num, 100)} if d[0] is None or d[0] == d[1] or not d[2]), key=str)
-    assert kept == sorted((d for d, _, _ in want), key=str)
+    kept = sorted(((r.doc_id, r.text, r.id) for r in J.one_per_group(docs, 4, num, 100).collect()), key=str)
+    # documents are pairs of id and text, in order; each is a row of its own to the brute force
+    pairs = sorted({(d is None, d or 0, t is None, t or "") for d, t in rows})
+    named = [(i, None if p[2] else p[3]) for i, p in enumerate(pairs)]
+    first = [i for i, n, c in brute(named, 4, num, 100) if i == c or not n]
+    assert kept == sorted(((None if pairs[i][0] else pairs[i][1], named[i][1], "x") for i in first), key=str)
+
+
+def test_documents_are_ids_and_texts(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, "a b c d e f"), (1, text), (2, text + " more"), (None, text), (None, "q r s t u"), (None, "q r s t u"), (3, ""), (3, ""), (None, None), (4, "x y z")]
+    docs = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, key int")
+    out = J.one_per_group(docs)
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(1, "a b c d e f"), (1, text), (None, "q r s t u"), (3, ""), (3, ""), (None, None), (4, "x y z")], key=str)
+    assert J.one_per_group(docs.limit(0)).count() == 0
 
 
 def test_empty(spark):

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from ..session import apply_recommended_conf
 from .graph import connected_components
+from .order import ranked
 from .store import written
 from .textvec import U64, list_column, mix, shingle_sets
 
@@ -44,8 +45,8 @@ BLOCK = 1536
 #: Shingles found more often than this go last in the order, the most frequent
 #: ORDER_HINTS of them (a bound on what is broadcast; the order stays total).
 FREQUENT, ORDER_HINTS = 32, 200_000
-#: Class keys up to this many are broadcast to skip other texts in the last scan.
-MAX_WANTED = 1_000_000
+#: Bits of the filter of class keys that the last scans are given (4 MB).
+FILTER_BITS = 1 << 25
 MAX_LIGHT = 24
 
 
@@ -181,12 +182,15 @@ SUBSET = U64(0xD6E8FEB86659FD93)
 
 def _sets_of(texts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """``(id, toks)`` of the wanted classes ``(id, fp)``."""
-    n = wanted.count()
-    allowed = None
-    if n <= MAX_WANTED:
-        head = wanted.select("fp").toPandas()["fp"]
-        allowed = texts.sparkSession.sparkContext.broadcast(
-            np.unique(np.frombuffer(b"".join(bytes(x) for x in head), U64)[::2]) if n else np.zeros(0, U64))
+    # A bit per fingerprint, of a fixed number: other texts are skipped in the
+    # scan, and the join below decides.
+    bit = F.conv(F.hex(F.substring("fp", 1, 6)), 16, 10).cast("long")
+    filled = wanted.select((bit % FILTER_BITS).alias("b")).groupBy(F.floor(F.col("b") / 64).cast("long").alias("w")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("b") % 64).cast("int"))).alias("v"))
+    table = np.zeros(FILTER_BITS // 64, U64)
+    for part in filled.toArrow().to_batches():
+        table[part.column(0).to_numpy()] = part.column(1).to_numpy().view(U64)
+    allowed = texts.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
         seen: set[bytes] = set()
@@ -198,11 +202,9 @@ def _sets_of(texts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 fp = _fingerprint(s)
                 if fp in seen:
                     continue
-                if allowed is not None:
-                    low, a = np.frombuffer(fp, U64)[0], allowed.value
-                    i = np.searchsorted(a, low)
-                    if i == len(a) or a[i] != low:
-                        continue
+                at = int.from_bytes(fp[:6], "big") % FILTER_BITS
+                if not int(allowed.value[at >> 6]) >> (at & 63) & 1:
+                    continue
                 seen.add(fp)
                 fps.append(fp)
                 rows.append(s.view(np.int64))
@@ -388,19 +390,39 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
 def one_per_group(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` with one document of each linked group, the one with the
-    smallest ``doc_id``.
+    smallest ``(doc_id, text)``, null ids last.
 
-    Rows that share a ``doc_id`` are one document (the first by text stays).
-    Texts without words are linked with nothing and stay, and so do rows with
-    a null id, which no group can name.
+    A document is a pair of id and text: rows that repeat both are one
+    document (any one stays), rows that share an id, or have none, but differ
+    in text are documents of their own.  Texts without words are linked with
+    nothing, and all their rows stay.  Other columns stay as they are.
     """
-    docs = docs.withColumn("doc_id", F.col("doc_id"))
-    gone = (jaccard_components(docs, k, num, den).filter("n_shingles > 0 and doc_id <> component_id")
-            .select("doc_id").distinct())
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    again = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if not again.limit(1).count():
-        return kept
-    once = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    repeated = kept.join(again, "doc_id", "left_semi").withColumn("__nth", F.row_number().over(once)).filter("__nth = 1")
-    return kept.join(again, "doc_id", "left_anti").select(docs.columns).union(repeated.select(docs.columns))
+    id_ = F.col("doc_id")
+    many = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter(id_.isNull() | (F.col("n") > 1)).select(id_.alias("m_id"))
+    many = written(many, "repeated-ids")
+    if not many.limit(1).count():
+        gone = jaccard_components(docs, k, num, den).filter("n_shingles > 0 and doc_id <> component_id").select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+    same = id_.eqNullSafe(F.col("m_id"))
+    odd, plain = docs.join(many, same, "left_semi"), docs.join(many, same, "left_anti")
+    # documents whose id does not tell them apart get keys below all ids
+    low = docs.agg(F.min("doc_id")).first()[0] or 0
+    keyed = ranked(odd.select("doc_id", "text").distinct(), [id_.asc_nulls_last(), F.col("text").asc_nulls_last()], "nth", "repeated")
+    keyed = written(keyed.select((F.lit(low - 1) - F.col("nth")).alias("key"), id_.alias("k_id"), F.col("text").alias("k_text"), "nth"), "keys")
+    every = plain.select(id_.cast("long").alias("doc_id"), "text").unionByName(keyed.select(F.col("key").alias("doc_id"), F.col("k_text").alias("text")))
+    found = written(jaccard_components(every, k, num, den), "components").withColumnRenamed("doc_id", "f_key")
+    named = found.filter("n_shingles > 0").join(keyed, F.col("f_key") == F.col("key"), "left")
+    own = F.when(F.col("key").isNull(), F.col("f_key")).otherwise(F.col("k_id"))
+    place = F.struct(own.isNull().alias("a"), own.alias("b"), F.coalesce("nth", F.lit(-1)).alias("c"))
+    stays = named.groupBy(F.col("component_id").alias("c_id")).agg(F.min_by("f_key", place).alias("first"))
+    gone = written(named.join(stays, F.col("component_id") == F.col("c_id")).filter(F.col("f_key") != F.col("first")).select("f_key"), "dropped")
+    plain = plain.join(gone, id_ == F.col("f_key"), "left_anti").select(docs.columns)
+    rows = odd.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), id_.alias("doc_id"), "text")
+    rows = rows.join(keyed, id_.eqNullSafe(F.col("k_id")) & F.col("text").eqNullSafe(F.col("k_text"))).select("row", "key")
+    rows = rows.join(gone, F.col("key") == F.col("f_key"), "left_anti")
+    blank = found.filter("n_shingles = 0").select(F.col("f_key").alias("b_key"))
+    once = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row")))
+    single = rows.join(blank, F.col("key") == F.col("b_key"), "left_anti").withColumn("copy", once).filter("copy = 1").select("row")
+    rest = rows.join(blank, F.col("key") == F.col("b_key"), "left_semi").select("row")
+    return plain.union(single.union(rest).select("row.*").select(docs.columns))
