@@ -186,10 +186,10 @@ def keyed_running_sum_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trailing_time_max_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trailing maximum with times cut to the hour, so that many records
-    of a car share one: arrival (``seq``) orders them.  Over 16 blocks."""
+    of a car share one: arrival (``seq``) orders them.  Over the panes of six
+    hours."""
     tel = telemetry(spark, sf_dir).withColumn("ts", F.date_trunc("hour", "ts"))
-    out = trailing_time_max(tel, ["car_id"], "ts", 6 * CAR_EVICT_SEC * SECOND_US, "speed", ["seq", "speed"], ["seq"],
-                            n_blocks=16)
+    out = trailing_time_max(tel, ["car_id"], "ts", 6 * CAR_EVICT_SEC * SECOND_US, "speed", ["seq", "speed"], ["seq"])
     return out.select("car_id", "seq", "top_seq", "top_speed")
 
 
@@ -311,9 +311,9 @@ def delta_trigger_rise(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOP_FIELDS = ["seq", "speed", "distance", "ts"]
 
 
-def _trailing(odo: DataFrame, tel: DataFrame, strategy: str = "auto") -> DataFrame:
+def _trailing(odo: DataFrame, tel: DataFrame) -> DataFrame:
     return trailing_time_max(odo, ["car_id"], "ts", CAR_EVICT_SEC * SECOND_US, "speed", TOP_FIELDS, ["seq"],
-                             block_source=tel, strategy=strategy)
+                             block_source=tel)
 
 
 def trailing_time_max_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,10 +323,10 @@ def trailing_time_max_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trailing_time_max_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same through the linear pane plan (chosen automatically for dense
-    spans)."""
+    """Every car record with the fastest one of its trailing day (dense spans)."""
     tel = telemetry(spark, sf_dir)
-    return as_ntz(_trailing(materialize(with_odometer(tel)), tel, "panes"))
+    out = trailing_time_max(tel, ["car_id"], "ts", 24 * CAR_EVICT_SEC * SECOND_US, "speed", ["seq", "speed"], ["seq"])
+    return out.select("car_id", "seq", "top_seq", "top_speed")
 
 
 def top_speed(spark: SparkSession, sf_dir: str) -> DataFrame:

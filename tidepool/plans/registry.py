@@ -107,7 +107,6 @@ EQUIVALENTS = {
     "stream_word_count_rolling": "word_count_rolling",
     "stream_json_english_word_count": "json_english_word_count",
     "sink_tuple_text": "word_count",
-    "trailing_time_max_panes": "trailing_time_max",
     "parse_telemetry_text": "parse_telemetry",
     "delta_trigger_fires_sequential": "delta_trigger_fires",
     "stream_top_speed": "top_speed",
