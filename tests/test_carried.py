@@ -94,3 +94,21 @@ def test_user_functions(spark):
     assert [r.n for r in map_records(df, lambda p: p[["seq"]].assign(n=p["seq"] * 2), "seq long, n long").orderBy("seq").collect()] == [0, 2, 4, 6]
     with pytest.raises(Exception, match="one record for every record"):
         map_records(df.coalesce(1), lambda p: p[:1][["seq"]], "seq long").collect()
+
+
+def test_lines_of_streamed_files_are_numbered(spark):
+    from tidepool.sources.records import numbered_lines
+
+    df = from_tuples(spark, [(f"line {i}",) for i in range(500)], "text string")
+    out = scratch_path(spark, "t-lines")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        replay(df, F.col("seq"), 2, lambda s: s.writeStream.foreachBatch(lambda b, i: numbered_lines(b).write.mode("overwrite").parquet(f"{out}/batch_id={i}")),
+               "t-lines", lines=("text", "seq"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    rows = spark.read.parquet(out).orderBy("batch_id", "line_no").collect()
+    assert [r.line for r in rows] == [f"line {i}" for i in range(500)] and [r.line_no for r in rows] == [*range(250), *range(250)]
+    assert len({(r.batch_id, r.line_start) for r in rows}) > 4

@@ -289,3 +289,9 @@ SELECT o.car_id, o.seq, x.top_seq, x.top_speed FROM o, LATERAL (
   SELECT o2.seq AS top_seq, o2.speed AS top_speed FROM o o2
   WHERE o2.car_id = o.car_id AND o2.t > o.t - 86400000000 AND (o2.t < o.t OR (o2.t = o.t AND o2.seq <= o.seq))
   ORDER BY o2.speed DESC, o2.t, o2.seq LIMIT 1) x"""
+
+# The car lines carry whole km/h and milliseconds.
+_CAR_LINES = "(SELECT event_id, make_timestamp(epoch_us(ts) // 1000 * 1000) AS ts, user_id, floor(value) AS value FROM events)"
+ORACLE["stream_top_speed_text"] = f"""WITH RECURSIVE {_ODO.replace("FROM events", f"FROM {_CAR_LINES}")}, {_FIRES}, {_TRAILING}
+SELECT tr.car_id, f.ts AS fire_ts, tr.top_speed, tr.top_ts, tr.top_distance
+FROM tr JOIN fires f ON tr.car_id = f.car_id AND tr.seq = f.seq"""

@@ -79,6 +79,7 @@ def queries() -> dict[str, Query]:
         "stream_word_count_rolling": S.stream_word_count_rolling,
         "stream_json_english_word_count": S.stream_json_english_word_count,
         "stream_top_speed": S.stream_top_speed,
+        "stream_top_speed_text": S.stream_top_speed_text,
         "stream_count_window_sum_events": S.stream_count_window_sum_events,
         "stream_rolling_reduce": S.stream_rolling_reduce,
         "stream_sliding_reduce": S.stream_sliding_reduce,

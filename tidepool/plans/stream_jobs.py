@@ -18,7 +18,7 @@ from ..streaming.carried import (count_value_batches, merge_panes, pane_reduce_b
 from ..streaming.counts import count_window_batches
 from ..streaming.replay import replay, sentinel_row
 from ..streaming.windows import stream_session_agg, stream_sliding_agg
-from ..sources.records import telemetry_from_events
+from ..sources.records import numbered_lines, parse_telemetry, telemetry_from_events, telemetry_lines
 from ..sources.tables import read_table
 from .event_jobs import CAR_EVICT_SEC, SECOND_US, TRIGGER_CENTI, as_ntz, cents, events, from_cents
 
@@ -189,6 +189,29 @@ def stream_top_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
                              centi_kmh_seconds_to_metres(F.col("top_dist_c")).alias("top_distance"), "top_ts"))
 
 
+LINES_PER_BATCH = 1 << 40     # ordinals of a batch's lines stay below
+
+
+def stream_top_speed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The car job from text files: lines streamed file by file, parsed and
+    numbered in each micro-batch, then top speed with what it carries (whole
+    km/h and milliseconds, as the lines have them)."""
+    lines = telemetry_lines(read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"]))
+    sink = scratch_path(spark, "topspeedtext-out")
+    top = top_speed_batches("car_id", "ts", "seq", "speed_c", "speed", TRIGGER_CENTI, CAR_EVICT_SEC * SECOND_US,
+                            scratch_path(spark, "topspeedtext-state"), _batch_sink(sink), fire_ts=True)
+
+    def parsed(batch: DataFrame, batch_id: int) -> None:
+        rows = parse_telemetry(numbered_lines(batch))
+        seq = F.col("line_no") + F.lit(batch_id * LINES_PER_BATCH)
+        top(rows.select("car_id", "ts", seq.alias("seq"), F.col("speed").cast("double").alias("speed"),
+                        (F.col("speed") * 100).cast("long").alias("speed_c")), batch_id)
+
+    replay(lines, F.col("seq"), N_SLICES, lambda stream: stream.writeStream.foreachBatch(parsed), "topspeedtext", lines=("line", "seq"))
+    out = spark.read.parquet(sink)
+    return as_ntz(out.select("car_id", "fire_ts", "top_speed", "top_ts", centi_kmh_seconds_to_metres(F.col("top_dist_c")).alias("top_distance")))
+
+
 def stream_count_window_sum_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count window 10 / 5 per user summing a value, on a replayed event stream."""
     ev = events(spark, sf_dir, ("event_id", "ts", "user_id", "value"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,16 +27,19 @@ def from_tuples(spark: SparkSession, rows: Iterable[tuple], schema: str) -> Data
     return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "seq long, " + schema)
 
 
-def text_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def text_lines(spark: SparkSession, path: str, streaming: bool = False, files_per_batch: int | None = None) -> DataFrame:
     """One record per line: ``(file, line_start, line_no, line)``.
 
     Batch: the order key ``(file, line_start, line_no)`` is the line order
     inside each file (``line_no`` increases within a split; splits of a file
     are ordered by their start offset).  Streaming: new files arrive in
-    micro-batches; Spark offers no per-line id on streams, so only
-    ``(file, line_start)`` is given (``line_no`` is NULL).
+    micro-batches (at most ``files_per_batch`` each); Spark offers no per-line
+    id on streams, so only ``(file, line_start)`` is given (``line_no`` is NULL);
+    :func:`numbered_lines` orders the lines of a micro-batch.
     """
     reader = spark.readStream if streaming else spark.read
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     line_no = F.lit(None).cast("long") if streaming else F.monotonically_increasing_id()
     return reader.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -46,6 +49,20 @@ def text_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataF
     )
 
 
+def numbered_lines(batch: DataFrame, name: str = "line_no") -> DataFrame:
+    """A micro-batch of streamed ``text_lines`` with the ordinal of each line (0,
+    1, ...) in the order of files, splits and lines.
+
+    Lines are numbered within their split as they are read; the splits' sizes
+    (one row per split) give the rest."""
+    rows = batch.drop("line_no").withColumn("_at", F.monotonically_increasing_id())
+    splits = rows.groupBy("file", "line_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(Window.orderBy("file", "line_start").rowsBetween(Window.unboundedPreceding, -1))
+    starts = splits.select("file", "line_start", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    joined = rows.join(starts, ["file", "line_start"])
+    return joined.select("file", "line_start", (F.col("_before") + F.col("_at") - F.col("_first")).cast("long").alias(name), "line")
+
+
 def json_records(documents: DataFrame) -> DataFrame:
     """Tweet-shaped JSON records built from ``documents``:
     ``{"text": ..., "user": {"lang": ...}}`` keyed by ``doc_id``."""

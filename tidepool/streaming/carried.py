@@ -128,8 +128,9 @@ def merge_panes(parts: DataFrame, keys: Sequence[str], size_us: int, slide_us: i
 
 
 def top_speed_batches(key: str, ts: str, seq: str, speed_centi: str, speed: str, threshold: int, span_us: int,
-                      state: str, sink: Sink) -> Callable[[DataFrame, int], None]:
-    """Top speed per fire ``(key, fire_seq, top_seq, top_speed, top_dist_c, top_ts)``.
+                      state: str, sink: Sink, fire_ts: bool = False) -> Callable[[DataFrame, int], None]:
+    """Top speed per fire ``(key, fire_seq, top_seq, top_speed, top_dist_c, top_ts)``,
+    with ``fire_ts`` also the time of the firing record.
     Carried: a key's records of the last span, its odometer with them, and
     the reference point of its trigger."""
     order = [ts, seq]
@@ -152,6 +153,9 @@ def top_speed_batches(key: str, ts: str, seq: str, speed_centi: str, speed: str,
                                [seq, "speed", "dist_c", ts], full_rows=False)
         out = tops.select(key, F.col(seq).alias("fire_seq"), F.col(f"top_{seq}").alias("top_seq"), "top_speed", "top_dist_c",
                           F.col(f"top_{ts}").alias("top_ts"))
+        if fire_ts:
+            at_fire = fires.select(F.col(key).alias("_k"), F.col(seq).alias("_s"), F.col(ts).alias("fire_ts"))
+            out = out.join(at_fire, F.col(key).eqNullSafe(F.col("_k")) & (F.col("fire_seq") == F.col("_s"))).drop("_k", "_s")
         # the last fire is the reference; before any, the first record of the key
         last = fires.groupBy(F.col(key).alias("_fk")).agg(F.max_by("dist_c", F.struct(*order)).alias("_fired"))
         ends = odo.groupBy(F.col(key).alias("_k")).agg(F.max(ts).alias("_latest"), F.max("_ref").alias("_old"),

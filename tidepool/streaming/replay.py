@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..session import scratch_path
+from ..sources.records import text_lines
 
 
 def slice_index(df: DataFrame, value: Column, n_slices: int) -> Column:
@@ -43,9 +44,13 @@ def sentinel_row(df: DataFrame, ts: str, ahead: str) -> DataFrame:
 
 def replay(df: DataFrame, slice_value: Column, n_slices: int,
            build: Callable[[DataFrame], DataStreamWriter], label: str,
-           sentinel: DataFrame | None = None, slice_order: list[int] | None = None) -> list:
+           sentinel: DataFrame | None = None, slice_order: list[int] | None = None,
+           lines: tuple[str, str] | None = None) -> list:
     """Run ``build(stream)`` over ``df`` replayed in ``n_slices`` slices.
 
+    With ``lines = (column, order)`` the slices are text files of that column's
+    values, one line each in ``order``, and ``build`` gets ``text_lines`` of them.
+
     Returns the progress reports of every micro-batch.
     """
     spark = df.sparkSession
@@ -55,7 +60,11 @@ def replay(df: DataFrame, slice_value: Column, n_slices: int,
     slices = spark.read.schema(schema).parquet(staged)
 
     def append(rows: DataFrame) -> None:
-        rows.coalesce(1).write.mode("append").parquet(src)
+        one = rows.coalesce(1)
+        if lines is None:
+            one.write.mode("append").parquet(src)
+        else:
+            one.sortWithinPartitions(lines[1]).select(lines[0]).write.mode("append").text(src)
 
     for k in (slice_order if slice_order is not None else range(n_slices)):
         append(slices.where(F.col("_slice") == k).drop("_slice"))
@@ -64,7 +73,10 @@ def replay(df: DataFrame, slice_value: Column, n_slices: int,
         # are evicted by the next batch, so the sentinel is sent twice.
         append(sentinel)
         append(sentinel)
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    if lines is None:
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    else:
+        stream = text_lines(spark, src, streaming=True, files_per_batch=1)
     q = build(stream).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
     return list(q.recentProgress)
