@@ -5,7 +5,11 @@ all letters of any script (everything else is a gap), hashed to ``WIDTH``
 features.  The kernel of two texts is their common n-grams over the
 geometric mean of their numbers.  Landmark texts give Nystroem features;
 one-versus-rest kernel ridge regression on them gives one weight column per
-language, so a batch of texts is scored by two matrix products.
+language.  Landmarks stay sparse (lists of the landmarks that hold an n-gram);
+as the kernel is a product of presences, ``(X M') W`` is ``X (M' W)``: the right
+factor, a row per n-gram of the landmarks and a column per language, is
+multiplied once, and a batch of texts is scored by products of its presences
+with the rows that occur in it.
 
 Training uses a bounded sample (``PER_LANG`` texts of every language present,
 ``LANDMARKS`` of them as landmarks); every text is scored whole.
@@ -13,6 +17,8 @@ Training uses a bounded sample (``PER_LANG`` texts of every language present,
 
 from __future__ import annotations
 
+import functools
+import sys
 from collections import Counter
 
 import numpy as np
@@ -28,6 +34,8 @@ PER_LANG, LANDMARKS = 300, 24
 RIDGE, BATCH = 1e-3, 32
 #: n-grams are hashed to so many features.
 WIDTH = 1 << 20
+#: n-grams of a batch that one product takes.
+COLUMNS = 4096
 UNKNOWN = "und"
 RESULT = "struct<lang_pred:string,score:double>"
 
@@ -45,29 +53,49 @@ class Alphabet:
 
     def symbols(self, text: str) -> np.ndarray:
         p = _points(text)
-        known, at = np.unique(p, return_inverse=True)
-        ok = np.array([chr(c).isalpha() for c in known], bool) | np.isin(known, self.letters)
-        return np.where(ok, known, 0).astype(np.uint64)[at.reshape(-1)]
+        ok = _letters()[p]
+        if len(self.letters):
+            ok |= np.isin(p, self.letters)
+        return np.where(ok, p, 0).astype(np.uint64)
 
-    def flags(self, text: str) -> np.ndarray | None:
-        """Presence of every n-gram (runs of gaps are one); None: no letter."""
+    def grams(self, text: str) -> np.ndarray | None:
+        """The numbers of the n-grams that occur, each once (runs of gaps are
+        one); None: no letter.  Time and memory are linear in the text."""
         s = self.symbols(text)
         if not s.any():
             return None
         s = np.concatenate([[U64(0)], s, [U64(0)]])
         s = s[np.concatenate([[True], (s[1:] != 0) | (s[:-1] != 0)])]
-        out = np.zeros(WIDTH, bool)
         # Code points have 21 bits; a lone gap (0) is no n-gram.
         two = (s[:-1] << U64(21)) | s[1:]
         three = (two[:-1] << U64(21)) | s[2:]
-        for n, grams in enumerate((s[s != 0], two, three), 1):
-            out[mix(grams ^ SLOT[n]) % U64(WIDTH)] = True
+        every = np.concatenate([mix(g ^ SLOT[n]) for n, g in enumerate((s[s != 0], two, three), 1)])
+        every = (every % U64(WIDTH)).astype(np.int32)
+        # Of equal numbers the place written last stays; older marks need no clearing.
+        at = np.arange(len(every), dtype=np.int32)
+        last = _last_place()
+        last[every] = at
+        return every[last[every] == at]
+
+    def flags(self, text: str) -> np.ndarray | None:
+        """Presence of every n-gram, as ``WIDTH`` flags."""
+        g = self.grams(text)
+        if g is None:
+            return None
+        out = np.zeros(WIDTH, bool)
+        out[g] = True
         return out
 
-    def grams(self, text: str) -> np.ndarray | None:
-        """The numbers of the n-grams that occur."""
-        f = self.flags(text)
-        return None if f is None else np.flatnonzero(f).astype(np.int32)
+
+@functools.cache
+def _last_place() -> np.ndarray:
+    return np.zeros(WIDTH, np.int32)
+
+
+@functools.cache
+def _letters() -> np.ndarray:
+    """Whether a code point is a letter."""
+    return np.array([chr(c).isalpha() for c in range(sys.maxunicode + 1)], bool)
 
 
 class Model:
@@ -85,35 +113,62 @@ class Model:
             taken[g] += 1
             if taken[g] <= LANDMARKS:
                 marks.append(i)
-        self.vocab = np.unique(np.concatenate([rows[i][0] for i in marks]))
-        self.marks = self.dense([rows[i][0] for i in marks])
-        self.marks /= np.sqrt(np.array([len(rows[i][0]) for i in marks], np.float32))[:, None]
-        k = self.kernel([f for f, _ in rows]).astype(np.float64)
-        value, vector = np.linalg.eigh(k[marks])
+        held = np.concatenate([rows[i][0] for i in marks])
+        owner = np.repeat(np.arange(len(marks), dtype=np.int32), [len(rows[i][0]) for i in marks])
+        order = np.argsort(held, kind="stable")
+        self.vocab, first = np.unique(held[order], return_index=True)
+        self.holders, self.first = owner[order], np.append(first, len(held))
+        self.norm = np.sqrt(np.array([len(rows[i][0]) for i in marks], np.float64))
+        value, vector = np.linalg.eigh(self.kernel([rows[i][0] for i in marks]))
         keep = value > 1e-8 * value[-1]
         root = vector[:, keep] / np.sqrt(value[keep])
-        z = k @ root
-        y = np.array([[1.0 if g == x else -1.0 for x in self.langs] for _, g in rows])
         size = Counter(g for _, g in rows)
-        share = np.array([1.0 / size[g] for _, g in rows])[:, None]
-        share /= share.mean()
-        beta = np.linalg.solve(z.T @ (share * z) + RIDGE * len(rows) * np.eye(z.shape[1]), z.T @ (share * y))
-        self.weights = (root @ beta).astype(np.float32)
-
-    def dense(self, grams: list[np.ndarray]) -> np.ndarray:
-        """Presence of the landmarks' n-grams, a row per text."""
-        out = np.zeros((len(grams), len(self.vocab)), np.float32)
-        for row, g in zip(out, grams, strict=True):
-            at = np.minimum(np.searchsorted(self.vocab, g), len(self.vocab) - 1)
-            row[at[self.vocab[at] == g]] = 1.0
-        return out
+        mean = len(size) / len(rows)
+        left, right = np.zeros((root.shape[1],) * 2), np.zeros((root.shape[1], len(self.langs)))
+        for i in range(0, len(rows), BATCH):
+            part = rows[i : i + BATCH]
+            z = self.kernel([f for f, _ in part]) @ root
+            y = np.array([[1.0 if g == x else -1.0 for x in self.langs] for _, g in part])
+            weighed = z * np.array([1.0 / (size[g] * mean) for _, g in part])[:, None]
+            left += weighed.T @ z
+            right += weighed.T @ y
+        beta = np.linalg.solve(left + RIDGE * len(rows) * np.eye(len(left)), right)
+        # A row per n-gram of the landmarks: the weights of its holders, summed.
+        of_mark = (root @ beta) / self.norm[:, None]
+        self.weights = np.empty((len(self.vocab), len(self.langs)), np.float32)
+        for c in range(len(self.langs)):
+            self.weights[:, c] = np.add.reduceat(of_mark[self.holders, c], self.first[:-1])
+        del self.holders, self.first
+
+    def known(self, grams: np.ndarray) -> np.ndarray:
+        """The places in the vocabulary of the n-grams that landmarks hold."""
+        at = np.minimum(np.searchsorted(self.vocab, grams), len(self.vocab) - 1)
+        return at[self.vocab[at] == grams]
 
     def kernel(self, grams: list[np.ndarray]) -> np.ndarray:
-        out = [np.zeros((0, len(self.marks)), np.float32)]
-        for i in range(0, len(grams), BATCH):
-            part = grams[i : i + BATCH]
-            out.append((self.dense(part) @ self.marks.T) / np.sqrt(np.array([len(g) for g in part], np.float32))[:, None])
-        return np.concatenate(out)
+        """Kernel of texts and landmarks, from the lists of holders."""
+        out = np.zeros((len(grams), len(self.norm)))
+        for row, g in zip(out, grams, strict=True):
+            at = self.known(g)
+            start, many = self.first[at], self.first[at + 1] - self.first[at]
+            lists = np.repeat(start - np.cumsum(many) + many, many) + np.arange(many.sum())
+            row[:] = np.bincount(self.holders[lists], minlength=len(row)) / np.sqrt(len(g))
+        return out / self.norm
+
+    def products(self, grams: list[np.ndarray]) -> np.ndarray:
+        """Kernel times weights, over the n-grams of the batch in blocks of columns."""
+        own = [self.known(g) for g in grams]
+        text = np.repeat(np.arange(len(own)), [len(a) for a in own])
+        held, at = np.unique(np.concatenate(own), return_inverse=True)
+        order = np.argsort(at, kind="stable")
+        text, at = text[order], at[order]
+        out = np.zeros((len(grams), len(self.langs)), np.float32)
+        for b in range(0, len(held), COLUMNS):
+            lo, hi = np.searchsorted(at, [b, b + COLUMNS])
+            there = np.zeros((len(grams), min(COLUMNS, len(held) - b)), np.float32)
+            there[text[lo:hi], at[lo:hi] - b] = 1.0
+            out += there @ self.weights[held[b : b + COLUMNS]]
+        return out / np.sqrt(np.array([len(g) for g in grams], np.float32))[:, None]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
@@ -123,7 +178,7 @@ class Model:
             part = [(n, f) for n in range(i, min(i + BATCH, len(texts))) if texts[n] and (f := self.alphabet.grams(texts[n])) is not None]
             if not part:
                 continue
-            out = self.kernel([f for _, f in part]) @ self.weights
+            out = self.products([f for _, f in part])
             p = np.clip((out + 1.0) / 2.0, 1e-6, 1.0)
             p /= p.sum(axis=1, keepdims=True)
             for (n, _), row in zip(part, p, strict=True):
