@@ -142,3 +142,38 @@ def test_vectors_odd_rows(spark, monkeypatch, n):
 
     table = pa.table({"vec_id": pa.array([i for i, _ in rows], pa.int64()), "embedding": pa.array([v for _, v in rows], pa.list_(pa.float32()))})
     assert got == (duck(sql.OP4, embeddings=table) if n else [])
+
+
+def test_routes_of_clusters_and_large_scores(spark, monkeypatch):
+    """Tight clusters: most pairs of blocks are ruled out, and the results stay exact."""
+    monkeypatch.setattr(V, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(V, "DATA_BLOCK", 64)
+    rng = np.random.default_rng(7)
+    centre = rng.normal(size=(20, 16))
+    centre /= np.sqrt((centre**2).sum(axis=1, keepdims=True))
+    x = 60000 * (centre[np.arange(2000) % 20] + 0.01 * rng.normal(size=(2000, 16))).clip(-1, 1)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(5000, [1e9] + [0.0] * 15), (5050, [1.0] * 3)]
+    seen, whole = [], V.routes
+
+    def counted(queries, data, *more):
+        out = whole(queries, data, *more)
+        seen.append((out.select("qb", "block").distinct().count(), queries.select("qb").distinct().count() * data.select("block").distinct().count()))
+        return out
+
+    monkeypatch.setattr(V, "routes", counted)
+    got = V.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i % 50 == 0).collect()
+    v = np.floor(256 * x).astype(np.int64)
+    score = v @ v.T
+    want = []
+    for q in range(0, 2000, 50):
+        best = sorted((i for i in range(2000) if i != q), key=lambda i: (-score[q, i], i))[:5]
+        want += [(q, n, i, score[q, i]) for n, i in enumerate(best, 1)]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == want
+    print("pairs of blocks", seen)
+    assert seen[0][0] <= 0.4 * seen[0][1]
+
+
+def test_exact_products_of_large_components():
+    rng = np.random.default_rng(3)
+    q, x = rng.integers(-(2**24), 2**24, (5, 64)), rng.integers(-(2**24), 2**24, (9, 64))
+    assert np.array_equal(V.products(q.astype("<i4"), x.astype("<i4")), [[sum(int(a) * int(b) for a, b in zip(u, w, strict=True)) for w in x] for u in q])
