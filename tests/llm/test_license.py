@@ -31,3 +31,17 @@ def test_held_out_notices(spark):
     assert got[None].n_paragraphs == got[""].n_paragraphs == 0
     assert L.license_scan(table.limit(0), name="x").count() == 0
     assert L.license_scan(table, name="x").count() == len(new) + 2
+
+
+def test_negatives_do_not_depend_on_batches(spark):
+    words = "alpha beta gamma delta".split()
+    rows = [("\n".join(f"{words[j % 4]} {i} {j}" for j in range(i % 9)),) for i in range(60)] + [(None,), ("",), ("same line\nsame line",)] * 2
+    docs = spark.createDataFrame(rows, "text string")
+    want = [w.tolist() for w in L.negatives(docs, sample_docs=1000)]
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+        assert [w.tolist() for w in L.negatives(docs.repartition(5), sample_docs=1000)] == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    assert len(want) == sum(min(len(set(t.splitlines())), L.PARAGRAPHS) for t in {t for t, in rows if t})

@@ -9,7 +9,7 @@ fitted on held-out paragraphs calibrates it.  A paragraph that is a license but
 whose family stays under ``CERTAIN``, or that no template of the family confirms by
 shared 3-grams, is ``unknown``.
 
-Training sees a bounded sample (``SAMPLE_DOCS`` documents); every paragraph of
+Training sees a bounded sample (``PARAGRAPHS`` of each of ``SAMPLE_DOCS`` texts); every paragraph of
 every document is classified, without a shuffle.
 """
 
@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import apply_recommended_conf
-from .textvec import NOT_ALNUM, U64, combine, list_column, text_blocks, words
+from .textvec import NOT_ALNUM, U64, combine, list_column, mix, text_blocks, words
 
-SAMPLE_DOCS, CERTAIN, CONFIRMED = 1500, 0.5, 0.5
+SAMPLE_DOCS, PARAGRAPHS = 1500, 4          # paragraphs of a sampled document
+CERTAIN, CONFIRMED = 0.5, 0.5
 NONE, UNKNOWN = "none", "unknown"
 RESULT = "struct<license:string,families:array<string>,n_paragraphs:bigint,n_license:bigint,probability:double,similarity:double>"
 
@@ -245,23 +246,38 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Classifier:
-    """Classifier with the paragraphs of a bounded sample as negatives; sampled
-    paragraphs that share three words in a row with a template are left out."""
+def negatives(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS, per_doc: int = PARAGRAPHS) -> list[np.ndarray]:
+    """Word hashes of paragraphs of ``sample_docs`` texts: of every one the
+    ``per_doc`` distinct paragraphs of smallest hash, whatever its length and
+    however the rows lie in partitions and batches."""
     def run(batches):
         for b in batches:
-            rows = []
-            for _, _, _, head, h in paragraphs(b.column(0)):
+            at, rows = [], []
+            for first, _, doc, head, h in paragraphs(b.column(0)):
+                if not len(head):
+                    continue
                 end = np.append(head, len(h))
-                rows += [h[end[i] : end[i + 1]].view(np.int64) for i in range(len(head))]
-            keep = rows if len(rows) <= 4 * b.num_rows else [rows[i] for i in np.linspace(0, len(rows) - 1, 4 * b.num_rows).astype(int)]
-            yield pa.RecordBatch.from_arrays([list_column(keep, pa.int64())], names=["words"])
+                key = mix(np.add.reduceat(mix(h + np.arange(len(h), dtype=U64) - np.repeat(head, np.diff(end)).astype(U64)), head))
+                order = np.lexsort((key, doc))
+                new = np.concatenate([[True], (np.diff(key[order]) != 0) | (np.diff(doc[order]) != 0)])
+                order = order[new]
+                start = np.searchsorted(doc[order], doc[order])
+                for i in order[np.arange(len(order)) - start < per_doc]:
+                    at.append(first + int(doc[i]))
+                    rows.append(h[end[i] : end[i + 1]].view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(1).take(pa.array(at, pa.int64())), list_column(rows, pa.int64())], names=["h", "words"])
 
     picked = docs.select(F.xxhash64(text_col).alias("h")).distinct().orderBy("h").limit(sample_docs)
     texts = docs.withColumn("__h", F.xxhash64(text_col)).join(F.broadcast(picked), F.col("__h") == F.col("h")).select(F.col(text_col).alias("text"), "h")
-    texts = texts.dropDuplicates(["h"]).orderBy("h").select("text").coalesce(1)
-    rows = texts.mapInArrow(run, "words array<long>").toArrow().column("words").to_pylist()
-    return Classifier([np.array(r, np.int64).view(U64) for r in rows])
+    found = texts.dropDuplicates(["h"]).mapInArrow(run, "h long, words array<long>").toArrow()
+    rows = sorted(zip(found.column("h").to_pylist(), found.column("words").to_pylist(), strict=True))
+    return [np.array(w, np.int64).view(U64) for _, w in rows]
+
+
+def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Classifier:
+    """Classifier with the paragraphs of a bounded sample as negatives; sampled
+    paragraphs that share three words in a row with a template are left out."""
+    return Classifier(negatives(docs, text_col, sample_docs))
 
 
 def _scan_udf(shared):
