@@ -17,7 +17,7 @@ FROM d LEFT JOIN g USING (r)
 """
 
 OP5 = r"""
-WITH d AS (SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '')) AS turn,
+WITH d AS (SELECT doc_id, source, md5(concat_ws(':', doc_id::VARCHAR, md5(text))) AS turn,
                   coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 p AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nth FROM d GROUP BY source),
 w AS (SELECT source, source_size, CASE nth % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END::BIGINT AS weight, 2 * source_size AS cap FROM p),

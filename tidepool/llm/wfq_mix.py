@@ -1,7 +1,7 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Every document waits in its source's queue, in a shuffled order (md5 of its
-id), and gets a virtual finish time: the source's words up to and including it
+id and text), and gets a virtual finish time: the source's words up to and including it
 divided by the source's target.  The queue is gone through again for the second
 copy of its documents.  All queues together, in order of finish time, are
 taken until the total budget is used up.
@@ -66,8 +66,11 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     """
     spark = docs.sparkSession
     apply_recommended_conf(spark)
+    # The text is in the turn too: rows of a null or repeated id do not share a place.
+    text = F.col("text").cast("string").cast("binary")
+    turn = F.concat_ws(":", F.col("doc_id").cast("string"), F.md5(text))
     sized = written(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), text_size("text").alias("size"),
-                                F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("turn")), "sizes")
+                                F.md5(turn.cast("binary")).alias("turn")), "sizes")
     targets = source_targets(sized, weights, share, repeats)
     blocks = max(1, min(1 << 28, sized.count() // (rows_per_block or ROWS_PER_BLOCK)))
 
