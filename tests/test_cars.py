@@ -160,3 +160,33 @@ def test_delta_references_are_exact_integers(spark, n_blocks):
     for threshold, want in ((0, [1, 2, 3, 4, 5]), (1.5, [2, 4])):
         out = delta_trigger_fires(df, ["key"], "ts", "seq", "d", threshold, n_blocks=n_blocks)
         assert sorted(r.seq for r in out.collect()) == want
+
+
+def test_trailing_max_at_work_is_linear(spark):
+    """Points never meet the records of their span in pairs (a join)."""
+    from tidepool.operators.trailing import trailing_max_at
+
+    df = from_tuples(spark, [(0, 0, 3)] * 50, "car_id int, t long, speed int").withColumn("ts", F.timestamp_micros("t"))
+    out = trailing_max_at(df, df, ["car_id"], "ts", "seq", 100, "speed", ["seq", "speed"], full_rows=False)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.top_seq for r in out.collect()} == {0}
+
+
+def test_trailing_max_at_odd_rows(spark):
+    from tidepool.operators.trailing import trailing_max_at
+
+    rnd = random.Random(4)
+    some = lambda v: None if rnd.random() < 0.1 else v
+    recs = [(some(rnd.randrange(2)), some(i // 2), some(rnd.randrange(-40, 40)), some(rnd.randrange(5))) for i in range(300)]
+    df = spark.createDataFrame(recs, "car int, seq long, t long, v int").withColumn("ts", F.timestamp_micros("t"))
+    points = df.where("v = 3 or v is null")
+    got = trailing_max_at(points, df, ["car"], "ts", "seq", 15, "v", ["t", "v"], full_rows=False)
+    want = {}
+    for car, seq, t, v in recs:
+        if t is None or not (v == 3 or v is None):
+            continue
+        for c, s, u, x in recs:
+            if c == car and u is not None and t - 15 < u and (u < t or (u == t and None not in (s, seq) and s <= seq)):
+                rank = ((0, 0) if x is None else (1, x), -u, (0, 0) if s is None else (1, -s))
+                want[car, seq] = max(want.get((car, seq), (rank, u, x)), (rank, u, x), key=lambda r: r[0])
+    assert {((r.car, r.seq), r.top_t, r.top_v) for r in got.collect()} == {(k, u, x) for k, (_, u, x) in want.items()}

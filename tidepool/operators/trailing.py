@@ -136,33 +136,45 @@ def trailing_max_at(points: DataFrame, records: DataFrame, keys: Sequence[str],
     among ``records`` of the same key that arrived no later (``(ts, seq)``
     order) within ``(ts - span, ts]`` (earliest on ties).
 
-    A range join bucketed by ``span``: each point looks into its own and the
-    previous bucket, so a point meets only the records of one span, and the
-    join key ``(key, bucket)`` spreads a hot key over its time range.  The
-    work is ``points × records per span`` -- for delta-trigger fires at most
-    (distance per span / threshold + 1) points share a span, whatever the
-    sampling rate, where a per-record RANGE frame costs ``records ×
-    records per span``.  Equal timestamps are ordered by ``seq`` exactly.
+    Linear in both, however many records a span holds.  With panes of width
+    ``span``, the span of a point in pane ``P`` is the part of pane ``P`` up to
+    the point (in ``(ts, seq)`` order) and the part of pane ``P - 1`` later than
+    ``ts - span``.  Each point is sent into both panes and sorted among their
+    records; a running maximum in ascending order answers it in the one, in
+    descending order in the other.  Records cross one exchange on ``(key,
+    pane)``, which spreads a hot key over its time range; the better of a
+    point's two answers takes an exchange of the points alone.
     With ``full_rows=False`` only ``(keys..., seq, prefix + fields...)`` come
     back, for points that are records themselves (each then has a maximum),
     and ``points`` is read once.
     """
     keys = list(keys)
     t_us = F.unix_micros(F.col(ts).cast("timestamp"))
-
-    def bucket(c: str) -> Column:
-        return F.floor(F.col(c) / F.lit(span_us)).cast("long")
-
-    pts = points.select(*keys, F.col(seq).alias("_pseq"), t_us.alias("_pt")).withColumn(
-        "_b", F.explode(F.array(bucket("_pt"), bucket("_pt") - 1)))
-    rec_cols = list(dict.fromkeys([*fields, value, ts, seq]))
-    recs = records.select(*keys, *[F.col(c).alias(f"_r_{c}") for c in rec_cols], t_us.alias("_rt")) \
-        .withColumn("_b", bucket("_rt"))
-    pairs = null_safe_join(pts, recs, [*keys, "_b"]).where(
-        (F.col("_rt") > F.col("_pt") - F.lit(span_us)) & (F.col("_rt") <= F.col("_pt"))
-        & ((F.col("_rt") < F.col("_pt")) | (F.col(f"_r_{seq}") <= F.col("_pseq"))))
-    order = F.struct(F.col(f"_r_{value}"), F.negative(F.col("_rt")), F.negative(F.col(f"_r_{seq}")))
-    best = pairs.groupBy(*keys, "_pseq").agg(
-        F.max_by(F.struct(*[F.col(f"_r_{c}").alias(c) for c in fields]), order).alias("_top"))
+    rec_cols = list(dict.fromkeys([*fields, value, seq]))
+    rec = F.struct(*[F.col(c) for c in rec_cols])
+    at = F.col("_at")
+
+    def pane(c: Column) -> Column:
+        return F.floor(c / F.lit(span_us)).cast("long")
+
+    recs = records.select(*keys, F.col(seq).alias("_s"), t_us.alias("_at"), F.lit(0).alias("_q"), rec.alias("_r"))
+    recs = recs.where(at.isNotNull()).withColumn("_p", pane(at))
+    # 1 looks up to itself, 2 looks beyond ``ts - span`` of the pane before
+    asks = points.select(*keys, F.col(seq).alias("_s"), t_us.alias("_t")).where(F.col("_t").isNotNull())
+    asks = asks.withColumn("_a", F.explode(F.array(
+        F.struct(F.col("_t").alias("_at"), F.lit(1).alias("_q")),
+        F.struct((F.col("_t") - F.lit(span_us)).alias("_at"), F.lit(2).alias("_q"))))).select(*keys, "_s", "_a.*")
+    both = recs.unionByName(asks.withColumn("_p", pane(at)), allowMissingColumns=True)
+    # at one time: a record without ``seq`` is never seen, a point without one sees none
+    unknown = F.when(F.col("_q") == 0, F.lit(2)).otherwise(F.lit(0))
+    rank = F.when(F.col("_s").isNull(), unknown).otherwise(F.lit(1))
+    order = F.when(F.col("_q") == 0, F.struct(F.col(f"_r.{value}").alias("v"), F.negative(at).alias("t"), F.negative(F.col("_s")).alias("s")))
+    w = Window.partitionBy(*keys, "_p")
+    up = w.orderBy(at, rank, "_s", "_q").rowsBetween(Window.unboundedPreceding, 0)
+    down = w.orderBy(at.desc(), F.col("_q").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    best = F.max_by(F.struct(order.alias("o"), F.col("_r").alias("r")), order)
+    seen = both.withColumn("_up", best.over(up)).withColumn("_down", best.over(down)).where(F.col("_q") > 0)
+    found = seen.select(*keys, F.col("_s").alias("_pseq"), F.when(F.col("_q") == 1, F.col("_up")).otherwise(F.col("_down")).alias("_b"))
+    best = found.where(F.col("_b").isNotNull()).groupBy(*keys, "_pseq").agg(F.max_by("_b.r", "_b.o").alias("_top"))
     tops = best.select(*keys, F.col("_pseq").alias(seq), *[F.col(f"_top.{c}").alias(prefix + c) for c in fields])
     return null_safe_join(points, tops, [*keys, seq]) if full_rows else tops
