@@ -107,3 +107,23 @@ def test_session_fields_are_of_the_first_arrived_record(spark):
         out = session_windows(df, ["key"], "ts", 60 * 10**6, {"n": F.count(F.lit(1))}, ["f"], ["seq"],
                               n_blocks=n_blocks, first_by=["seq"])
         assert sorted((r.first_f, r.n) for r in out.collect()) == [("u", 2), ("x", 3)]
+
+
+def test_panes_and_no_windows_cross_the_exchanges(spark):
+    df = from_tuples(spark, [("k", 0)], "key string, t long").withColumn("ts", F.timestamp_micros("t"))
+    out = sliding_window_agg(df, ["key"], "ts", 60_000, 4_000, {"n": ("count", F.lit(1))}, "panes")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "sequence(" in plan.split("Exchange")[0]
+
+
+@pytest.mark.parametrize("size,slide", [(60, 4), (50, 20), (7, 7)])
+def test_pane_windows_with_odd_rows_and_block_edges(spark, size, slide):
+    rnd = random.Random(size)
+    some = lambda v: None if rnd.random() < 0.1 else v
+    rows = [(some(rnd.choice("ab")), some(rnd.choice([rnd.randrange(-90, 90), rnd.randrange(5000)])), some(rnd.randrange(9))) for _ in range(300)]
+    df = spark.createDataFrame(rows, "key string, t long, v int").withColumn("ts", F.timestamp_micros("t"))
+    aggs = {"n": ("count", F.col("v")), "s": ("sum", F.col("v").cast("decimal(9,2)")), "lo": ("min", F.col("v")), "hi": ("max", F.col("v"))}
+    a = sliding_window_agg(df, ["key"], "ts", size, slide, aggs, "expand")
+    b = sliding_window_agg(df, ["key"], "ts", size, slide, aggs, "panes")
+    as_text = lambda d: sorted(map(str, d.collect()))
+    assert as_text(a.withColumn("s", F.col("s").cast("double"))) == as_text(b.withColumn("s", F.col("s").cast("double")))

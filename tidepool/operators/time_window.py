@@ -10,13 +10,13 @@ Two plans, same result:
   ``(key, window)``.  Best for small ``size / slide`` (the reference's
   2500/500 ms is 5).
 * ``panes`` -- records are first aggregated into panes of
-  ``gcd(size, slide)`` (partial aggregation, exchange on ``(key, pane)``),
-  then each pane aggregate is expanded into its windows and merged.  The
-  expansion then touches pane rows, not records, so windows like 1 h / 1 s
-  stay cheap.
+  ``gcd(size, slide)`` (partial aggregation, exchange on ``(key, pane)``).
+  The panes go to blocks of windows, ``(key, block)``, in their order; there
+  each pane reports the windows of which it is the last pane, merged from the
+  panes that lie in them.  Every window is made once, where it is reported:
+  panes cross the exchanges, windows none, so windows like 1 h / 1 s stay cheap.
 
-Both group on ``(key, window)``, never on the key alone, so a hot key is
-spread over many tasks.
+Neither groups on the key alone, so a hot key is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # how each decomposable aggregate is computed on records, then merged
@@ -32,6 +32,7 @@ _PARTIAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 
 EXPAND_MAX_RATIO = 8
+BLOCK_SIZES = 16              # a block of windows is so many window sizes wide
 
 
 def _micros(ts: Column) -> Column:
@@ -62,15 +63,38 @@ def sliding_window_agg(df: DataFrame, keys: Sequence[str], ts: str, size_us: int
     pane_start = F.floor(t / F.lit(pane)).cast("long") * pane
     panes = df.groupBy(*keys, pane_start.alias("_p")).agg(
         *[_PARTIAL[f](c).alias(n) for n, (f, c) in aggs.items()])
-    p = F.col("_p")
+    p, width = F.col("_p"), BLOCK_SIZES * (size_us // slide_us + 1) * slide_us
+
+    def down(c: Column, step: int) -> Column:
+        return F.floor(c / F.lit(step)).cast("long") * step
+
     first = F.ceil((p - F.lit(size_us - pane)) / F.lit(slide_us)).cast("long") * slide_us
-    last = F.floor(p / F.lit(slide_us)).cast("long") * slide_us
-    expanded = panes.select(*keys, *aggs.keys(),
-                            F.explode(F.sequence(first, last, F.lit(slide_us).cast("long"))).alias("_s"))
-    merged = expanded.groupBy(*keys, "_s").agg(*[_MERGE[f](n).alias(n) for n, (f, _) in aggs.items()])
+    last = down(p, slide_us)
+    placed = panes.where(p.isNotNull()).withColumn("_first", first).withColumn("_last", last).where("_first <= _last")
+    blocks = F.array_distinct(F.array(down(F.col("_first"), width), down(F.col("_last"), width)))
+    placed = placed.withColumn("_b", F.explode(blocks))
+
+    # a pane is the last one of the windows that begin too early for the next pane
+    near = Window.partitionBy(*keys, "_b").orderBy("_p")
+    follow = F.lead("_p").over(near)
+    inside = F.collect_list(F.struct("_p", *aggs.keys())).over(near.rangeBetween(pane - size_us, 0))
+    rows = placed.select(*keys, "_b", "_first", "_last", follow.alias("_next"), inside.alias("_in"))
+    lo = F.greatest("_first", "_b")
+    hi = F.least("_last", F.col("_b") + F.lit(width - slide_us), down(F.col("_next") - F.lit(size_us), slide_us))
+    rows = rows.withColumn("_lo", lo).withColumn("_hi", hi).where("_lo <= _hi")
+    starts = rows.select(*keys, "_in", F.explode(F.sequence("_lo", "_hi", F.lit(slide_us).cast("long"))).alias("_s"))
+
+    types = {f.name: f.dataType for f in panes.groupBy().agg(*[_MERGE[f](n).alias(n) for n, (f, _) in aggs.items()]).schema.fields}
+    fold = {"sum": lambda a, b: F.coalesce(a + b, a, b), "count": lambda a, b: a + b, "min": F.least, "max": F.greatest}
+
+    def merge(acc: Column, x: Column) -> Column:
+        return F.struct(*[fold[f](acc[n], x[n]).cast(types[n]).alias(n) for n, (f, _) in aggs.items()])
+
+    begin = F.struct(*[F.lit(0 if f == "count" else None).cast(types[n]).alias(n) for n, (f, _) in aggs.items()])
+    merged = starts.select(*keys, "_s", F.aggregate(F.filter("_in", lambda x: x["_p"] >= F.col("_s")), begin, merge).alias("_a"))
     return merged.select(
         *keys,
         F.timestamp_micros(F.col("_s")).alias("window_start"),
         F.timestamp_micros(F.col("_s") + F.lit(size_us)).alias("window_end"),
-        *aggs.keys(),
+        *[F.col(f"_a.{n}").alias(n) for n in aggs],
     )
