@@ -190,3 +190,17 @@ def test_trailing_max_at_odd_rows(spark):
                 rank = ((0, 0) if x is None else (1, x), -u, (0, 0) if s is None else (1, -s))
                 want[car, seq] = max(want.get((car, seq), (rank, u, x)), (rank, u, x), key=lambda r: r[0])
     assert {((r.car, r.seq), r.top_t, r.top_v) for r in got.collect()} == {(k, u, x) for k, (_, u, x) in want.items()}
+
+
+def test_trailing_time_max_panes_does_the_whole_job(spark, tmp_path):
+    """Odometer, distance and time of the fastest record, as in trailing_time_max."""
+    from tidepool.plans import registry
+
+    rows = [(i, i * 1_200, i % 3, float(i * 37 % 50)) for i in range(60)]
+    events = spark.createDataFrame(rows, "event_id long, s long, user_id long, value double")
+    events.select("event_id", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"), "user_id", "value").write.parquet(f"{tmp_path}/events.parquet")
+    q = registry.queries()
+    a, b = (q[n](spark, str(tmp_path)) for n in ("trailing_time_max", "trailing_time_max_panes"))
+    assert a.columns == b.columns
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert registry.oracle_sql()["trailing_time_max_panes"] == registry.oracle_sql()["trailing_time_max"]

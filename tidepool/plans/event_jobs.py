@@ -311,9 +311,9 @@ def delta_trigger_rise(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOP_FIELDS = ["seq", "speed", "distance", "ts"]
 
 
-def _trailing(odo: DataFrame, tel: DataFrame) -> DataFrame:
+def _trailing(odo: DataFrame, tel: DataFrame, strategy: str = "auto") -> DataFrame:
     return trailing_time_max(odo, ["car_id"], "ts", CAR_EVICT_SEC * SECOND_US, "speed", TOP_FIELDS, ["seq"],
-                             block_source=tel)
+                             block_source=tel, strategy=strategy)
 
 
 def trailing_time_max_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,6 +323,12 @@ def trailing_time_max_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trailing_time_max_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trailing maximum with the odometer, through the linear pane plan by name."""
+    tel = telemetry(spark, sf_dir)
+    return as_ntz(_trailing(materialize(with_odometer(tel)), tel, "panes"))
+
+
+def trailing_day_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every car record with the fastest one of its trailing day (dense spans)."""
     tel = telemetry(spark, sf_dir)
     out = trailing_time_max(tel, ["car_id"], "ts", 24 * CAR_EVICT_SEC * SECOND_US, "speed", ["seq", "speed"], ["seq"])

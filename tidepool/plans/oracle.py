@@ -283,7 +283,7 @@ ORACLE["ascending_violations"] = """WITH a AS (
 w AS (SELECT *, max(t_us) OVER (ORDER BY arrived, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest_us FROM a)
 SELECT seq, car_id, t_us, latest_us FROM w WHERE t_us < latest_us"""
 
-ORACLE["trailing_time_max_panes"] = """WITH o AS (
+ORACLE["trailing_day_max"] = """WITH o AS (
   SELECT event_id AS seq, CAST(user_id % 8 AS INTEGER) AS car_id, value AS speed, epoch_us(ts) AS t FROM events)
 SELECT o.car_id, o.seq, x.top_seq, x.top_speed FROM o, LATERAL (
   SELECT o2.seq AS top_seq, o2.speed AS top_speed FROM o o2

@@ -68,6 +68,7 @@ def queries() -> dict[str, Query]:
         "trailing_time_max_ties": E.trailing_time_max_ties,
         "trailing_time_max": E.trailing_time_max_q,
         "trailing_time_max_panes": E.trailing_time_max_panes,
+        "trailing_day_max": E.trailing_day_max,
         "top_speed": E.top_speed,
         # streaming forms (replayed slice by slice)
         "stream_session_sum": S.stream_session_sum,
@@ -108,6 +109,7 @@ EQUIVALENTS = {
     "stream_word_count_rolling": "word_count_rolling",
     "stream_json_english_word_count": "json_english_word_count",
     "sink_tuple_text": "word_count",
+    "trailing_time_max_panes": "trailing_time_max",
     "parse_telemetry_text": "parse_telemetry",
     "delta_trigger_fires_sequential": "delta_trigger_fires",
     "stream_top_speed": "top_speed",
