@@ -131,3 +131,25 @@ def test_window_shape_is_checked(spark):
     df = from_tuples(spark, [(1, 2)], "k int, v int")
     with pytest.raises(ValueError):
         global_window(df, ["k"], ["seq"], Count(0), Count(3), {"n": F.count(F.lit(1))})
+
+
+@pytest.mark.parametrize("trigger", [Count(7), Delta("v", 30)])
+@pytest.mark.parametrize("span", [1, 90, 900, 5000])
+def test_folded_spans_equal_a_buffer(spark, trigger, span):
+    rows = arrivals(5)
+    df = spark.createDataFrame(rows, "car int, o long, t long, v int").withColumn("ts", F.timestamp_micros("t"))
+    aggs = {"n": ("count", F.lit(1)), "best": ("max_by", F.col("o"), F.struct(F.col("v"), -F.col("seq_in_key")))}
+    out = global_window(df, ["car"], ["o"], trigger, Span("ts", span), aggs)
+    assert sorted(map(tuple, out.collect()), key=str) == plain_window(rows, trigger, Span("ts", span))
+    more = {"s": ("sum", F.col("v")), "lo": ("min", F.col("v")), "hi": ("max", F.col("v")), "some": ("count", F.col("v"))}
+    plain = {"s": F.sum("v"), "lo": F.min("v"), "hi": F.max("v"), "some": F.count("v")}
+    a, b = (global_window(df, ["car"], ["o"], trigger, Span("ts", span), m) for m in (more, plain))
+    assert a.dtypes == b.dtypes and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_fires_and_records_of_a_span_make_no_pairs(spark):
+    rows = [(1, i, 0, 1) for i in range(500)]
+    df = spark.createDataFrame(rows, "car int, o long, t long, v int").withColumn("ts", F.timestamp_micros("t"))
+    out = global_window(df, ["car"], ["o"], Count(1), Span("ts", 100), {"n": ("count", F.lit(1)), "s": ("sum", F.col("v"))})
+    assert "_b#" not in out._jdf.queryExecution().optimizedPlan().toString()      # the bucket of the join
+    assert sorted((r.n, r.s) for r in out.collect()) == [(i, i) for i in range(1, 501)]

@@ -361,8 +361,8 @@ def arriving(rows: DataFrame, seq: str = "seq") -> DataFrame:
     return rows.withColumn("arrived", F.unix_micros("ts") + delay)
 
 
-def _fastest() -> Column:
-    return F.max_by(F.struct("seq", "speed", "distance", "ts"), F.struct(F.col("speed"), -F.col("seq_in_key")))
+def _fastest() -> tuple[str, Column, Column]:
+    return "max_by", F.struct("seq", "speed", "distance", "ts"), F.struct(F.col("speed"), -F.col("seq_in_key"))
 
 
 def top_speed_disordered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,7 +371,7 @@ def top_speed_disordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     the last hour before the latest time seen, the earliest arrived on ties."""
     odo = arriving(materialize(with_odometer(telemetry(spark, sf_dir))))
     out = global_window(odo, ["car_id"], ["arrived", "seq"], Delta("dist_c", TRIGGER_CENTI), Span("ts", CAR_EVICT_SEC * SECOND_US),
-                        {"_top": _fastest(), "n_records": F.count(F.lit(1))}, n_blocks=HOT_CAR_BLOCKS)
+                        {"_top": _fastest(), "n_records": ("count", F.lit(1))}, n_blocks=HOT_CAR_BLOCKS)
     return as_ntz(out.select("car_id", F.col("seq").alias("fire_seq"), "n_records", *[F.col(f"_top.{c}").alias(f"top_{c}") for c in TOP_FIELDS]))
 
 
@@ -380,8 +380,8 @@ def count_trigger_time_evictor(spark: SparkSession, sf_dir: str) -> DataFrame:
     before the latest time seen: how many, their summed speed, the fastest."""
     tel = arriving(telemetry(spark, sf_dir)).withColumn("distance", F.lit(0.0))
     out = global_window(tel, ["car_id"], ["arrived", "seq"], Count(25), Span("ts", 6 * CAR_EVICT_SEC * SECOND_US),
-                        {"n_records": F.count(F.lit(1)), "speed_sum": exact_sum(F.col("speed")), "_top": _fastest()})
-    return out.select("car_id", F.col("seq").alias("fire_seq"), "seq_in_key", "n_records", "speed_sum", F.col("_top.seq").alias("top_seq"))
+                        {"n_records": ("count", F.lit(1)), "speed_sum": ("sum", cents(F.col("speed"))), "_top": _fastest()})
+    return out.select("car_id", F.col("seq").alias("fire_seq"), "seq_in_key", "n_records", from_cents(F.col("speed_sum")).alias("speed_sum"), F.col("_top.seq").alias("top_seq"))
 
 
 def delta_trigger_count_evictor(spark: SparkSession, sf_dir: str) -> DataFrame:
