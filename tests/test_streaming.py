@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import SESSION_ROWS, TELEMETRY, WINDOW_WORDS
@@ -141,3 +142,30 @@ def test_delta_function_of_old_and_new(spark):
         .withColumn("ts", F.timestamp_micros("t"))
     got = delta_trigger_fires_sequential(df, ["k"], "ts", "t", "v", 10, n_slices=3, delta=lambda old, new: abs(new - old))
     assert sorted(r.t for r in got.collect()) == [3, 5, 6]
+
+
+@pytest.mark.parametrize("lines", [None, ("line", "o")])
+def test_large_slices_are_several_files_and_one_batch(spark, monkeypatch, lines):
+    """All cores write and read a slice; batches stay the slices, in order."""
+    from tidepool.streaming import replay as R
+
+    monkeypatch.setattr(R, "FILE_BYTES", 1)
+    df = spark.createDataFrame([(o, str(o)) for o in [*range(40), 90, *range(150, 200)]], "o long, line string")   # one slice is empty, one has a row
+    seen = {}
+
+    def write(batch, batch_id):
+        rows = batch.collect()
+        seen[batch_id] = [r.line for r in sorted(rows, key=lambda r: (r.file, r.line_start))] if lines else sorted((r.line for r in rows), key=int)
+        seen["files", batch_id] = len({r.file for r in rows})
+
+    R.replay(df, F.col("o"), 5, lambda stream: (stream if lines else stream.withColumn("file", F.input_file_name())).writeStream.foreachBatch(write), "files", lines=lines)
+    got = [seen.get(i, []) for i in range(5)]
+    assert [len(g) for g in got if g] == [len(w) for w in slices_of(df, 5) if len(w)]
+    assert [int(x) for g in got for x in g] == [r.o for r in df.orderBy("o").collect()]
+    assert max(n for k, n in seen.items() if isinstance(k, tuple)) > 1
+
+
+def slices_of(df, n):
+    lo, hi = df.selectExpr("min(o)", "max(o)").first()
+    at = [min(int((r.o - lo) / ((hi - lo) / n)), n - 1) for r in df.collect()]
+    return [[x for x in at if x == k] for k in range(n)]

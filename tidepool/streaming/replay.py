@@ -2,11 +2,11 @@
 
 The source table is scanned once and written by slice (contiguous ranges of an
 order value) under the shared checkpoint dir.  The slices are then appended in
-order, one file each, to the folder that one streaming query reads with
-``availableNow`` and one file per micro-batch: a file stream takes files by
-their time, so each slice is one micro-batch, in order.  The driver only loops
-over slice numbers; every write and read is a Spark job.  Choose ``n_slices`` so
-that a slice is a file's size.
+order, the same number of files each, to the folder that one streaming query
+reads with ``availableNow`` and as many files per micro-batch: a file stream
+takes files by their time, so each slice is one micro-batch, in order.  The
+driver only loops over slice numbers; every write and read is a Spark job.  A
+small slice is one file; a large one is as many as the cluster writes at once.
 
 An optional *sentinel* (one far-future row with NULL keys, derived from the
 table by Spark) advances the watermark past every open window at the end,
@@ -42,6 +42,16 @@ def sentinel_row(df: DataFrame, ts: str, ahead: str) -> DataFrame:
     return last.select(*cols)
 
 
+FILE_BYTES = 4 << 20          # of a slice's file, if the cluster has a core for each
+
+
+def _files_per_slice(slices: DataFrame) -> int:
+    """Files that the largest slice is written to: by the bytes of its staged files."""
+    staged = slices.select("_slice", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")).distinct()
+    largest = staged.groupBy("_slice").agg(F.sum("b").alias("b")).agg(F.max("b")).first()[0] or 0
+    return max(1, min(-(-largest // FILE_BYTES), slices.sparkSession.sparkContext.defaultParallelism))
+
+
 def replay(df: DataFrame, slice_value: Column, n_slices: int,
            build: Callable[[DataFrame], DataStreamWriter], label: str,
            sentinel: DataFrame | None = None, slice_order: list[int] | None = None,
@@ -59,12 +69,23 @@ def replay(df: DataFrame, slice_value: Column, n_slices: int,
     schema = T.StructType([*df.schema.fields, T.StructField("_slice", T.IntegerType())])
     slices = spark.read.schema(schema).parquet(staged)
 
+    n_files = _files_per_slice(slices)
+    plain = spark.read.schema(df.schema) if lines is None else spark.read
+    appended = 0
+
     def append(rows: DataFrame) -> None:
-        one = rows.coalesce(1)
-        if lines is None:
-            one.write.mode("append").parquet(src)
-        else:
-            one.sortWithinPartitions(lines[1]).select(lines[0]).write.mode("append").text(src)
+        nonlocal appended
+        appended += n_files
+        few = rows.coalesce(1)
+        if n_files > 1:                   # text files and their lines lie in order
+            few = rows.repartition(n_files, *rows.columns) if lines is None else rows.repartitionByRange(n_files, lines[1])
+        if lines is not None:
+            few = few.sortWithinPartitions(lines[1]).select(lines[0])
+        fmt = "parquet" if lines is None else "text"
+        few.write.mode("append").format(fmt).save(src)
+        # parts without rows leave no file: others, without rows, make up the number
+        for _ in range(appended - len(plain.format(fmt).load(src).inputFiles())):
+            few.limit(0).write.mode("append").format(fmt).save(src)
 
     for k in (slice_order if slice_order is not None else range(n_slices)):
         append(slices.where(F.col("_slice") == k).drop("_slice"))
@@ -74,9 +95,9 @@ def replay(df: DataFrame, slice_value: Column, n_slices: int,
         append(sentinel)
         append(sentinel)
     if lines is None:
-        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", n_files).parquet(src)
     else:
-        stream = text_lines(spark, src, streaming=True, files_per_batch=1)
+        stream = text_lines(spark, src, streaming=True, files_per_batch=n_files)
     q = build(stream).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
     return list(q.recentProgress)
