@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.rolling import rolling_sums
 from .carried import NEW, Sink, _blocks, _with_carried, carried
@@ -27,13 +28,17 @@ def count_window_batches(key: str, order: Sequence[str], size: int | None, slide
     a folder for the counts.  ``order`` is the order within a batch; batches
     follow each other."""
     order = list(order)
-    at = _blocks(order[0] if block_on is None else block_on)
+    # a carried row has no order value; the plain column keeps the blocks' tests small
+    at = F.col(order[0]) if block_on is None else _blocks(block_on)
 
     def step(rows: DataFrame, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         rows = rows.select(key, *order).withColumn("_m", F.lit(1).cast("long"))
         if before is not None:        # a key's count so far is its first row
             none = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in order]
-            before = before.select(key, *none, F.col("_n").alias("_m"))
+            kept = F.col(key)
+            if not rows.schema[key].nullable and isinstance(rows.schema[key].dataType, T.StringType):
+                kept = F.coalesce(kept, F.lit(""))     # the file does not tell it; plain keys sort faster
+            before = before.select(kept.alias(key), *none, F.col("_n").alias("_m"))
         src = _with_carried(rows, before)
         ranked = rolling_sums(src, [key], [NEW, *order], {ORDINAL: F.col("_m")}, at)
         rn = F.col(ORDINAL)
